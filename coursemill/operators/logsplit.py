@@ -1,6 +1,6 @@
 """Behaviour log: parse, set bad text aside, split one record into its output topics.
 
-Records have an open shape, so they are kept as a map of VARIANT values: every field passes
+Records have an open shape, so they are read as a map of VARIANT values: every field passes
 through, known or not. The split gives one table (topic, value). It is written in one pass,
 either to Kafka, whose sink reads the topic from the row, or partitioned by topic.
 """
@@ -21,79 +21,79 @@ DISPLAY = "dwd_traffic_display_log"
 ACTION = "dwd_traffic_action_log"
 PAGE = "dwd_traffic_page_log"
 
-_FIELDS = "map<string,variant>"
+_HEAD = "array<struct<common:struct<mid:string,is_new:string>,ts:bigint>>"
+_RECORD = "map<string,variant>"
 
 
-def parse_objects(text: Column) -> Column:
-    """JSON object text to an array of its one record, a map of VARIANT fields without null ones.
+def _as_array(text: Column, schema: str) -> Column:
+    """Parse JSON object text as the only element of an array.
 
-    The array has another length, or is NULL, for text that is no single JSON object. The text
-    is parsed as the only element of an array: that also refuses text that goes on after the
-    object, which ``from_json`` on the object alone would pass over.
+    The array has another length, or is NULL, for text that is no single JSON object. That also
+    refuses text that goes on after the object, which ``from_json`` on the object alone
+    would pass over.
     """
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{_FIELDS}>")
-    return F.transform(F.when(F.rtrim(text).endswith("}"), parsed), present)
-
-
-def present(fields: Column) -> Column:
-    """A map of VARIANT fields without JSON nulls: absent and null are the same here."""
-    return F.map_filter(fields, lambda _, v: v.isNotNull() & ~F.is_variant_null(v))
-
-
-def _field(record: Column, group: str, name: str) -> Column:
-    return F.try_variant_get(record[group], f"$.{name}", "string")
+    return F.when(F.rtrim(text).endswith("}"),
+                  F.from_json(F.concat(F.lit("["), text, F.lit("]")), schema))
 
 
 def parse_log(log: DataFrame) -> DataFrame:
-    """Add the parsed record, and the fields that the flag repair needs.
+    """Add device, flag, time and day, which are all that the flag repair needs.
 
-    ``record`` is NULL for dirty rows: text that is no JSON object, or that names no device or
-    time. Exploding makes the parsed record a column of its own, so the text is parsed
-    once, not again for every filter and field that looks into it.
+    ``mid`` is NULL for dirty rows: text that is no JSON object, or that names no device or
+    time. The other fields are skipped here and read in :func:`split`. Exploding makes the
+    parsed head a column of its own, so that filters on it do not parse the text again.
     """
-    parsed = log.withColumn("objects", parse_objects(F.col("value"))).withColumn(
-        "record", F.explode_outer(F.when(F.size("objects") == 1, F.col("objects"))))
-    record = F.col("record")
-    fields = parsed.drop("objects").withColumns({
-        "mid": _field(record, "common", "mid"),
-        "is_new": _field(record, "common", "is_new"),
-        "ts": F.try_variant_get(record["ts"], "$", "bigint"),
-    })
-    complete = F.col("mid").isNotNull() & F.col("ts").isNotNull()
-    return fields.withColumns({
-        "visit_date": F.to_date(millis_to_time(F.col("ts"))),
-        "record": F.when(complete, record),
-    })
+    heads = log.withColumn("heads", _as_array(F.col("value"), _HEAD)).withColumn(
+        "head", F.explode_outer(F.when(F.size("heads") == 1, F.col("heads"))))
+    complete = F.col("head.common.mid").isNotNull() & F.col("head.ts").isNotNull()
+    return heads.select(
+        "value", *_arrival(log),
+        F.when(complete, F.col("head.common.mid")).alias("mid"),
+        F.col("head.common.is_new").alias("is_new"),
+        F.to_date(millis_to_time(F.col("head.ts"))).alias("visit_date"))
 
 
 def dirty(parsed: DataFrame) -> DataFrame:
     """Rows to set aside, as they came."""
-    return parsed.where("record IS NULL").select(F.lit(DIRTY).alias("topic"), "value",
+    return parsed.where("mid IS NULL").select(F.lit(DIRTY).alias("topic"), "value",
                                                  *_arrival(parsed))
 
 
 def usable(parsed: DataFrame) -> DataFrame:
-    """Rows to split. The text is left behind: the record is all that travels on."""
-    return parsed.where("record IS NOT NULL").select(
-        "record", "mid", "is_new", "ts", "visit_date", *_arrival(parsed))
+    """Rows to split, with the flag as sent beside the one to repair."""
+    return parsed.where("mid IS NOT NULL").withColumn("sent_is_new", F.col("is_new"))
 
 
 def _arrival(df: DataFrame) -> list[str]:
     return [c for c in ("arrival",) if c in df.columns]
 
 
-def _out(topic: str, fields: Column) -> Column:
-    return F.struct(F.lit(topic).alias("topic"), F.to_json(fields).alias("value"))
+def _members(record: Column) -> Column:
+    """The fields of a record without null ones, each as its name and its JSON text with name."""
+    kept = F.filter(F.map_entries(record),
+                    lambda e: e["value"].isNotNull() & ~F.is_variant_null(e["value"]))
+    objects = F.transform(kept, lambda e: F.struct(
+        e["key"].alias("name"), F.to_json(F.create_map(e["key"], e["value"])).alias("text")))
+    return F.transform(objects, lambda m: F.struct(
+        m["name"].alias("name"),
+        F.substr(m["text"], F.lit(2), F.length(m["text"]) - 2).alias("text")))
+
+
+def _with_flag(record: Column, is_new: Column) -> Column:
+    """The member text of ``common`` with another new-visitor flag."""
+    flag = F.try_parse_json(F.concat(F.lit('"'), is_new, F.lit('"')))
+    common = F.transform_values(
+        F.try_variant_get(record["common"], "$", _RECORD),
+        lambda name, value: F.when(name == "is_new", flag).otherwise(value))
+    return F.concat(F.lit('"common":'), F.to_json(common))
 
 
-def _elements(fields: Column, name: str) -> Column:
-    """The elements of an array field; an empty array where it is missing."""
-    return F.coalesce(F.try_variant_get(fields[name], "$", "array<variant>"),
-                      F.array().cast("array<variant>"))
+def _object(*members: Column) -> Column:
+    return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
 
-def _without(fields: Column, *names: str) -> Column:
-    return F.map_filter(fields, lambda k, _: ~k.isin(*names))
+def _row(topic: str, text: Column) -> Column:
+    return F.struct(F.lit(topic).alias("topic"), text.alias("value"))
 
 
 def split(repaired: DataFrame) -> DataFrame:
@@ -104,45 +104,59 @@ def split(repaired: DataFrame) -> DataFrame:
     and per action, and one page row without the arrays that gave rows. Action rows carry
     no time.
     """
-    new_flag = F.try_parse_json(F.concat(F.lit('"'), F.col("is_new"), F.lit('"')))
-    common = F.transform_values(
-        present(F.try_variant_get(F.col("record")["common"], "$", _FIELDS)),
-        lambda k, v: F.when(k == "is_new", F.coalesce(new_flag, v)).otherwise(v))
-    rows = repaired.withColumn("common", common)
-    fixed = F.transform_values(
-        "record", lambda k, v: F.when(
-            k == "common", F.try_parse_json(F.to_json("common"))).otherwise(v))
-    rows = rows.withColumn("record", fixed)
-
+    carried = _arrival(repaired)
+    # Parsed once, as a column of its own; each field becomes text once, and the rows are
+    # put together from these texts.
+    parsed = repaired.select(
+        F.explode(_as_array(F.col("value"), f"array<{_RECORD}>")).alias("record"),
+        "is_new", "sent_is_new", *carried)
     record = F.col("record")
-    rest = F.col("rest")
-    has = {name: record[name].isNotNull() for name in ("err", "appVideo", "start")}
-    rows = rows.withColumns({
-        "rest": _without(record, "err"),
-        "displays": _elements(record, "displays"),
-        "actions": _elements(record, "actions"),
-    })
+
+    def elements(name: str) -> Column:
+        return F.transform(F.try_variant_get(record[name], "$", "array<variant>"),
+                           lambda e: F.to_json(e))
+
+    def member(name: str) -> Column:
+        return F.element_at(F.filter("members", lambda m: m["name"] == name)["text"], 1)
+
+    changed = ~F.col("is_new").eqNullSafe(F.col("sent_is_new"))
+    with_texts = parsed.select(
+        F.explode(F.array(F.struct(
+            _members(record).alias("members"),
+            F.when(changed, _with_flag(record, F.col("is_new"))).alias("common"),
+            elements("displays").alias("displays"),
+            elements("actions").alias("actions")))).alias("r"), *carried).select("r.*", *carried)
+    common = F.coalesce("common", member("common"))
+    rows = with_texts.withColumn("members", F.when(F.col("common").isNull(), F.col("members"))
+                                 .otherwise(F.transform("members", lambda m: F.struct(
+                                     m["name"].alias("name"),
+                                     F.when(m["name"] == "common", F.col("common"))
+                                     .otherwise(m["text"]).alias("text")))))
+
+    def has(name: str) -> Column:
+        return F.exists("members", lambda m: m["name"] == name)
+
+    def without(*names: Column) -> Column:
+        gone = F.array_compact(F.array(*names))
+        return _object(F.filter("members", lambda m: ~F.array_contains(gone, m["name"]))["text"])
 
     def per_element(topic: str, column: str, name: str, *more: Column) -> Column:
-        return F.transform(column, lambda e: _out(topic, F.struct(
-            rest["common"].alias("common"), rest["page"].alias("page"), e.alias(name), *more)))
-
-    time = F.col("ts")
-    gave_rows = F.filter(
-        F.array(F.when(F.size("displays") > 0, F.lit("displays")),
-                F.when(F.size("actions") > 0, F.lit("actions"))), lambda n: n.isNotNull())
-    page_rest = F.map_filter(rest, lambda k, _: ~F.array_contains(gave_rows, k))
+        return F.transform(F.coalesce(column, F.array().cast("array<string>")), lambda e: _row(
+            topic, _object(common, member("page"), F.concat(F.lit(f'"{name}":'), e), *more)))
+
+    err = F.lit("err")
     none = F.array().cast("array<struct<topic:string,value:string>>")
     outputs = F.concat(
-        F.when(has["err"], F.array(_out(ERR, record))).otherwise(none),
-        F.when(has["appVideo"], F.array(_out(APP_VIDEO, rest)))
-        .when(has["start"], F.array(_out(START, rest)))
+        F.when(has("err"), F.array(_row(ERR, _object(F.col("members")["text"])))).otherwise(none),
+        F.when(has("appVideo"), F.array(_row(APP_VIDEO, without(err))))
+        .when(has("start"), F.array(_row(START, without(err))))
         .otherwise(F.concat(
-            per_element(DISPLAY, "displays", "display", time.alias("ts")),
+            per_element(DISPLAY, "displays", "display", member("ts")),
             per_element(ACTION, "actions", "action"),
-            F.array(_out(PAGE, page_rest)))))
-    return rows.select(F.explode(outputs).alias("out"), *_arrival(rows)).select(
-        "out.topic", "out.value", *_arrival(rows))
+            F.array(_row(PAGE, without(
+                err, F.when(F.size("displays") > 0, F.lit("displays")),
+                F.when(F.size("actions") > 0, F.lit("actions"))))))))
+    return rows.select(F.explode(outputs).alias("out"), *carried).select("out.*", *carried)
 
 
 def page_views(page_topic: DataFrame) -> DataFrame:

@@ -107,7 +107,7 @@ def _fact(df: DataFrame) -> DataFrame:
 FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) e
 WHERE event_type NOT IN ('signup', 'error')""")
 def fact_cart_add(spark, folder):
-    return _fact(facts.cart_add(s.change_log(spark, folder)))
+    return _fact(facts.cart_add(s.change_log(spark, folder, "cart_info")))
 
 
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS login_name,
@@ -115,7 +115,7 @@ def fact_cart_add(spark, folder):
        CAST(c_custkey AS VARCHAR) AS ts
 FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def fact_user_register(spark, folder):
-    return _fact(facts.user_register(s.change_log(spark, folder)))
+    return _fact(facts.user_register(s.change_log(spark, folder, "user_info")))
 
 
 @query(f"""SELECT {o.LINE_ID} AS id, CAST(l_orderkey AS VARCHAR) AS exam_id,
@@ -124,7 +124,7 @@ def fact_user_register(spark, folder):
        CASE WHEN l_linestatus = 'O' THEN '1' ELSE '0' END AS is_correct
 FROM lineitem WHERE l_returnflag <> 'A'""")
 def fact_exam_question(spark, folder):
-    return _fact(facts.exam_question(s.change_log(spark, folder)))
+    return _fact(facts.exam_question(s.change_log(spark, folder, "test_exam_question")))
 
 
 _EXAMS = f"""SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS paper_id,
@@ -137,7 +137,7 @@ FROM orders {{}} WHERE o_orderstatus <> 'P'"""
 @query(_EXAMS.format(", CAST(c_nationkey AS VARCHAR) AS course_id",
                      "JOIN customer ON c_custkey = o_custkey"))
 def fact_exam_paper(spark, folder):
-    return _fact(facts.exam_paper(s.change_log(spark, folder), s.test_paper(spark, folder)))
+    return _fact(facts.exam_paper(s.change_log(spark, folder, "test_exam"), s.test_paper(spark, folder)))
 
 
 @query(f"""SELECT {o.LINE_ID} AS id, CAST(l_suppkey AS VARCHAR) AS user_id,
@@ -145,7 +145,7 @@ def fact_exam_paper(spark, folder):
        CAST(l_linenumber AS VARCHAR) AS review_stars, {o.EPOCH.format('l_shipdate')} AS ts
 FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_returnflag <> 'A'""")
 def fact_review(spark, folder):
-    return _fact(facts.review(s.change_log(spark, folder), s.course_info(spark, folder)))
+    return _fact(facts.review(s.change_log(spark, folder, "review_info"), s.course_info(spark, folder)))
 
 
 @query(f"""SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
@@ -155,14 +155,15 @@ def fact_review(spark, folder):
        {o.EPOCH.format('o_orderdate')} AS ts
 FROM orders WHERE o_orderstatus <> 'P'""")
 def order_headers(spark, folder):
-    return _fact(changelog.order_headers(s.change_log(spark, folder)))
+    return _fact(changelog.order_headers(s.change_log(spark, folder, "order_info")))
 
 
 @query(f"""WITH {o.PAYMENTS} SELECT id, order_id, total_amount,
        CAST(CAST(epoch(pay_time) AS BIGINT) AS VARCHAR) AS ts,
        strftime(pay_time, {o.SECOND}) AS pay_time FROM paid""")
 def payments(spark, folder):
-    paid = changelog.payments(changelog.with_row_time(s.change_log(spark, folder)))
+    paid = changelog.payments(changelog.with_row_time(
+        s.change_log(spark, folder, "payment_info")))
     return paid.withColumn("pay_time", scalars.second_text(F.col("row_time"))).drop(
         "row_time", "arrival")
 
@@ -174,7 +175,8 @@ def order_page_sources(spark, folder):
 
 
 def _details(spark, folder, sessions="latest") -> DataFrame:
-    return facts.order_detail(s.change_log(spark, folder), s.order_views(spark, folder), sessions)
+    return facts.order_detail(s.change_log(spark, folder, "order_detail", "order_info"),
+                              s.order_views(spark, folder), sessions)
 
 
 @query(f"WITH {o.DETAILS} SELECT {o.DETAIL_COLUMNS} FROM details")
@@ -201,7 +203,7 @@ _DAYS_30 = 30 * 24 * 3600
 
 def _payments_with_details(spark, folder, **bounds) -> DataFrame:
     return facts.payment_success(
-        changelog.with_row_time(s.change_log(spark, folder)),
+        changelog.with_row_time(s.change_log(spark, folder, "payment_info")),
         changelog.with_row_time(_details(spark, folder)), **bounds)
 
 
@@ -259,7 +261,7 @@ def interval_join_1_day(spark, folder):
 # --- lookups ----------------------------------------------------------------------------------
 
 def _exams(spark, folder) -> DataFrame:
-    return changelog.exams(s.change_log(spark, folder)).drop("arrival")
+    return changelog.exams(s.change_log(spark, folder, "test_exam")).drop("arrival")
 
 
 def _suppliers(spark, folder) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from coursemill import schemas
 from coursemill.functions.scalars import millis_to_whole_second, seconds_to_time
@@ -19,7 +19,8 @@ def records(topic: DataFrame, schema: StructType, carry: tuple[str, ...] = ("arr
     See :func:`bad_records` for the text.
     """
     parsed = _parsed(topic, schema).where(~F.col(_BAD))
-    return parsed.select("r.*", *[c for c in carry if c in topic.columns])
+    return parsed.select(*[F.col("r")[n].alias(n) for n in schema.names],
+                         *[c for c in carry if c in topic.columns])
 
 
 def bad_records(topic: DataFrame, schema: StructType) -> DataFrame:
@@ -30,11 +31,12 @@ def bad_records(topic: DataFrame, schema: StructType) -> DataFrame:
 
 def _parsed(topic: DataFrame, schema: StructType) -> DataFrame:
     # from_json gives a row of NULLs for bad text; only the kept text tells it apart.
-    kept = StructType(schema.fields).add("_corrupt", "string")
-    parsed = topic.withColumn("r", F.from_json(
-        "value", kept, {"columnNameOfCorruptRecord": "_corrupt"}))
+    # Exploding makes the record a column of its own, so a filter on it does not parse again.
+    kept = StructType([*schema.fields, StructField("_corrupt", StringType())])
+    parsed = topic.withColumn("r", F.explode(F.array(F.from_json(
+        "value", kept, {"columnNameOfCorruptRecord": "_corrupt"}))))
     bad = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
-    return parsed.withColumn(_BAD, bad).withColumn("r", F.col("r").dropFields("_corrupt"))
+    return parsed.withColumn(_BAD, bad)
 
 
 def change_log_records(topic: DataFrame) -> DataFrame:

@@ -50,6 +50,13 @@ def user_register(changes: DataFrame) -> DataFrame:
     return _declared(changelog.registrations(changes), schemas.USER_REGISTER)
 
 
+def with_day(joined: DataFrame) -> DataFrame:
+    """Joined order rows to the declared columns, with the day of their creation."""
+    return _declared(
+        joined.withColumn("date_id", day_text(F.col("create_time").try_cast("timestamp"))),
+        schemas.ORDER_DETAIL)
+
+
 def order_detail(changes: DataFrame, page_log: DataFrame, sessions: str = "latest") -> DataFrame:
     """Order lines with the header's session and province and the session's source.
 
@@ -72,9 +79,7 @@ def order_detail(changes: DataFrame, page_log: DataFrame, sessions: str = "lates
     else:
         raise ValueError("sessions is 'latest' or 'all'")
     joined = lines.join(headers, "order_id")
-    return _declared(
-        joined.withColumn("date_id", day_text(F.col("create_time").try_cast("timestamp"))),
-        schemas.ORDER_DETAIL)
+    return with_day(joined)
 
 
 def payment_success(changes: DataFrame, details: DataFrame,

@@ -8,6 +8,9 @@ device or user holds a large part of the data. So the arrival order is cut into
 2. these few values are ordered per key, which says what each chunk starts from;
 3. the rows are sorted per (key, chunk) only, starting from that value.
 
+The rows are read twice, the first time only for step 1. So the input should be a scan, which then
+reads few columns; what comes out of a join should be stored first.
+
 The result is exact for every chunk size. A task holds at most one chunk of rows of a key
 in step 3 and one value per chunk in step 2.
 """
@@ -23,9 +26,9 @@ CHUNK = 1 << 20
 
 
 def chunk_of(number: str | Column, span: int = CHUNK) -> Column:
-    """Chunk number of an arrival number: never falls as the arrival number rises."""
-    number = F.col(number) if isinstance(number, str) else number
-    return F.floor(number.cast("bigint") / F.lit(span))
+    """The chunk of an arrival number, as its first number: it never falls as numbers rise."""
+    number = (F.col(number) if isinstance(number, str) else number).cast("bigint")
+    return number - F.pmod(number, F.lit(span))
 
 
 def with_previous(df: DataFrame, key: str, arrival: str, values: dict[str, Column],

@@ -19,8 +19,12 @@ from coursemill.operators.upsert import latest_per_key
 from coursemill.plans import jobs
 from coursemill.plans import oracle as o
 from coursemill.plans import standins as s
-from coursemill.session import use_result_conf
+from coursemill.session import stored, use_result_conf, work_folder
 from coursemill.sources.records import change_log_records
+from coursemill.sources.topics import read_folder
+from coursemill.streaming import jobs as streams
+from coursemill.streaming import sinks
+from coursemill.streaming import state as keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -179,6 +183,11 @@ def _details(spark, folder, sessions="latest") -> DataFrame:
                               s.order_views(spark, folder), sessions)
 
 
+def _stored_details(spark, folder) -> DataFrame:
+    """The order-detail table as the window jobs find it: written by the job before."""
+    return stored(_details(spark, folder), "order-detail")
+
+
 @query(f"WITH {o.DETAILS} SELECT {o.DETAIL_COLUMNS} FROM details")
 def fact_order_detail(spark, folder):
     return _fact(_details(spark, folder))
@@ -315,7 +324,7 @@ def visit_flags_small_chunks(spark, folder):
 @query(f"""WITH {o.TRADE_FLAGS}
 SELECT id, course_id, user_id, date_id, order_user_ct FROM trade_flags""")
 def first_order_flag(spark, folder):
-    rows = jobs.order_rows(_details(spark, folder)).select(
+    rows = jobs.order_rows(_stored_details(spark, folder)).select(
         "id", "course_id", "user_id", "date_id", "order_date", "arrival")
     return state.daily_first_order_flag(rows, s.arrival_chunk()).drop("order_date", "arrival")
 
@@ -355,7 +364,7 @@ def searches(spark, folder):
 
 
 def _trade(spark, folder) -> DataFrame:
-    return jobs.trade_windows(_details(spark, folder), s.base_source(spark, folder),
+    return jobs.trade_windows(_stored_details(spark, folder), s.base_source(spark, folder),
                               s.base_province(spark, folder), s.arrival_chunk())
 
 
@@ -374,7 +383,7 @@ JOIN subjects ON part.p_brand = subjects.p_brand
 GROUP BY ALL""")
 def course_windows(spark, folder):
     return _amounts_as_double(
-        jobs.course_windows(_details(spark, folder), s.course_info(spark, folder),
+        jobs.course_windows(_stored_details(spark, folder), s.course_info(spark, folder),
                             s.subject_info(spark, folder), s.category_info(spark, folder),
                             s.arrival_chunk()),
         "order_amount")
@@ -506,7 +515,7 @@ def log_split_counts(spark, folder):
 SELECT * FROM traffic""")
 def traffic_windows_from_log(spark, folder):
     """From raw log text to the traffic window table."""
-    pages = _split(spark, folder).where(F.col("topic") == logsplit.PAGE)
+    pages = stored(_split(spark, folder).where(F.col("topic") == logsplit.PAGE), "page-log")
     return jobs.traffic_windows(logsplit.page_views(pages), s.base_source(spark, folder),
                                 state.chunk_of("arrival"))
 
@@ -613,3 +622,78 @@ def time_texts(spark, folder):
         scalars.text_to_millis(scalars.day_text(time)).alias("day_ms"),
         scalars.text_to_millis(scalars.second_text(time), with_time=True).alias("second_ms"),
         scalars.second_text(scalars.millis_to_whole_second(ms)).alias("whole_second"))
+
+
+# --- streams ----------------------------------------------------------------------------------
+# Each runs a streaming job over all that is there, and reads back what it wrote. Windows
+# show once the watermark has passed their end, so the checks leave out the last ones.
+
+def _streamed(stream: DataFrame, name: str) -> DataFrame:
+    spark = stream.sparkSession
+    folder = work_folder(spark, name)
+    query = sinks.start(stream, sinks.keyed_writer(f"{folder}/out"), f"{folder}/checkpoint",
+                        every=None)
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out").drop("batch_id")
+
+
+_CLOSED = "WHERE strptime(edt, '%Y-%m-%d %H:%M:%S') <= (SELECT max({}) - INTERVAL {} FROM {})"
+
+
+@query(f"{_TRAFFIC} SELECT * FROM traffic {_CLOSED.format('ts', '2 SECONDS', 'views')}")
+def stream_traffic_windows(spark, folder):
+    views = s.page_views(spark, folder, s.events_stream(spark, folder))
+    summed = _streamed(streams.traffic_windows(views, idle_ms=None), "stream-traffic")
+    return enrich(summed, s.base_source(spark, folder), "sc", {"source_site": "source_name"})
+
+
+@query(f"""WITH {o.VIEWS}, clicks AS (
+  SELECT *, date_trunc('second', ts) AS t FROM views WHERE event_type = 'click'),
+counted AS (
+  SELECT item AS keyword, count(*) AS keyword_count, {o.stamps('t', '%Y%m%d')}
+  FROM clicks GROUP BY ALL)
+SELECT * FROM counted {_CLOSED.format('t', '0 SECONDS', 'clicks')}""")
+def stream_keyword_windows(spark, folder):
+    log = s.page_log(spark, folder, s.events_stream(spark, folder)).withColumn(
+        "row_time", scalars.millis_to_whole_second(F.col("ts")))
+    return _streamed(streams.keyword_windows(log), "stream-keyword")
+
+
+@query(f"""WITH {o.TRADE_FLAGS}, summed AS (
+  SELECT {o.stamps('t')}, source AS sc, province_id, {o.TRADE_SUMS}
+  FROM trade_flags GROUP BY ALL)
+SELECT * FROM summed {_CLOSED.format('t', '2 SECONDS', 'trade_flags')}""")
+def stream_trade_windows(spark, folder):
+    """The second of two jobs: it reads the stored order-detail table as a stream."""
+    path = work_folder(spark, "stream-order-detail")
+    details = _details(spark, folder)
+    details.write.parquet(path)
+    rows = read_folder(spark, path, details.schema).select("*", "arrival.*")
+    summed = streams.trade_windows(rows, ("a", "b", "c", "d"), idle_ms=None)
+    return _amounts_as_double(_streamed(summed, "stream-trade"), "order_amount")
+
+
+@query(f"""WITH {o.VIEWS}, {o.REPAIRED}, {o.flags('views')}
+SELECT arrival, r.mid, r.is_new, uv_ct, sv_ct, so_ct FROM repaired r JOIN flags USING (arrival)""")
+def stream_visit_flags_and_repair(spark, folder):
+    views = s.page_views(spark, folder, s.events_stream(spark, folder)).select(
+        "arrival", "mid", "is_new", "visit_date", "last_page_id")
+    flagged = _streamed(keyed.visit_flags(views, idle_ms=None), "stream-flags")
+    again = views.select("arrival", "mid", "is_new", "visit_date")
+    fixed = _streamed(keyed.repair_new_visitor(again), "stream-repair")
+    return fixed.select("arrival", "mid", "is_new").join(
+        flagged.select("arrival", "uv_ct", "sv_ct", "so_ct"), "arrival")
+
+
+@query(_purchases_with_views_sql("1 DAY", "1 HOUR"))
+def stream_interval_join(spark, folder):
+    events = s.events_stream(spark, folder).select(
+        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("t"))
+    bought = events.where("event_type = 'purchase'").select(
+        "user_id", F.col("event_id").alias("purchase_id"), F.col("t").alias("bought_at")
+    ).withWatermark("bought_at", streams.NO_DISORDER)
+    seen = events.where("event_type = 'view'").select(
+        "user_id", F.col("event_id").alias("view_id"), F.col("t").alias("seen_at")
+    ).withWatermark("seen_at", streams.NO_DISORDER)
+    pairs = interval_join(bought, seen, ["user_id"], "bought_at", "seen_at", 24 * 3600, 3600)
+    return _streamed(pairs.select("user_id", "purchase_id", "view_id"), "stream-interval")

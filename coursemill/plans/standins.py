@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from coursemill.functions.scalars import second_text
 from coursemill.operators.state import chunk_of
 from coursemill.sources.tables import spread
+from coursemill.sources.topics import read_folder
 
 MONEY = "decimal(16,2)"
 
@@ -54,13 +55,23 @@ def arrival_chunk(arrival: str = "arrival") -> Column:
     return chunk_of(F.col(f"{arrival}.a"))
 
 
+def events_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole events table as a stream."""
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    return read_folder(spark, folder, schema, pathGlobFilter="events.parquet")
+
+
+def _with_k(events: DataFrame) -> DataFrame:
+    return events.withColumn("k", F.from_json("props", "k bigint")["k"])
+
+
 def _events_with_k(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").withColumn("k", F.from_json("props", "k bigint")["k"])
+    return _with_k(table(spark, folder, "events"))
 
 
-def page_views(spark: SparkSession, folder: str) -> DataFrame:
+def page_views(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
     """Page log rows from ``events``: device = user, source and flags from props.k."""
-    events = _events_with_k(spark, folder)
+    events = _with_k(table(spark, folder, "events") if events is None else events)
     return events.select(
         F.col("event_id").alias("arrival"),
         _text("user_id").alias("mid"),
@@ -79,9 +90,9 @@ def page_views(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def page_log(spark: SparkSession, folder: str) -> DataFrame:
+def page_log(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
     """The same rows as ``common`` and ``page`` maps."""
-    views = page_views(spark, folder)
+    views = page_views(spark, folder, events)
 
     def as_map(*names: str) -> Column:
         return F.create_map(*[x for n in names for x in (F.lit(n), _text(n))])

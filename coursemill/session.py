@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that may be changed on a running session and that results rely on.
 RESULT_CONF = {
@@ -56,3 +56,14 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="coursemill-")
     return f"{shared.rstrip('/')}/coursemill/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write the rows below the shared folder and read them back.
+
+    This is the hop between two jobs: the second one may scan the rows more than once, and a
+    lost executor costs a scan, not the first job.
+    """
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

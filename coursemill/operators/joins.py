@@ -12,6 +12,12 @@ HOT_ROWS = 1_000_000
 SALTS = 64
 
 
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with over ``hot_rows`` rows, marked ``_hot``. Counting combines on the map side."""
+    return (df.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
+            .select(key, F.lit(True).alias("_hot")))
+
+
 def spread_join(facts: DataFrame, other: DataFrame, on: str, spread_by: str,
                 hot_rows: int = HOT_ROWS, salts: int = SALTS) -> DataFrame:
     """Inner join of a large side with one that has few rows per key, safe for hot keys.
@@ -22,11 +28,10 @@ def spread_join(facts: DataFrame, other: DataFrame, on: str, spread_by: str,
     their partners are repeated. There are at most rows / ``hot_rows`` such keys, which bounds
     both what is broadcast and what is repeated.
     """
-    counts = facts.groupBy(on).agg(F.count("*").alias("_rows"))
-    hot = counts.where(F.col("_rows") > hot_rows).select(on, F.lit(True).alias("_hot"))
+    hot = F.broadcast(hot_keys(facts, on, hot_rows))
 
     def marked(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(hot), on, "left")
+        return df.join(hot, on, "left")
 
     salted = marked(facts).withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))

@@ -2,17 +2,18 @@
 
 The jobs here look at a key's previous (or first) row in arrival order. A plain
 ``Window.partitionBy(key)`` puts all rows of a key into one task, which fails when one
-device or user holds a large part of the data. So the arrival order is cut into chunks:
+device or user holds a large part of the data. So the rows per key are counted, and the arrival
+order of the keys with over ``hot_rows`` rows is cut into chunks:
 
-1. each (key, chunk) is reduced to its last (or first) value, with map-side combining;
+1. each (hot key, chunk) is reduced to its last value, with map-side combining;
 2. these few values are ordered per key, which says what each chunk starts from;
-3. the rows are sorted per (key, chunk) only, starting from that value.
+3. all rows are sorted per (key, chunk), a chunk starting from the value that enters it. A
+   key that is not hot is one chunk.
 
-The rows are read twice, the first time only for step 1. So the input should be a scan, which then
-reads few columns; what comes out of a join should be stored first.
-
-The result is exact for every chunk size. A task holds at most one chunk of rows of a key
-in step 3 and one value per chunk in step 2.
+The result is exact for every chunk size and every ``hot_rows``. A task holds at most a chunk
+of a hot key, or ``hot_rows`` rows of another. The data is shuffled once; the counts, and the
+last values of hot keys, read few columns. So the input should be a scan; what comes out of
+a join should be stored first.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coursemill.functions.scalars import differs, flag, is_blank
+from coursemill.operators.joins import HOT_ROWS, SALTS, hot_keys
 
 CHUNK = 1 << 20
 
@@ -32,17 +34,21 @@ def chunk_of(number: str | Column, span: int = CHUNK) -> Column:
 
 
 def with_previous(df: DataFrame, key: str, arrival: str, values: dict[str, Column],
-                  chunk: Column, out: str = "previous") -> DataFrame:
+                  chunk: Column, out: str = "previous", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add struct ``out``: ``values`` as they were in the key's previous row.
 
-    ``chunk`` must not fall as ``arrival`` rises. ``out`` is NULL in a key's first row.
+    ``chunk`` is a number that does not fall as ``arrival`` rises. ``out`` is NULL in a key's
+    first row.
     """
+    held = [f"_v_{name}" for name in values]
     rows = df.withColumns({
         **{f"_v_{name}": value for name, value in values.items()},
         "_chunk": chunk,
     })
-    held = [f"_v_{name}" for name in values]
-    tails = rows.groupBy(key, "_chunk").agg(*[F.max_by(c, arrival).alias(c) for c in held])
+    # At most rows / hot_rows keys, so they can be sent to every task.
+    hot = F.broadcast(hot_keys(df, key, hot_rows))
+    tails = (rows.join(hot, key).groupBy(key, "_chunk")
+             .agg(*[F.max_by(c, arrival).alias(c) for c in held]))
     # The last values of a chunk enter the key's next chunk as a row ahead of all others.
     # Sent as rows, they need no join and no second shuffle of the data.
     entering = (
@@ -51,10 +57,12 @@ def with_previous(df: DataFrame, key: str, arrival: str, values: dict[str, Colum
         .where(F.col("_chunk").isNotNull())
         .withColumn("_is_row", F.lit(False))
     )
+    placed = (rows.join(hot, key, "left")
+              .withColumn("_chunk", F.when(F.col("_hot"), F.col("_chunk"))).drop("_hot")
+              .withColumn("_is_row", F.lit(True)))
     in_chunk = Window.partitionBy(key, "_chunk").orderBy("_is_row", arrival)
     return (
-        rows.withColumn("_is_row", F.lit(True))
-        .unionByName(entering, allowMissingColumns=True)
+        placed.unionByName(entering, allowMissingColumns=True)
         .withColumn(out, F.lag(F.struct(
             *[F.col(f"_v_{name}").alias(name) for name in values])).over(in_chunk))
         .where("_is_row")
@@ -62,30 +70,39 @@ def with_previous(df: DataFrame, key: str, arrival: str, values: dict[str, Colum
     )
 
 
-def with_first(df: DataFrame, key: str, arrival: str, value: Column, chunk: Column,
-               out: str) -> DataFrame:
-    """Add ``out``: ``value`` as it was in the key's first row."""
-    rows = df.withColumn("_chunk", chunk)
-    heads = (
-        rows.withColumn(out, value)
-        .groupBy(key, "_chunk").agg(F.min_by(out, arrival).alias(out))
-        .withColumn(out, F.first(out).over(
-            Window.partitionBy(key).orderBy("_chunk")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+def with_first(df: DataFrame, key: str, arrival: str, value: Column, out: str,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add ``out``: ``value`` as it was in the key's first row.
+
+    The rows of hot keys get it from a broadcast list, of at most rows / ``hot_rows`` keys, and
+    are spread over the tasks of the join that serves the other rows. One aggregate gives both
+    the first values and the counts.
+    """
+    heads = df.withColumn(out, value).groupBy(key).agg(
+        F.min_by(out, arrival).alias(out), F.count("*").alias("_rows"))
+    is_hot = F.col("_rows") > hot_rows
+    hot = heads.where(is_hot).select(key, F.struct(out).alias("_hot"))
+    cold = heads.where(~is_hot).select(key, F.lit(0).alias("_salt"), F.struct(out).alias("_cold"))
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(arrival), F.lit(SALTS)) + 1)
+    return (
+        df.join(F.broadcast(hot), key, "left")
+        .withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
+        .join(cold, [key, "_salt"], "left")
+        .withColumn(out, F.coalesce("_hot", "_cold")[out])
+        .drop("_hot", "_cold", "_salt")
     )
-    # Joined per chunk, so that a key with very many rows is spread over its chunks.
-    return rows.join(heads, [key, "_chunk"], "left").drop("_chunk")
 
 
-def repair_new_visitor(df: DataFrame, chunk: Column, key: str = "mid", arrival: str = "arrival",
-                       day: str = "visit_date", is_new: str = "is_new") -> DataFrame:
+def repair_new_visitor(df: DataFrame, key: str = "mid", arrival: str = "arrival",
+                       day: str = "visit_date", is_new: str = "is_new",
+                       hot_rows: int = HOT_ROWS) -> DataFrame:
     """Correct the new-visitor flag: a device is new only on the day it was first seen.
 
     A device first seen with flag 0 was known before, so its first day is the day before.
     """
     says_new = F.col(is_new) == "1"
     known_since = F.when(says_new, F.col(day)).otherwise(F.date_sub(F.col(day), 1))
-    seen = with_first(df, key, arrival, known_since, chunk, "_first_day")
+    seen = with_first(df, key, arrival, known_since, "_first_day", hot_rows)
     return seen.withColumn(
         is_new,
         F.when(says_new & (F.col("_first_day") != F.col(day)), F.lit("0")).otherwise(F.col(is_new)),
@@ -111,10 +128,12 @@ def bounce_flag(starts: Column, previous_starts: Column) -> Column:
 
 
 def visit_flags(df: DataFrame, chunk: Column, key: str = "mid", arrival: str = "arrival",
-                day: str = "visit_date", last_page_id: str = "last_page_id") -> DataFrame:
+                day: str = "visit_date", last_page_id: str = "last_page_id",
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add daily unique visitor, session and bounce flags: uv_ct, sv_ct, so_ct."""
     starts = starts_session(F.col(last_page_id))
-    seen = with_previous(df, key, arrival, {"day": F.col(day), "starts": starts}, chunk)
+    seen = with_previous(df, key, arrival, {"day": F.col(day), "starts": starts}, chunk,
+                         hot_rows=hot_rows)
     return seen.withColumns({
         "uv_ct": new_day_flag(F.col(day), F.col("previous.day")),
         "sv_ct": flag(starts),
@@ -123,8 +142,9 @@ def visit_flags(df: DataFrame, chunk: Column, key: str = "mid", arrival: str = "
 
 
 def daily_first_order_flag(df: DataFrame, chunk: Column, key: str = "user_id",
-                           arrival: str = "arrival", day: str = "order_date") -> DataFrame:
+                           arrival: str = "arrival", day: str = "order_date",
+                           hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add order_user_ct: 1 for the first order row of a user on a day."""
-    seen = with_previous(df, key, arrival, {"day": F.col(day)}, chunk)
+    seen = with_previous(df, key, arrival, {"day": F.col(day)}, chunk, hot_rows=hot_rows)
     return seen.withColumn(
         "order_user_ct", new_day_flag(F.col(day), F.col("previous.day"))).drop("previous")

@@ -302,7 +302,7 @@ def lookup_found_and_missing(spark, folder):
 @query(f"WITH {o.VIEWS}, {o.REPAIRED} SELECT arrival, mid, is_new FROM repaired")
 def new_visitor_repair(spark, folder):
     views = s.page_views(spark, folder).select("arrival", "mid", "is_new", "visit_date")
-    return state.repair_new_visitor(views, state.chunk_of("arrival")).drop("visit_date")
+    return state.repair_new_visitor(views).drop("visit_date")
 
 
 @query(f"""WITH {o.VIEWS}, {o.flags('views')}
@@ -315,9 +315,9 @@ def visit_flags(spark, folder):
 @query(f"""WITH {o.VIEWS}, {o.flags('views')}
 SELECT arrival, mid, uv_ct, sv_ct, so_ct FROM flags""")
 def visit_flags_small_chunks(spark, folder):
-    """The same flags when the history is cut into many chunks, as a large table is."""
+    """The same flags with every key taken as hot and its history cut into many chunks."""
     views = s.page_views(spark, folder).select("arrival", "mid", "last_page_id", "visit_date")
-    return state.visit_flags(views, state.chunk_of("arrival", 97)).drop(
+    return state.visit_flags(views, state.chunk_of("arrival", 97), hot_rows=0).drop(
         "visit_date", "last_page_id")
 
 
@@ -468,7 +468,7 @@ def day_trade_by_province(spark, folder):
 # --- behaviour log ----------------------------------------------------------------------------
 
 def _split(spark, folder) -> DataFrame:
-    return jobs.split_log(s.behaviour_log(spark, folder), state.chunk_of("arrival"))
+    return jobs.split_log(s.behaviour_log(spark, folder))
 
 
 @query("""SELECT text AS value FROM documents

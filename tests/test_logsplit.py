@@ -1,6 +1,6 @@
 import json
 
-from coursemill.operators import logsplit, state
+from coursemill.operators import logsplit
 from coursemill.plans import jobs
 from tests.conftest import rows
 
@@ -10,7 +10,7 @@ COMMON = {"mid": "m", "is_new": "1", "sc": "1", "sid": "s", "os": "x"}
 def split(spark, *texts):
     texts = [t if t is None or isinstance(t, str) else json.dumps(t) for t in texts]
     log = spark.createDataFrame(list(enumerate(texts)), "arrival bigint, value string")
-    out = jobs.split_log(log, state.chunk_of("arrival"))
+    out = jobs.split_log(log)
     return [(t, i, json.loads(v) if v and t != logsplit.DIRTY else v)
             for t, i, v in rows(out, "topic", "arrival", "value")]
 

@@ -22,7 +22,7 @@ def frame(spark, data, schema):
 ])
 def test_repair(spark, span, sent, expected):
     df = frame(spark, [("m", *s) for s in sent], "mid string, visit_date date, is_new string")
-    fixed = state.repair_new_visitor(df, state.chunk_of("arrival", span))
+    fixed = state.repair_new_visitor(df, hot_rows=span - 1)
     assert [r[1] for r in rows(fixed, "arrival", "is_new")] == expected
 
 
@@ -30,7 +30,7 @@ def test_repair(spark, span, sent, expected):
 def test_daily_unique_with_late_row(spark, span):
     df = frame(spark, [("m", d, "p") for d in (D1, D1, D2, D1)],
                "mid string, visit_date date, last_page_id string")
-    flagged = state.visit_flags(df, state.chunk_of("arrival", span))
+    flagged = state.visit_flags(df, state.chunk_of("arrival", span), hot_rows=0)
     assert [r[1] for r in rows(flagged, "arrival", "uv_ct")] == [1, 0, 1, 1]
 
 
@@ -38,7 +38,7 @@ def test_daily_unique_with_late_row(spark, span):
 def test_bounce(spark, span):
     df = frame(spark, [("m", D1, p) for p in (None, "p", "p", None, "", "p")],
                "mid string, visit_date date, last_page_id string")
-    flagged = state.visit_flags(df, state.chunk_of("arrival", span))
+    flagged = state.visit_flags(df, state.chunk_of("arrival", span), hot_rows=0)
     assert [r[1:] for r in rows(flagged, "arrival", "so_ct", "sv_ct")] == [
         (1, 1), (-1, 0), (0, 0), (1, 1), (1, 1), (-1, 0)]
 
@@ -46,7 +46,7 @@ def test_bounce(spark, span):
 @pytest.mark.parametrize("span", CHUNKS)
 def test_first_order_of_day(spark, span):
     df = frame(spark, [("u", d) for d in (D1, D1, D2)], "user_id string, order_date date")
-    flagged = state.daily_first_order_flag(df, state.chunk_of("arrival", span))
+    flagged = state.daily_first_order_flag(df, state.chunk_of("arrival", span), hot_rows=0)
     assert [r[1] for r in rows(flagged, "arrival", "order_user_ct")] == [1, 0, 1]
 
 
@@ -67,15 +67,16 @@ def replay(data):
     return out
 
 
-@pytest.mark.parametrize("span", [1, 7, 64, 10_000])
-def test_random_rows_with_a_hot_device(spark, span):
+@pytest.mark.parametrize("span, hot_rows", [(1, 0), (7, 0), (64, 100), (64, 10_000)])
+def test_random_rows_with_a_hot_device(spark, span, hot_rows):
     rnd = random.Random(5)
     data = [(rnd.choice(["hot"] * 4 + list("abcdefgh")),
              D1 + dt.timedelta(days=i // 80 - rnd.choice([0, 0, 0, 1])),
              rnd.choice("01"), rnd.choice([None, "", "p", "q"])) for i in range(600)]
     df = frame(spark, data, "mid string, visit_date date, is_new string, last_page_id string")
     chunk = state.chunk_of("arrival", span)
-    flagged = state.visit_flags(state.repair_new_visitor(df, chunk), chunk)
+    flagged = state.visit_flags(state.repair_new_visitor(df, hot_rows=hot_rows), chunk,
+                                hot_rows=hot_rows)
     got = [r[1:] for r in sorted(tuple(r) for r in flagged.select(
         "arrival", "is_new", "uv_ct", "sv_ct", "so_ct").collect())]
     assert got == replay(data)

@@ -73,7 +73,7 @@ def test_visit_flags_and_repair(spark, folder):
     assert rows(flags, *flags.columns) == rows(state.visit_flags(views, chunk), *flags.columns)
     _, fixed = collected(spark, keyed.repair_new_visitor(stream), f"{folder}/fixed")
     assert rows(fixed, *fixed.columns) == rows(
-        state.repair_new_visitor(views, chunk), *fixed.columns)
+        state.repair_new_visitor(views), *fixed.columns)
 
 
 def test_log_split(spark, folder):
@@ -81,7 +81,7 @@ def test_log_split(spark, folder):
     stream = as_stream(spark, log, f"{folder}/in", files=2)
     run(streams.split_log(stream), sinks.topics_writer(f"{folder}/out"), folder)
     out = spark.read.parquet(f"{folder}/out")
-    batch = jobs.split_log(log, state.chunk_of("arrival"))
+    batch = jobs.split_log(log)
     names = ("topic", "arrival", "value")
     assert rows(out, *names) == rows(batch, *names)
 

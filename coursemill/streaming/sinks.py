@@ -62,6 +62,15 @@ def keyed_writer(path: str) -> WriteBatch:
     return lambda df, batch_id: write_batch(df, path, batch_id)
 
 
+def job_writer(path: str, job: Callable[[DataFrame], DataFrame],
+               partition_by: Sequence[str] = ()) -> WriteBatch:
+    """What a batch job makes of each micro-batch, such as a fact with its dimension.
+
+    The job runs anew per micro-batch, so a dimension that it reads is the current one.
+    """
+    return lambda df, batch_id: write_batch(job(df), path, batch_id, partition_by)
+
+
 def read_keyed(spark: SparkSession, path: str, key: str | Sequence[str]) -> DataFrame:
     """The last row per key: the highest arrival of the newest batch that has the key."""
     rows = spark.read.parquet(path).withColumn("_at", F.struct("batch_id", "arrival"))

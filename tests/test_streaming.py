@@ -211,6 +211,46 @@ def test_replayed_batch_changes_nothing(spark, folder):
     assert "PartitionFilters: [cast(cur_date" in plan
 
 
+def test_fact_stream_sees_the_current_dimension(spark, folder):
+    reviews = spark.createDataFrame(
+        [change("review_info", i, i, id=str(i), user_id="u", course_id="c", review_stars="5")
+         for i in (1, 2)], CHANGE_COLUMNS)
+    dim = f"{folder}/course"
+
+    def name(value, batch):
+        spark.createDataFrame([("c", value)], "id string, course_name string").write.parquet(
+            f"{dim}/{batch}")
+
+    def current():
+        return (spark.read.parquet(f"{dim}/*").groupBy("id")
+                .agg(F.max("course_name").alias("course_name")))
+
+    write = sinks.job_writer(f"{folder}/review", lambda df: facts.review(df, current()))
+
+    def named_then_write(df, batch_id):
+        name(f"name {batch_id}", batch_id)
+        write(df, batch_id)
+
+    run(as_stream(spark, reviews, f"{folder}/in", files=2), named_then_write, folder)
+    assert rows(sinks.read_keyed(spark, f"{folder}/review", "id"), "id", "course_name") == [
+        ("1", "name 0"), ("2", "name 1")]
+
+
+def test_dimension_stream(spark, folder):
+    changes = spark.createDataFrame(
+        [change("course", 0, 0, id="1", name="a"), change("course", 1, 1, id="1", price="3"),
+         change("other", 2, 2, id="9"), change("course", 3, 3, name="no key")], CHANGE_COLUMNS)
+    config = spark.createDataFrame(
+        [("course", "dim_course", "info", "id,name,price", "id")],
+        "source_table string, sink_table string, sink_family string, sink_columns string, "
+        "sink_row_key string")
+    write = sinks.dimension_writer(f"{folder}/log", lambda: config, f"{folder}/quarantine")
+    run(as_stream(spark, changes, f"{folder}/in", files=2), write, folder)
+    assert rows(sinks.read_dimensions(spark, f"{folder}/log")) == [
+        ("dim_course", "1", {"id": "1", "name": "a", "price": "3"})]
+    assert spark.read.parquet(f"{folder}/quarantine").count() == 1
+
+
 def test_no_rows_on_a_day(spark):
     empty = spark.createDataFrame([], "source_name string, so_ct bigint, sv_ct bigint, cur_date string")
     assert rows(reports.bounce_rate_by_source(reports.one_day(empty))) == []

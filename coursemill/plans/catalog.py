@@ -201,7 +201,8 @@ def fact_order_detail_per_view(spark, folder):
 
 
 @query(f"""WITH {o.DETAILS}, ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY id ORDER BY a DESC, b DESC, c DESC, dd DESC) AS rn
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY a DESC, b DESC, c DESC,
+                               dd DESC, e DESC, f DESC) AS rn
   FROM details) SELECT {o.DETAIL_COLUMNS} FROM ranked WHERE rn = 1""")
 def fact_order_detail_keyed(spark, folder):
     return _fact(latest_per_key(_details(spark, folder), "id"))
@@ -230,7 +231,8 @@ def fact_payment_success_30_days(spark, folder):
 @query(f"""WITH {o.DETAILS}, {o.PAYMENTS}, joined AS (
   SELECT paid.id, paid.order_id, total_amount, ts, d.id AS detail_id, user_id, course_id,
          course_name, origin_amount, coupon_reduce, final_amount, session_id, province_id,
-         row_number() OVER (PARTITION BY paid.id ORDER BY a DESC, b DESC, c DESC, dd DESC) AS rn
+         row_number() OVER (PARTITION BY paid.id ORDER BY a DESC, b DESC, c DESC,
+                               dd DESC, e DESC, f DESC) AS rn
   FROM paid JOIN details d ON paid.order_id = d.order_id
    AND d.t BETWEEN pay_time - INTERVAL 30 DAYS AND pay_time + INTERVAL 30 DAYS)
 SELECT * EXCLUDE (rn) FROM joined WHERE rn = 1""")
@@ -375,7 +377,7 @@ def trade_windows(spark, folder):
 
 @query(f"""WITH {o.TRADE_FLAGS}, subjects AS (
   SELECT p_brand, min(p_type) AS category_id FROM part GROUP BY p_brand)
-SELECT {o.stamps('t')}, course_id, arg_min(course_name, (a, b, c, dd)) AS course_name,
+SELECT {o.stamps('t')}, course_id, arg_min(course_name, (a, b, c, dd, e, f)) AS course_name,
        part.p_brand AS subject_id, lower(part.p_brand) AS subject_name, category_id,
        lower(category_id) AS category_name, {o.TRADE_SUMS}
 FROM trade_flags JOIN part ON CAST(p_partkey AS VARCHAR) = course_id
@@ -669,7 +671,7 @@ def stream_trade_windows(spark, folder):
     details = _details(spark, folder)
     details.write.parquet(path)
     rows = read_folder(spark, path, details.schema).select("*", "arrival.*")
-    summed = streams.trade_windows(rows, ("a", "b", "c", "d"), idle_ms=None)
+    summed = streams.trade_windows(rows, s.ARRIVAL, idle_ms=None)
     return _amounts_as_double(_streamed(summed, "stream-trade"), "order_amount")
 
 

@@ -87,7 +87,9 @@ lines AS (
          strftime(l_shipdate, {SECOND}) AS create_time,
          CAST(o_custkey AS VARCHAR) AS session_id, CAST(o_custkey % 25 AS VARCHAR) AS province_id,
          {EPOCH.format('l_shipdate')} AS ts, l_shipdate AS t,
-         l_orderkey AS a, l_linenumber AS b, l_partkey AS c, l_suppkey AS dd
+         l_orderkey AS a, l_linenumber AS b, l_partkey AS c, l_suppkey AS dd,
+         CAST(epoch(l_shipdate) AS BIGINT) AS e,
+         CAST(CAST(l_extendedprice AS DECIMAL(16,2)) * 100 AS BIGINT) AS f
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
   WHERE l_returnflag <> 'A' AND o_orderstatus <> 'P')"""
 
@@ -99,7 +101,7 @@ details AS (SELECT lines.*, sc AS source FROM lines JOIN last_views ON session_i
 
 TRADE_FLAGS = DETAILS + """,
 trade_flags AS (
-  SELECT *, CAST(CASE WHEN lag(CAST(t AS DATE)) OVER (PARTITION BY user_id ORDER BY a, b, c, dd)
+  SELECT *, CAST(CASE WHEN lag(CAST(t AS DATE)) OVER (PARTITION BY user_id ORDER BY a, b, c, dd, e, f)
                       IS DISTINCT FROM CAST(t AS DATE) THEN 1 ELSE 0 END AS BIGINT)
               AS order_user_ct
   FROM details)"""

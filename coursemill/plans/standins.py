@@ -44,11 +44,22 @@ def _seconds(column: str) -> Column:
     return F.unix_seconds(_time(column)).cast("string")
 
 
-def _arrival(*columns: str) -> Column:
-    """A total arrival order of up to four numbers."""
-    parts = [F.col(c).cast("bigint") for c in columns]
-    parts += [F.lit(0).cast("bigint")] * (4 - len(parts))
-    return F.struct(*[p.alias(n) for p, n in zip(parts, "abcd")])
+# The numbers of an arrival order, first to last.
+ARRIVAL = ("a", "b", "c", "d", "e", "f")
+
+
+def _arrival(*columns: str | Column) -> Column:
+    """A total arrival order of up to six numbers."""
+    parts = [(F.col(c) if isinstance(c, str) else c).cast("bigint") for c in columns]
+    parts += [F.lit(0).cast("bigint")] * (len(ARRIVAL) - len(parts))
+    return F.struct(*[p.alias(n) for p, n in zip(parts, ARRIVAL)])
+
+
+def _line_arrival() -> Column:
+    """Order and line numbers repeat, and so may part and supplier: time and price decide last."""
+    return _arrival("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    F.unix_seconds(_time("l_shipdate")),
+                    F.col("l_extendedprice").cast(MONEY) * 100)
 
 
 def arrival_chunk(arrival: str = "arrival") -> Column:
@@ -181,7 +192,7 @@ def _line_changes(spark: SparkSession, folder: str, name: str) -> DataFrame:
         table(spark, folder, "lineitem"), name,
         F.when(F.col("l_returnflag") == "A", "update").otherwise("insert"),
         _seconds("l_shipdate"),
-        _arrival("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), **data)
+        _line_arrival(), **data)
 
 
 def _order_changes(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -105,7 +105,7 @@ def test_trade_and_course_windows(spark, folder, job):
     details = facts.order_detail(
         s.change_log(spark, SF, "order_detail", "order_info"), s.order_views(spark, SF))
     # Rows arrive in time order, and within an instant as the table orders them.
-    order = ("ts_number", "a", "b", "c", "d")
+    order = ("ts_number", *s.ARRIVAL)
     flat = details.withColumn("ts_number", F.col("ts").cast("bigint")).select(
         *details.columns, "ts_number", "arrival.*").drop("arrival")
     stream = as_stream(spark, flat, f"{folder}/in", by="ts_number", files=2)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from coursemill.llm import mixing
+from coursemill.llm import mixing, packing, tokens
 
 QUERIES = {
+    "op2_token_files": tokens.query,
     "op4_mixing": mixing.query,
+    "op6_packing": packing.query,
 }
 
 ORACLE = {

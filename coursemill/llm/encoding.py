@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 END_ID = 1
 KEPT_PIECES = 600_000  # distinct pieces that a worker keeps, about 150 MB
@@ -103,7 +104,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = np.nan_to_num(np.asarray(
-            pa.compute.binary_length(column).to_pandas(), dtype=float)).astype(np.int64)
+            pc.binary_length(column).to_pandas(), dtype=float)).astype(np.int64)
         part = np.cumsum(sizes) // CHUNK_CHARS
         bounds = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for start, stop in zip(bounds, bounds[1:], strict=False):

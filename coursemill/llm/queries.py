@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from coursemill.llm import mixing, packing, tokens
+from coursemill.llm import mixing, packing, pii, tokens
 
 QUERIES = {
     "op2_token_files": tokens.query,
+    "op3_personal_data": pii.query,
     "op4_mixing": mixing.query,
     "op6_packing": packing.query,
 }
 
 ORACLE = {
+    "op3_personal_data": pii.SQL,
     "op4_mixing": mixing.SQL,
 }

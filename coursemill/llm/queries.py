@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from coursemill.llm import mixing, packing, pii, tokens
+from coursemill.llm import mixing, packing, pii, quality, tokens
 
 QUERIES = {
     "op2_token_files": tokens.query,
     "op3_personal_data": pii.query,
     "op4_mixing": mixing.query,
     "op6_packing": packing.query,
+    "op8_quality_rules": quality.query,
 }
 
 ORACLE = {
     "op3_personal_data": pii.SQL,
     "op4_mixing": mixing.SQL,
+    "op8_quality_rules": quality.SQL,
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from coursemill.llm import mixing, packing, pii, quality, tokens
+from coursemill.llm import mixing, packing, pii, quality, simhash, tokens
 
 QUERIES = {
+    "op1_simhash": simhash.query,
     "op2_token_files": tokens.query,
     "op3_personal_data": pii.query,
     "op4_mixing": mixing.query,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from coursemill.llm import mixing, packing, pii, quality, simhash, tokens
+from coursemill.llm import mixing, packing, pii, quality, simhash, sketches, tokens
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_mixing": mixing.query,
     "op6_packing": packing.query,
     "op8_quality_rules": quality.query,
+    "op9_fingerprints": sketches.query,
 }
 
 ORACLE = {

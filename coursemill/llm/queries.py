@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from coursemill.llm import mixing, packing, pii, quality, simhash, sketches, tokens
+from coursemill.llm import (
+    mixing,
+    packing,
+    pii,
+    quality,
+    simhash,
+    sketches,
+    tokens,
+    toxicity,
+)
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -10,6 +19,7 @@ QUERIES = {
     "op3_personal_data": pii.query,
     "op4_mixing": mixing.query,
     "op6_packing": packing.query,
+    "op7_toxicity": toxicity.query,
     "op8_quality_rules": quality.query,
     "op9_fingerprints": sketches.query,
 }

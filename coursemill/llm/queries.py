@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from coursemill.llm import (
+    fixity,
     mixing,
     packing,
     pii,
@@ -22,10 +23,12 @@ QUERIES = {
     "op7_toxicity": toxicity.query,
     "op8_quality_rules": quality.query,
     "op9_fingerprints": sketches.query,
+    "op10_warc_fixity": fixity.query,
 }
 
 ORACLE = {
     "op3_personal_data": pii.SQL,
     "op4_mixing": mixing.SQL,
     "op8_quality_rules": quality.SQL,
+    "op10_warc_fixity": fixity.SQL,
 }

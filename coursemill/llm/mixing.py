@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coursemill.llm.columns import table, word_count
+from coursemill.llm.columns import WORD, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -105,6 +105,31 @@ def mix(docs: DataFrame, size: Column | None = None, source: str = "source",
         .drop("_source", "_key", "_range", "_of", "_in", "_start", "_before"))
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mix itself: documents as often as it takes them, with the columns of ``docs``.
+
+    Where the budget cuts a document, its first words as far as they are taken, joined by one
+    space, are a row. ``n_chars`` follows. Documents of which no word is taken are left out.
+    """
+    own = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    rows = mix(docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row")))
+    whole = F.floor(F.col("taken") / F.col("size")).cast("int")
+    part = (F.col("taken") % F.col("size")).cast("int")
+    rows = rows.where("taken > 0").select(
+        "_row", F.explode(F.concat(
+            F.array_repeat(F.lit(0), whole),
+            F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>"))))
+        .alias("_words"))
+    cut = F.array_join(F.slice(F.regexp_extract_all(
+        F.col("_row.text"), F.lit(WORD), F.lit(0)), 1, F.greatest("_words", F.lit(1))), " ")
+    out = rows.select(*own, "_words", F.when(F.col("_words") > 0, cut).alias("_cut"))
+    out = out.withColumn("text", F.coalesce("_cut", "text"))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("_words") > 0, F.length("text").cast(
+            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
 def query(spark, folder):
     docs = table(spark, folder, "documents")
     rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))

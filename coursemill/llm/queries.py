@@ -10,6 +10,7 @@ from coursemill.llm import (
     quality,
     simhash,
     sketches,
+    substrings,
     tokens,
     toxicity,
 )
@@ -19,6 +20,7 @@ QUERIES = {
     "op2_token_files": tokens.query,
     "op3_personal_data": pii.query,
     "op4_mixing": mixing.query,
+    "op5_substrings": substrings.query,
     "op6_packing": packing.query,
     "op7_toxicity": toxicity.query,
     "op8_quality_rules": quality.query,

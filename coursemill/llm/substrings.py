@@ -6,7 +6,7 @@ symbol is named by a hash of the names it is made of, so equal passages get equa
 everywhere, but for the ends, where a symbol may depend on words outside. Every symbol carries
 the words that it depends on, its context; a window of words knows the symbols whose context
 lies within it, and among these an anchor: one of the highest round, of the least hash. Equal
-windows have equal anchors.
+windows have equal anchors, and an anchor is named with its context, several words.
 
 1. Spark finds the anchors that more than one document has. Most text has none of them.
 2. Only windows of a shared anchor are named (128 bits) and looked up in all documents.
@@ -31,7 +31,7 @@ from coursemill import session
 from coursemill.llm.columns import table
 
 WINDOW = 13
-ROUNDS = 3
+ROUNDS = 2
 CHUNK_BYTES = 6_000_000  # text that a task parses together
 
 _FAR = 1 << 40
@@ -99,16 +99,17 @@ class Sequences:
             yield names, first, last
 
     def anchors(self, rounds: int = ROUNDS) -> np.ndarray:
-        """The name of the anchor of the window at each word; a window that knows no symbol is
-        its own. Undefined where no window starts."""
+        """The name of the anchor of the window at each word: of its symbol with the context.
+
+        A window that knows no symbol is its own. Undefined where no window starts.
+        """
         n = len(self.names)
-        found, best = np.zeros(n, np.uint64), np.full(n, ~np.uint64(0))
-        open_ = self.whole.copy()
+        begin, end = np.arange(n), np.arange(n) + self.window
+        best, open_ = np.empty(n, np.uint64), self.whole.copy()
         for names, first, last in reversed(list(self.rounds(rounds))):
             best[:] = ~np.uint64(0)
             fits = np.flatnonzero(last - first <= self.window)
-            names, first, last = names[fits], first[fits], last[fits]
-            rank = _mixed(names)
+            first, last, rank = first[fits], last[fits], _mixed(names[fits])
             for k in range(self.window):
                 at = last - self.window + k
                 own = np.flatnonzero((at <= first) & (at >= 0))
@@ -116,11 +117,18 @@ class Sequences:
                     break
                 at = at[own]
                 better = (rank[own] < best[at]) & open_[at]
-                best[at[better]] = rank[own][better]
-                found[at[better]] = names[own][better]
+                at, own = at[better], own[better]
+                best[at], begin[at], end[at] = rank[own], first[own], last[own]
             open_ &= best == ~np.uint64(0)
-        alone = np.flatnonzero(open_)
-        found[alone] = self.keys(alone, 0)
+        at = np.flatnonzero(self.whole)
+        starts = _runs(begin[at], end[at])  # neighbours mostly share their anchor
+        first, last = begin[at[starts]], end[at[starts]]
+        total = (last - first).astype(np.uint64)
+        for k in range(self.window):
+            inside = np.flatnonzero(first + k < last)
+            total[inside] += _mixed(self.names[first[inside] + k]) * _ODD[1, k % 128]
+        found = np.zeros(n, np.uint64)
+        found[at] = np.repeat(_mixed(total), np.diff(np.append(starts, len(at))))
         return found
 
 

@@ -9,13 +9,24 @@ from pyspark.sql import functions as F
 
 # A key with more rows than this is spread over SALTS tasks.
 HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
 SALTS = 64
 
 
+def hottest(counted: DataFrame, hot_rows: int) -> DataFrame:
+    """The rows of a table with ``_rows`` per key that are over ``hot_rows``, HOT_KEYS at most.
+
+    This bounds what is broadcast. Which keys count as hot decides how rows are dealt, and
+    nothing about the results.
+    """
+    return counted.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows")).limit(HOT_KEYS)
+
+
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with over ``hot_rows`` rows, marked ``_hot``. Counting combines on the map side."""
-    return (df.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > hot_rows)
-            .select(key, F.lit(True).alias("_hot")))
+    """The hottest keys with over ``hot_rows`` rows, marked ``_hot``. Counting combines on the
+    map side."""
+    counted = df.groupBy(key).agg(F.count("*").alias("_rows"))
+    return hottest(counted, hot_rows).select(key, F.lit(True).alias("_hot"))
 
 
 def spread_join(facts: DataFrame, other: DataFrame, on: str, spread_by: str,
@@ -25,8 +36,8 @@ def spread_join(facts: DataFrame, other: DataFrame, on: str, spread_by: str,
     AQE cannot split a skewed partition when the other side comes straight from an
     aggregation, as "the last row per session" does. So keys with over ``hot_rows`` rows are
     found by a counting aggregate, their rows are spread by a hash of ``spread_by``, and only
-    their partners are repeated. There are at most rows / ``hot_rows`` such keys, which bounds
-    both what is broadcast and what is repeated.
+    their partners are repeated. There are HOT_KEYS such keys at most, which bounds both what is
+    broadcast and what is repeated.
     """
     hot = F.broadcast(hot_keys(facts, on, hot_rows))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coursemill.functions.jsontext import as_array
 from coursemill.functions.scalars import millis_to_time
 
 # Output topics.
@@ -21,36 +22,27 @@ DISPLAY = "dwd_traffic_display_log"
 ACTION = "dwd_traffic_action_log"
 PAGE = "dwd_traffic_page_log"
 
-_HEAD = "array<struct<common:struct<mid:string,is_new:string>,ts:bigint>>"
 _RECORD = "map<string,variant>"
 
 
-def _as_array(text: Column, schema: str) -> Column:
-    """Parse JSON object text as the only element of an array.
-
-    The array has another length, or is NULL, for text that is no single JSON object. That also
-    refuses text that goes on after the object, which ``from_json`` on the object alone
-    would pass over.
-    """
-    return F.when(F.rtrim(text).endswith("}"),
-                  F.from_json(F.concat(F.lit("["), text, F.lit("]")), schema))
-
-
 def parse_log(log: DataFrame) -> DataFrame:
     """Add device, flag, time and day, which are all that the flag repair needs.
 
-    ``mid`` is NULL for dirty rows: text that is no JSON object, or that names no device or
-    time. The other fields are skipped here and read in :func:`split`. Exploding makes the
-    parsed head a column of its own, so that filters on it do not parse the text again.
+    ``mid`` is NULL for dirty rows: text that is no single JSON object as a whole (an object
+    that names a field twice is none), or that names no device or time. A time may be a
+    number or one in quotes. Exploding makes the parsed record a column of its own, so that
+    filters on it do not parse the text again.
     """
-    heads = log.withColumn("heads", _as_array(F.col("value"), _HEAD)).withColumn(
-        "head", F.explode_outer(F.when(F.size("heads") == 1, F.col("heads"))))
-    complete = F.col("head.common.mid").isNotNull() & F.col("head.ts").isNotNull()
-    return heads.select(
+    parsed = log.withColumn("records", as_array(F.col("value"), _RECORD)).withColumn(
+        "record", F.explode_outer(F.when(F.size("records") == 1, F.col("records"))))
+    common = F.col("record")["common"]
+    mid = F.try_variant_get(common, "$.mid", "string")
+    ts = F.try_variant_get(F.col("record")["ts"], "$", "string").try_cast("bigint")
+    return parsed.select(
         "value", *_arrival(log),
-        F.when(complete, F.col("head.common.mid")).alias("mid"),
-        F.col("head.common.is_new").alias("is_new"),
-        F.to_date(millis_to_time(F.col("head.ts"))).alias("visit_date"))
+        F.when(mid.isNotNull() & ts.isNotNull(), mid).alias("mid"),
+        F.try_variant_get(common, "$.is_new", "string").alias("is_new"),
+        F.to_date(millis_to_time(ts)).alias("visit_date"))
 
 
 def dirty(parsed: DataFrame) -> DataFrame:
@@ -108,7 +100,7 @@ def split(repaired: DataFrame) -> DataFrame:
     # Parsed once, as a column of its own; each field becomes text once, and the rows are
     # put together from these texts.
     parsed = repaired.select(
-        F.explode(_as_array(F.col("value"), f"array<{_RECORD}>")).alias("record"),
+        F.explode(as_array(F.col("value"), _RECORD)).alias("record"),
         "is_new", "sent_is_new", *carried)
     record = F.col("record")
 

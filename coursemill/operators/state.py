@@ -10,7 +10,8 @@ order of the keys with over ``hot_rows`` rows is cut into chunks:
 3. all rows are sorted per (key, chunk), a chunk starting from the value that enters it. A
    key that is not hot is one chunk.
 
-The result is exact for every chunk size and every ``hot_rows``. A task holds at most a chunk
+The result is exact for every chunk size, every ``hot_rows`` and whichever keys are taken as hot.
+NULL is a key like any other. A task holds at most a chunk
 of a hot key, or ``hot_rows`` rows of another. The data is shuffled once; the counts, and the
 last values of hot keys, read few columns. So the input should be a scan; what comes out of
 a join should be stored first.
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from coursemill.functions.scalars import differs, flag, is_blank
-from coursemill.operators.joins import HOT_ROWS, SALTS, hot_keys
+from coursemill.operators.joins import HOT_ROWS, hot_keys, hottest
 
 CHUNK = 1 << 20
 
@@ -45,9 +46,9 @@ def with_previous(df: DataFrame, key: str, arrival: str, values: dict[str, Colum
         **{f"_v_{name}": value for name, value in values.items()},
         "_chunk": chunk,
     })
-    # At most rows / hot_rows keys, so they can be sent to every task.
-    hot = F.broadcast(hot_keys(df, key, hot_rows))
-    tails = (rows.join(hot, key).groupBy(key, "_chunk")
+    hot = F.broadcast(hot_keys(df, key, hot_rows).withColumnRenamed(key, "_hot_key"))
+    same = F.col(key).eqNullSafe(F.col("_hot_key"))
+    tails = (rows.join(hot, same).groupBy(key, "_chunk")
              .agg(*[F.max_by(c, arrival).alias(c) for c in held]))
     # The last values of a chunk enter the key's next chunk as a row ahead of all others.
     # Sent as rows, they need no join and no second shuffle of the data.
@@ -57,8 +58,8 @@ def with_previous(df: DataFrame, key: str, arrival: str, values: dict[str, Colum
         .where(F.col("_chunk").isNotNull())
         .withColumn("_is_row", F.lit(False))
     )
-    placed = (rows.join(hot, key, "left")
-              .withColumn("_chunk", F.when(F.col("_hot"), F.col("_chunk"))).drop("_hot")
+    placed = (rows.join(hot, same, "left")
+              .withColumn("_chunk", F.when(F.col("_hot"), F.col("_chunk"))).drop("_hot", "_hot_key")
               .withColumn("_is_row", F.lit(True)))
     in_chunk = Window.partitionBy(key, "_chunk").orderBy("_is_row", arrival)
     return (
@@ -72,25 +73,24 @@ def with_previous(df: DataFrame, key: str, arrival: str, values: dict[str, Colum
 
 def with_first(df: DataFrame, key: str, arrival: str, value: Column, out: str,
                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``out``: ``value`` as it was in the key's first row.
+    """Add ``out``: ``value`` as it was in the key's first row. NULL is a key like any other.
 
-    The rows of hot keys get it from a broadcast list, of at most rows / ``hot_rows`` keys, and
-    are spread over the tasks of the join that serves the other rows. One aggregate gives both
-    the first values and the counts.
+    The rows of hot keys get it from a broadcast list, of HOT_KEYS keys at most, and take no
+    part in the join that serves the other rows. One aggregate gives both the first values and
+    the counts.
     """
-    heads = df.withColumn(out, value).groupBy(key).agg(
+    heads = df.withColumn(out, value).groupBy(F.col(key).alias("_head_key")).agg(
         F.min_by(out, arrival).alias(out), F.count("*").alias("_rows"))
-    is_hot = F.col("_rows") > hot_rows
-    hot = heads.where(is_hot).select(key, F.struct(out).alias("_hot"))
-    cold = heads.where(~is_hot).select(key, F.lit(0).alias("_salt"), F.struct(out).alias("_cold"))
-    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(arrival), F.lit(SALTS)) + 1)
-    return (
-        df.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
-        .join(cold, [key, "_salt"], "left")
-        .withColumn(out, F.coalesce("_hot", "_cold")[out])
-        .drop("_hot", "_cold", "_salt")
-    )
+    hot = F.broadcast(
+        hottest(heads, hot_rows).select(F.col("_head_key").alias("_hot_key"),
+                                        F.struct(out).alias("_hot")))
+    cold = heads.select("_head_key", F.struct(out).alias("_cold"))
+    marked = df.join(hot, F.col(key).eqNullSafe(F.col("_hot_key")), "left").drop("_hot_key")
+    served = marked.where("_hot IS NULL").join(
+        cold, F.col(key).eqNullSafe(F.col("_head_key")), "left").withColumn(
+        out, F.col("_cold")[out]).drop("_hot", "_head_key", "_cold")
+    return marked.where("_hot IS NOT NULL").withColumn(out, F.col("_hot")[out]).drop(
+        "_hot").unionByName(served)
 
 
 def repair_new_visitor(df: DataFrame, key: str = "mid", arrival: str = "arrival",

@@ -23,7 +23,7 @@ CHANGE_LOG = T.StructType([
 PAGE_LOG = T.StructType([
     T.StructField("common", T.MapType(_S, _S)),
     T.StructField("page", T.MapType(_S, _S)),
-    T.StructField("ts", T.LongType()),  # milliseconds
+    T.StructField("ts", _S),  # milliseconds, as a number or in quotes
 ])
 
 DIM_CONFIG = _strings("source_table sink_table sink_family sink_columns sink_row_key")

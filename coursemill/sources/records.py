@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from coursemill import schemas
+from coursemill.functions.jsontext import as_array
 from coursemill.functions.scalars import millis_to_whole_second, seconds_to_time
 
 _BAD = "_bad"
@@ -16,7 +17,7 @@ def records(topic: DataFrame, schema: StructType, carry: tuple[str, ...] = ("arr
             ) -> DataFrame:
     """JSON text in ``value`` to declared columns. Null messages and bad text are left out.
 
-    See :func:`bad_records` for the text.
+    See :func:`bad_records` for the text. Each text is either a record or bad, as a whole.
     """
     parsed = _parsed(topic, schema).where(~F.col(_BAD))
     return parsed.select(*[F.col("r")[n].alias(n) for n in schema.names],
@@ -30,13 +31,15 @@ def bad_records(topic: DataFrame, schema: StructType) -> DataFrame:
 
 
 def _parsed(topic: DataFrame, schema: StructType) -> DataFrame:
-    # from_json gives a row of NULLs for bad text; only the kept text tells it apart.
+    # from_json gives a row of NULLs for bad text; only the kept text tells it apart. It passes
+    # over text after the object, which the second, empty parse refuses.
     # Exploding makes the record a column of its own, so a filter on it does not parse again.
     kept = StructType([*schema.fields, StructField("_corrupt", StringType())])
     parsed = topic.withColumn("r", F.explode(F.array(F.from_json(
         "value", kept, {"columnNameOfCorruptRecord": "_corrupt"}))))
-    bad = F.col("r").isNull() | F.col("r._corrupt").isNotNull()
-    return parsed.withColumn(_BAD, bad)
+    whole = F.coalesce(F.size(as_array(F.col("value"), "struct<_none:string>")) == 1, F.lit(False))
+    return parsed.withColumn(
+        _BAD, F.col("r").isNull() | F.col("r._corrupt").isNotNull() | ~whole)
 
 
 def change_log_records(topic: DataFrame) -> DataFrame:
@@ -48,6 +51,7 @@ def change_log_records(topic: DataFrame) -> DataFrame:
 def page_log_records(topic: DataFrame) -> DataFrame:
     """Page log as maps, with event time cut to the second."""
     rows = records(topic, schemas.PAGE_LOG)
+    rows = rows.withColumn("ts", F.col("ts").try_cast("bigint"))
     return rows.withColumn("row_time", millis_to_whole_second(F.col("ts")))
 
 

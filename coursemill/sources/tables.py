@@ -4,33 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from coursemill import schemas
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Hand a scan's rows to all cores where the files give fewer splits than there are cores.
-
-    A few small files of one row group each would leave parsing to a few tasks. A large table
-    has more splits than cores and is returned as it is, so it is not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def read_jdbc_config(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """The configuration table as it is at start. Connection values come from the caller."""
     return (spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
             .select(*schemas.DIM_CONFIG.names))
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).json(path)
-
-
 def report_day_partition(spark: SparkSession, path: str, day: int = 0) -> DataFrame:
-    """One day of a stored report table; the other days' files are not listed or read."""
+    """One day of a stored report table; the other days' files are listed, but not read."""
     from coursemill.operators.reports import one_day
 
     return one_day(spark.read.parquet(path).withColumn(

@@ -90,3 +90,23 @@ def test_work_is_split_by_chunk(spark):
     physical = plan[plan.index("== Physical Plan =="):]
     flags = physical[:physical.index("Union")]
     assert "hashpartitioning(mid" in flags and "_chunk" in flags.split("hashpartitioning(")[1]
+
+
+def test_null_is_a_key_like_any_other(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    data = [(None, days[0], "1", 1, None), (None, days[1], "1", 2, "p"), (None, days[1], "1", 3, "p"),
+            ("m", days[1], "1", 4, None), ("m", days[2], "1", 5, None), ("k", days[2], "0", 6, "q")]
+    df = spark.createDataFrame(
+        data, "mid string, visit_date date, is_new string, arrival long, last_page_id string")
+    for hot_rows in (0, 2, 1_000_000):
+        fixed = state.repair_new_visitor(df, hot_rows=hot_rows)
+        assert {r.arrival: r.is_new for r in fixed.collect()} == {
+            1: "1", 2: "0", 3: "0", 4: "1", 5: "0", 6: "0"}
+        flags = state.visit_flags(df, state.chunk_of("arrival", 2), hot_rows=hot_rows)
+        assert {r.arrival: (r.uv_ct, r.sv_ct, r.so_ct) for r in flags.collect()} == {
+            1: (1, 1, 1), 2: (1, 0, -1), 3: (0, 0, 0), 4: (1, 1, 1), 5: (1, 1, 1), 6: (1, 0, 0)}
+    assert state.hot_keys(df, "mid", 0).where(F.col("mid").isNull()).count() == 1

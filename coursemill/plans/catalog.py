@@ -511,6 +511,28 @@ def log_split_counts(spark, folder):
     return _split(spark, folder).groupBy("topic").agg(F.count("*").alias("records"))
 
 
+@query("""WITH texts AS (
+  SELECT text AS t FROM documents UNION ALL SELECT html FROM pages
+  UNION ALL SELECT text FROM conversations)
+SELECT (SELECT count(*) FROM events) + (SELECT count(*) FROM texts) AS records_in,
+       (SELECT count(*) FROM events WHERE event_type = 'purchase') AS video,
+       (SELECT count(*) FROM events WHERE event_type = 'view') AS started,
+       (SELECT count(*) FROM events WHERE event_type NOT IN ('purchase', 'view')) AS page,
+       (SELECT count(*) FROM texts) AS dirty""")
+def log_rows_conserved(spark, folder):
+    """Records in are dirty, video, start or page records: none is lost, none is in two."""
+    odd = [s.table(spark, folder, name).select(F.col(column).alias("value"))
+           for name, column in (("pages", "html"), ("conversations", "text"))]
+    log = s.behaviour_log(spark, folder)
+    for number, texts in enumerate(odd):
+        log = log.unionByName(texts.withColumn("arrival", F.lit(-1 - number).cast("bigint")))
+    kinds = {"dirty": logsplit.DIRTY, "video": logsplit.APP_VIDEO, "started": logsplit.START,
+             "page": logsplit.PAGE}
+    out = jobs.split_log(log).agg(*[
+        F.count_if(F.col("topic") == topic).alias(name) for name, topic in kinds.items()])
+    return log.agg(F.count("*").alias("records_in")).join(out)
+
+
 @query(f"""WITH {o.VIEWS}, {o.REPAIRED}, pages AS (
   SELECT v.* REPLACE (r.is_new AS is_new) FROM views v JOIN repaired r USING (arrival)
   WHERE event_type NOT IN ('purchase', 'view')), {o.flags('pages')}, {o.TRAFFIC}
@@ -636,7 +658,15 @@ def _streamed(stream: DataFrame, name: str) -> DataFrame:
     query = sinks.start(stream, sinks.keyed_writer(f"{folder}/out"), f"{folder}/checkpoint",
                         every=None)
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/out").drop("batch_id")
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out").drop(*sinks.PLACE)
+
+
+def _summed_per_batch(stream: DataFrame, parts, sums, name: str) -> DataFrame:
+    """Window rows of a stream that is cut into micro-batches, added up over the batches."""
+    folder = work_folder(stream.sparkSession, name)
+    sinks.start(stream, sinks.window_parts_writer(f"{folder}/out", parts),
+                f"{folder}/checkpoint", every=None).awaitTermination()
+    return sinks.read_windows(stream.sparkSession, f"{folder}/out", sums)
 
 
 _CLOSED = "WHERE strptime(edt, '%Y-%m-%d %H:%M:%S') <= (SELECT max({}) - INTERVAL {} FROM {})"
@@ -675,6 +705,45 @@ def stream_trade_windows(spark, folder):
     return _amounts_as_double(_streamed(summed, "stream-trade"), "order_amount")
 
 
+# The same over four micro-batches, whose rows are in order of arrival but not of time: all
+# windows are whole, and no row is too late.
+
+def _views_in_files(spark, folder, name: str) -> DataFrame:
+    events = s.table(spark, folder, "events")
+    return s.in_files(events, "event_id", work_folder(spark, name))
+
+
+@query(f"{_TRAFFIC} SELECT * FROM traffic")
+def stream_traffic_windows_in_batches(spark, folder):
+    views = s.page_views(spark, folder, _views_in_files(spark, folder, "views-in-files"))
+    summed = _summed_per_batch(
+        streams.traffic_rows(views, idle_ms=None), windows.traffic_by_source_and_visitor,
+        windows.TRAFFIC_SUMS, "stream-traffic-batches")
+    return enrich(summed, s.base_source(spark, folder), "sc", {"source_site": "source_name"})
+
+
+@query(f"""WITH {o.VIEWS} SELECT item AS keyword, count(*) AS keyword_count,
+         {o.stamps("date_trunc('second', ts)", '%Y%m%d')}
+FROM views WHERE event_type = 'click' GROUP BY ALL""")
+def stream_keyword_windows_in_batches(spark, folder):
+    log = s.page_log(spark, folder, _views_in_files(spark, folder, "log-in-files")).withColumn(
+        "row_time", scalars.millis_to_whole_second(F.col("ts")))
+    return _summed_per_batch(windows.searches(log), windows.keyword_counts,
+                             ["keyword_count"], "stream-keyword-batches")
+
+
+@query(f"WITH {o.TRADE} SELECT * FROM trade")
+def stream_trade_windows_in_batches(spark, folder):
+    details = _stored_details(spark, folder).select("*", "arrival.*").drop("arrival")
+    rows = s.in_files(details, "a", work_folder(spark, "details-in-files"))
+    summed = _summed_per_batch(
+        streams.trade_rows(rows, s.ARRIVAL, idle_ms=None), windows.trade_by_source_and_province,
+        ["order_ct", "order_user_ct", "order_amount"], "stream-trade-batches")
+    return _amounts_as_double(
+        jobs.name_trade(summed, s.base_source(spark, folder), s.base_province(spark, folder)),
+        "order_amount")
+
+
 @query(f"""WITH {o.VIEWS}, {o.REPAIRED}, {o.flags('views')}
 SELECT arrival, r.mid, r.is_new, uv_ct, sv_ct, so_ct FROM repaired r JOIN flags USING (arrival)""")
 def stream_visit_flags_and_repair(spark, folder):

@@ -23,12 +23,24 @@ def split_log(log: DataFrame) -> DataFrame:
     return logsplit.split(repaired).unionByName(logsplit.dirty(parsed))
 
 
+def traffic_rows(page_views: DataFrame, idle_ms: int | None = state.ONE_DAY_MS) -> DataFrame:
+    """Flagged rows, to be summed per micro-batch; see :func:`sinks.window_parts_writer`."""
+    return windows.traffic_measures(
+        state.visit_flags(page_views.select(*jobs.TRAFFIC_COLUMNS), idle_ms=idle_ms))
+
+
+def trade_rows(details: DataFrame, order: Sequence[str] = ("arrival",),
+               idle_ms: int | None = state.ONE_DAY_MS) -> DataFrame:
+    """Order rows with flag and measures, to be summed per micro-batch."""
+    columns = [c for c in jobs.TRADE_COLUMNS if c != "arrival"]
+    return _measured(details, columns, order, idle_ms)
+
+
 def traffic_windows(page_views: DataFrame, disorder: str = windows.DISORDER,
                     idle_ms: int | None = state.ONE_DAY_MS) -> DataFrame:
     # The watermark is set after the keyed state, which does not pass one on.
-    flagged = state.visit_flags(page_views.select(*jobs.TRAFFIC_COLUMNS), idle_ms=idle_ms)
     return windows.traffic_by_source_and_visitor(
-        windows.traffic_measures(flagged).withWatermark("row_time", disorder))
+        traffic_rows(page_views, idle_ms).withWatermark("row_time", disorder))
 
 
 def keyword_windows(page_log: DataFrame, disorder: str = NO_DISORDER) -> DataFrame:
@@ -36,11 +48,16 @@ def keyword_windows(page_log: DataFrame, disorder: str = NO_DISORDER) -> DataFra
         windows.searches(page_log).withWatermark("row_time", disorder))
 
 
-def _trade_flags(details: DataFrame, columns: Sequence[str], order: Sequence[str],
-                 disorder: str, idle_ms: int | None) -> DataFrame:
+def _measured(details: DataFrame, columns: Sequence[str], order: Sequence[str],
+              idle_ms: int | None) -> DataFrame:
     rows = jobs.order_rows(details).select(*dict.fromkeys([*columns, "order_date", *order]))
     return windows.trade_measures(
-        state.daily_first_order_flag(rows, order=order, idle_ms=idle_ms)).withWatermark("row_time", disorder)
+        state.daily_first_order_flag(rows, order=order, idle_ms=idle_ms))
+
+
+def _trade_flags(details: DataFrame, columns: Sequence[str], order: Sequence[str],
+                 disorder: str, idle_ms: int | None) -> DataFrame:
+    return _measured(details, columns, order, idle_ms).withWatermark("row_time", disorder)
 
 
 def trade_windows(details: DataFrame, order: Sequence[str] = ("arrival",),
@@ -61,9 +78,10 @@ def course_windows(details: DataFrame, order: Sequence[str] = ("arrival",),
     return windows.trade_by_course(flagged)
 
 
-def chapter_plays(play_log: DataFrame, disorder: str = windows.DISORDER) -> DataFrame:
-    """Play rows with a watermark. No grouping is defined for them beyond this."""
-    return play_log.where(F.col("row_time").isNotNull()).withWatermark("row_time", disorder)
+def chapter_windows(plays: DataFrame, disorder: str = windows.DISORDER) -> DataFrame:
+    """Plays per chapter and window. Rows carry ``row_time``; those without one are left out."""
+    return windows.plays_by_chapter(
+        plays.where(F.col("row_time").isNotNull()).withWatermark("row_time", disorder))
 
 
 def order_detail(changes: DataFrame, page_log: DataFrame, band: str = ORDER_BAND,

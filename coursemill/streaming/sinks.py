@@ -1,7 +1,12 @@
-"""Writers for micro-batches. A replayed batch overwrites its own files, so nothing counts twice."""
+"""Writers for micro-batches. A replayed batch replaces all that it wrote, so nothing counts twice.
+
+What a batch writes stands below the run and the batch it belongs to. A run is a query with its
+checkpoint: another query, or the same one with a new checkpoint, has its own batches.
+"""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,25 +20,29 @@ from coursemill.operators.upsert import latest_per_key
 # Fixed value: seconds between micro-batches, which is also the checkpoint interval.
 EVERY = "5 seconds"
 
-WriteBatch = Callable[[DataFrame, int], None]
+WriteBatch = Callable[[DataFrame, int, str], None]
+
+# Columns that tell where a row was written.
+PLACE = ("run", "batch_id")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    """Append a batch to a Parquet table, below its own ``batch_id`` partition.
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
+                run: str = "") -> None:
+    """Write a batch's rows to its own part of a Parquet table, in place of what is there.
 
     Rows are rebalanced by partition: a small partition becomes one file, a large one is split.
     """
-    rows = df.hint("rebalance", *partition_by)
-    (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by, "batch_id").parquet(path))
+    part = f"{path}/run={run or 'none'}/batch_id={batch_id}"
+    (df.hint("rebalance", *partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(part))
 
 
 def start(stream: DataFrame, write: WriteBatch, checkpoint: str, every: str | None = EVERY,
           mode: str = "append") -> StreamingQuery:
     """Run until stopped, or, with ``every=None``, over what is there now."""
-    writer = stream.writeStream.outputMode(mode).foreachBatch(write).option(
-        "checkpointLocation", checkpoint)
+    run = "r" + hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+    writer = stream.writeStream.outputMode(mode).foreachBatch(
+        lambda df, batch_id: write(df, batch_id, run)).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
@@ -46,20 +55,14 @@ def start_kafka(messages: DataFrame, servers: str, checkpoint: str, every: str =
             .trigger(processingTime=every).start())
 
 
-def start_console(stream: DataFrame, checkpoint: str, every: str = EVERY) -> StreamingQuery:
-    """Show rows while developing."""
-    return (stream.writeStream.format("console").option("checkpointLocation", checkpoint)
-            .trigger(processingTime=every).start())
-
-
 def topics_writer(path: str) -> WriteBatch:
     """(topic, value) rows to one folder per topic, all in one pass."""
-    return lambda df, batch_id: write_batch(df, path, batch_id, ["topic"])
+    return lambda df, batch_id, run="": write_batch(df, path, batch_id, ["topic"], run)
 
 
 def keyed_writer(path: str) -> WriteBatch:
     """Rows of a keyed table, as they come; :func:`read_keyed` shows the last of each key."""
-    return lambda df, batch_id: write_batch(df, path, batch_id)
+    return lambda df, batch_id, run="": write_batch(df, path, batch_id, run=run)
 
 
 def job_writer(path: str, job: Callable[[DataFrame], DataFrame],
@@ -68,13 +71,13 @@ def job_writer(path: str, job: Callable[[DataFrame], DataFrame],
 
     The job runs anew per micro-batch, so a dimension that it reads is the current one.
     """
-    return lambda df, batch_id: write_batch(job(df), path, batch_id, partition_by)
+    return lambda df, batch_id, run="": write_batch(job(df), path, batch_id, partition_by, run)
 
 
 def read_keyed(spark: SparkSession, path: str, key: str | Sequence[str]) -> DataFrame:
     """The last row per key: the highest arrival of the newest batch that has the key."""
     rows = spark.read.parquet(path).withColumn("_at", F.struct("batch_id", "arrival"))
-    return latest_per_key(rows, key, "_at").drop("_at", "batch_id")
+    return latest_per_key(rows, key, "_at").drop("_at", *PLACE)
 
 
 Lookup = tuple[Callable[[], DataFrame], str, dict[str, str]]
@@ -87,42 +90,62 @@ def report_writer(path: str, lookups: Sequence[Lookup] = (), quarantine: str | N
     Each lookup is (function reading the dimension, key, columns). Dimensions are read anew for
     each batch, so names are current. Rows without a dimension row go to ``quarantine``.
     """
-    def write(df: DataFrame, batch_id: int) -> None:
+    def write(df: DataFrame, batch_id: int, run: str = "") -> None:
         rows = df
         for number, (read, key, columns) in enumerate(lookups):
             dim = read()
             if quarantine:
                 write_batch(without_dimension(rows, dim, key),
-                            f"{quarantine}/{number}-{key}", batch_id)
+                            f"{quarantine}/{number}-{key}", batch_id, run=run)
             rows = enrich(rows, dim, key, columns)
-        write_batch(rows, path, batch_id, ["cur_date"])
+        write_batch(rows, path, batch_id, ["cur_date"], run)
 
-    def write_once_computed(df: DataFrame, batch_id: int) -> None:
+    def write_once_computed(df: DataFrame, batch_id: int, run: str = "") -> None:
         # Both outputs come from one computed batch; a lost block is computed again.
         df = df.persist()
         try:
-            write(df, batch_id)
+            write(df, batch_id, run)
         finally:
             df.unpersist()
 
     return write_once_computed if quarantine else write
 
 
+def window_parts_writer(path: str, windows: Callable[[DataFrame], DataFrame]) -> WriteBatch:
+    """Window rows of each batch by itself, as parts that :func:`read_windows` adds up.
+
+    No watermark is needed and no row is too late: a row that comes after its window was
+    written adds another part to it. So the sums do not depend on how the input is cut into
+    batches.
+    """
+    return lambda df, batch_id, run="": write_batch(
+        windows(df), path, batch_id, ["cur_date"], run)
+
+
+def read_windows(spark: SparkSession, path: str, sums: Sequence[str]) -> DataFrame:
+    """Window rows from their parts: all columns but ``sums`` are the key."""
+    parts = spark.read.parquet(path).drop(*PLACE).withColumn(
+        "cur_date", F.col("cur_date").cast("string"))
+    keys = [c for c in parts.columns if c not in sums]
+    kinds = dict(parts.dtypes)
+    return parts.groupBy(*keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in sums])
+
+
 def dimension_writer(path: str, config: Callable[[], DataFrame], quarantine: str | None = None
                      ) -> WriteBatch:
     """Change rows, routed by the configuration as it is now, appended to the dimension log."""
-    def write(changes: DataFrame, batch_id: int) -> None:
+    def write(changes: DataFrame, batch_id: int, run: str = "") -> None:
         routed = dims.route(changes, config())
         if quarantine:
-            write_batch(dims.without_key(routed), quarantine, batch_id)
-        write_batch(routed.where("row_key IS NOT NULL"), path, batch_id, ["sink_table"])
+            write_batch(dims.without_key(routed), quarantine, batch_id, run=run)
+        write_batch(routed.where("row_key IS NOT NULL"), path, batch_id, ["sink_table"], run)
 
     return write
 
 
 def read_dimensions(spark: SparkSession, path: str, resets: DataFrame | None = None) -> DataFrame:
     """The dimension rows that a dimension log leaves: sink_table, row_key, cols."""
-    log = spark.read.parquet(path).drop("batch_id")
+    log = spark.read.parquet(path).drop(*PLACE)
     return dims.apply_changes(log if resets is None else dims.after_reset(log, resets))
 
 

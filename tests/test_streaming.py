@@ -37,7 +37,7 @@ def run(stream, write, folder):
 
 def collected(spark, stream, folder):
     query = run(stream, sinks.keyed_writer(f"{folder}/out"), folder)
-    return query, spark.read.parquet(f"{folder}/out").drop("batch_id")
+    return query, spark.read.parquet(f"{folder}/out").drop(*sinks.PLACE)
 
 
 def closed(df, last, disorder):
@@ -185,12 +185,12 @@ def test_order_detail_and_payment(spark, folder):
     assert rows(sinks.read_keyed(spark, f"{folder}/details", "id"), "id") == [("d1",), ("d2",)]
 
     # The payment comes exactly 15 minutes after d1: the end of the interval counts.
-    paid = facts.payment_success(changes, out.where("source = '2'").drop("batch_id"))
+    paid = facts.payment_success(changes, out.where("source = '2'").drop(*sinks.PLACE))
     assert rows(paid, "id", "detail_id", "ts") == [
         ("p1", "d1", str(t + 1)), ("p1", "d2", str(t + 2))]
     stream = streams.payment_success(
         as_stream(spark, changes, f"{folder}/c2", files=1),
-        as_stream(spark, out.where("source = '2'").drop("batch_id"), f"{folder}/d2", files=1))
+        as_stream(spark, out.where("source = '2'").drop(*sinks.PLACE), f"{folder}/d2", files=1))
     _, got = collected(spark, stream, f"{folder}/paid")
     assert rows(got, "id", "detail_id") == [("p1", "d1"), ("p1", "d2")]
 
@@ -227,7 +227,7 @@ def test_fact_stream_sees_the_current_dimension(spark, folder):
 
     write = sinks.job_writer(f"{folder}/review", lambda df: facts.review(df, current()))
 
-    def named_then_write(df, batch_id):
+    def named_then_write(df, batch_id, run=""):
         name(f"name {batch_id}", batch_id)
         write(df, batch_id)
 

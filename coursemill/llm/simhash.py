@@ -52,34 +52,46 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * total > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """The rows, less their text, with ``fingerprint`` as a signed long.
+def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE,
+                 second: int | None = None) -> DataFrame:
+    """The rows, less their text, with ``fingerprint`` and ``second`` as signed longs.
 
-    A text without words, empty or null, has 0. A column of the new name is replaced.
+    ``second`` is the fingerprint of shingles of as many words, or 0. A text without words,
+    empty or null, has 0. Columns of the new names are replaced.
     """
-    rows = docs.select(*[c for c in docs.columns if c not in (text, "fingerprint")], text)
+    new = ("fingerprint", "second")
+    rows = docs.select(*[c for c in docs.columns if c not in (text, *new)], text)
     kept = rows.schema[:-1]
     layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(kept)).cast(pa.binary())
-            prints = [fingerprint(x.as_py() or b"", shingle) for x in texts]
+            texts = [x.as_py() or b"" for x in batch.column(len(kept)).cast(pa.binary())]
+            prints = [[fingerprint(x, words) if words else 0 for x in texts]
+                      for words in (shingle, second)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(np.array(prints, np.uint64).view(np.int64))],
-                names=[*[f.name for f in kept], "fingerprint"])
+                [*batch.columns[:-1],
+                 *[pa.array(np.array(p, np.uint64).view(np.int64)) for p in prints]],
+                names=[*[f.name for f in kept], *new])
 
-    return rows.mapInArrow(run, f"{layout}, fingerprint long")
+    return rows.mapInArrow(run, f"{layout}, fingerprint long, second long")
 
 
-def _forest(values: np.ndarray, ids: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Links (ids) that connect what is connected by pairs within the distance."""
-    found, left = [], np.arange(len(values))
+def _near(rows: np.ndarray, one, other, distance: int, second: int) -> np.ndarray:
+    values, seconds = rows["value"], rows["second"]
+    return (np.bitwise_count(values[one] ^ values[other]) <= distance) & (
+        np.bitwise_count(seconds[one] ^ seconds[other]) <= second)
+
+
+def _forest(rows: np.ndarray, distance: int, second: int) -> list[tuple[int, int]]:
+    """Links (ids) that connect what is connected by pairs within the distances."""
+    ids = rows["id"]
+    found, left = [], np.arange(len(rows))
     while len(left) > 1:
         frontier, left = [left[0]], left[1:]
         while frontier and len(left):
             one = frontier.pop()
-            near = np.bitwise_count(values[left] ^ values[one]) <= distance
+            near = _near(rows, left, one, distance, second)
             if near.any():
                 found += [(ids[one], ids[x]) for x in left[near]]
                 frontier += left[near].tolist()
@@ -87,11 +99,11 @@ def _forest(values: np.ndarray, ids: np.ndarray, distance: int) -> list[tuple[in
     return found
 
 
-def _links_of_tiles(distance: int, tile: int):
+def _links_of_tiles(distance: int, second: int):
     """Links within runs of rows of equal (choice, key, tile), in sorted batches."""
 
     def links(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        values, ids = rows["value"], rows["id"]
+        ids = rows["id"]
         cuts = np.flatnonzero(np.any([rows[c][1:] != rows[c][:-1] for c in
                                       ("choice", "key", "i", "j")], axis=0)) + 1
         starts = np.concatenate([[0], cuts]).astype(np.int64)
@@ -102,18 +114,18 @@ def _links_of_tiles(distance: int, tile: int):
             first = np.flatnonzero(small & (np.arange(len(rows)) + lag < ends))
             if not len(first):
                 break
-            near = first[np.bitwise_count(values[first] ^ values[first + lag]) <= distance]
+            near = first[_near(rows, first, first + lag, distance, second)]
             yield ids[near], ids[near + lag]
         for start, size in zip(starts[sizes > 16], sizes[sizes > 16], strict=True):
             part = slice(start, start + size)
-            pairs = _forest(values[part], ids[part], distance)
+            pairs = _forest(rows[part], distance, second)
             if pairs:
                 yield tuple(np.array(pairs, np.int64).T)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         kinds = [("choice", "i4"), ("key", "i8"), ("i", "i4"), ("j", "i4"), ("value", "u8"),
-                 ("id", "i8")]
+                 ("second", "u8"), ("id", "i8")]
 
         def out(rows):
             pairs = list(links(rows)) if len(rows) > 1 else []
@@ -143,11 +155,11 @@ def _links_of_tiles(distance: int, tile: int):
 
 
 def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
-          tile: int = TILE) -> DataFrame:
-    """Links (a, b) between the ids of distinct fingerprints (fingerprint, id).
+          tile: int = TILE, second_distance: int = 64) -> DataFrame:
+    """Links (a, b) between the ids of distinct fingerprints (fingerprint, second, id).
 
-    They connect whatever pairs within the distance connect; the result's components do not
-    depend on ``blocks`` or ``tile``.
+    They connect whatever pairs within both distances connect; the result's components do not
+    depend on ``blocks``, which is over ``distance``, or ``tile``.
     """
     edges = [64 * k // blocks for k in range(blocks + 1)]
     masks = []
@@ -158,57 +170,59 @@ def links(prints: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS,
         prints
         .select(F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m))
                                        for m in masks])).alias("choice", "key"),
-                F.col("fingerprint").alias("value"), "id"))
+                F.col("fingerprint").alias("value"), "second", "id"))
     sizes = (keyed.groupBy(F.col("choice").alias("c"), F.col("key").alias("k"))
              .agg(F.count("*").alias("size")).where("size > 1"))
     half = tile // 2
     tiled = (
         keyed.join(sizes, (F.col("choice") == F.col("c")) & (F.col("key") == F.col("k")))
         .withColumn("chunks", F.ceil(F.col("size") / half).cast("int"))
-        .withColumn("chunk", F.pmod(F.xxhash64("value"), F.col("chunks")).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64("value", "second"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest(
             F.col("chunks") - 1, F.lit(0)))))
         # A pair of chunks is a tile; a chunk alone is one only where it is the key's only one.
         .where("chunks = 1 OR other != chunk")
         .select("choice", "key", F.least("chunk", "other").alias("i"),
-                F.greatest("chunk", "other").alias("j"), "value", "id"))
+                F.greatest("chunk", "other").alias("j"), "value", "second", "id"))
     return (tiled.repartition("choice", "key", "i", "j")
             .sortWithinPartitions("choice", "key", "i", "j", "value")
-            .mapInArrow(_links_of_tiles(distance, tile), "a long, b long"))
+            .mapInArrow(_links_of_tiles(distance, second_distance), "a long, b long"))
 
 
 def groups(docs: DataFrame, text: str = "text", distance: int = DISTANCE,
-           shingle: int = SHINGLE, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
+           shingle: int = SHINGLE, blocks: int = BLOCKS, tile: int = TILE,
+           second: int | None = None, second_distance: int = 64) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row.
 
     ``component_id`` is the least doc_id that can be reached over links, the row's own included.
-    Texts without words all have fingerprint 0 and are linked like any others. Rows without a
-    doc_id are linked too, but name no component; one of such rows alone is null. Repeated rows
-    give repeated results. Other columns are left out.
+    With ``second``, linked documents are also within ``second_distance`` by the fingerprints of
+    shingles of so many words. Texts without words all have fingerprint 0 and are linked like
+    any others. Rows without a doc_id are linked too, but name no component; one of such rows
+    alone is null. Repeated rows give repeated results. Other columns are left out.
     """
+    # The node of a fingerprint is its bit pattern, or a hash of both patterns.
+    node = F.xxhash64("fingerprint", "second") if second else F.col("fingerprint")
     prints = session.stored(fingerprints(
-        docs.select("doc_id", text), text, shingle), "fingerprints")
-    # The node of a fingerprint is its bit pattern: no two fingerprints share it.
-    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    nodes = components(links(distinct.withColumn("id", F.col("fingerprint")),
-                             distance, blocks, tile))
-    linked = distinct.join(nodes, F.col("fingerprint") == F.col("node"))
+        docs.select("doc_id", text), text, shingle, second).withColumn("id", node), "fingerprints")
+    distinct = prints.groupBy("fingerprint", "second", "id").agg(F.min("doc_id").alias("first"))
+    nodes = components(links(distinct, distance, blocks, tile, second_distance))
+    linked = distinct.join(nodes, F.col("id") == F.col("node"))
     firsts = linked.groupBy(F.col("component").alias("of")).agg(F.min("first").alias("least"))
     linked = linked.join(firsts, F.col("component") == F.col("of")).select(
-        F.col("fingerprint").alias("print"), "least")
-    alone = distinct.join(nodes, F.col("fingerprint") == F.col("node"), "left_anti").select(
-        F.col("fingerprint").alias("print"), F.col("first").alias("least"))
-    return (prints.join(linked.union(alone), F.col("fingerprint") == F.col("print"))
+        F.col("id").alias("of_id"), "least")
+    alone = distinct.join(nodes, F.col("id") == F.col("node"), "left_anti").select(
+        F.col("id").alias("of_id"), F.col("first").alias("least"))
+    return (prints.join(linked.union(alone), F.col("id") == F.col("of_id"))
             .select("doc_id", "fingerprint", F.col("least").alias("component_id")))
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, **options: int) -> DataFrame:
     """The documents less near-duplicates: of each group the one with the least doc_id stays.
 
-    Rows that repeat the kept one's doc_id are reduced to one, by the order of their text. Rows
-    without a doc_id cannot be told apart by id and stay only if no other of their group has one.
+    ``options`` are those of :func:`groups`. All rows of a kept doc_id stay. Rows without a
+    doc_id cannot be told apart by id and stay only if no other of their group has one.
     """
-    kept = groups(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+    kept = groups(docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_kept")).distinct()
     return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
 

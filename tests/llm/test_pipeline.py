@@ -81,8 +81,9 @@ def test_stages_match_brute_force(spark, folder):
             kept = {i: r for (i, r), p in zip(before.items(), values, strict=True) if p < 0.5}
             assert {r.doc_id for r in rows.collect()} == set(kept)
         elif name == "near_copies":
-            prints = {i: simhash.fingerprint(r.text.encode()) for i, r in before.items()}
-            least = closed(prints)
+            one, two = ({i: simhash.fingerprint(r.text.encode(), k) for i, r in before.items()}
+                        for k in (3, 5))
+            least = closed(one, 6, two, 14)
             kept = {i: r for i, r in before.items() if least[i] == i}
             assert {r.doc_id for r in rows.collect()} == set(kept)
         elif name == "personal_data":

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from coursemill.llm import links, simhash
 
@@ -18,14 +19,16 @@ def brute(rows):
     return prints, closed(prints)
 
 
-def closed(prints):
+def closed(prints, distance=3, seconds=None, second_distance=64):
     """Least id in reach of each id."""
     ids, values = list(prints), np.array(list(prints.values()), np.uint64)
+    other = np.array([(seconds or dict.fromkeys(ids, 0))[i] for i in ids], np.uint64)
     least = dict(zip(ids, ids, strict=True))
     while True:
         low = np.array([least[i] for i in ids])
-        new = {i: min(least[i], low[np.bitwise_count(values ^ v) <= 3].min())
-               for i, v in zip(ids, values, strict=True)}
+        new = {i: min(least[i], low[(np.bitwise_count(values ^ v) <= distance) & (
+                   np.bitwise_count(other ^ w) <= second_distance)].min())
+               for i, v, w in zip(ids, values, other, strict=True)}
         if new == least:
             return least
         least = new
@@ -61,13 +64,32 @@ def test_hot_blocks_lose_no_link(spark, tile):
         values.add(value)
     prints = dict(enumerate(sorted(values)))
     signed = {i: v - (1 << 64) if v >> 63 else v for i, v in prints.items()}
-    df = spark.createDataFrame(list(signed.items()), "id long, fingerprint long")
+    df = spark.createDataFrame(list(signed.items()), "id long, fingerprint long").withColumn(
+        "second", F.lit(0).cast("long"))
     found = {r.node: r.component for r in links.components(
         simhash.links(df, tile=tile)).collect()}
     least = closed(prints)
     assert {i: found.get(i, i) for i in prints} == least
 
 
+def test_wider_links_with_a_second_fingerprint(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(80)]
+    base = [[rng.choice(words) for _ in range(rng.randint(40, 200))] for _ in range(15)]
+    rows = []
+    for doc in range(220):
+        text = list(rng.choice(base))
+        for _ in range(rng.randint(0, 9)):
+            text[rng.randrange(len(text))] = rng.choice(words)
+        rows.append((doc, " ".join(text)))
+    one, two = ({i: simhash.fingerprint(t.encode(), k) for i, t in rows} for k in (3, 5))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.groups(
+        df, distance=6, blocks=8, second=5, second_distance=14, tile=16).collect()}
+    assert got == closed(one, 6, two, 14)
+    assert len(set(got.values())) < 215
+
+
 def test_components_of_paths(spark):
     rng = random.Random(3)
     order = list(range(200))

@@ -67,16 +67,25 @@ def write(docs: DataFrame, vocabulary: str, folder: str) -> None:
     encode(docs, vocabulary).write.options(**FILE_OPTIONS).parquet(folder)
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of written files; unused columns are not read."""
-    rows = spark.read.schema(LAYOUT).parquet(folder)
-    sizes = rows.groupBy("part").agg(F.sum("n_tokens").alias("size"))
+def raw(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of written files as they are; unused columns are not read."""
+    return spark.read.schema(LAYOUT).parquet(folder)
+
+
+def starts(rows: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of written files with ``start``, the ids of all documents before, for their part."""
+    sizes = raw(spark, folder).groupBy("part").agg(F.sum("n_tokens").alias("size"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(F.col("part").alias("of"),  # a row per file
+    before = sizes.select(F.col("part").alias("of"),  # a row per file
                           F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
-    return (rows.join(starts, F.col("part") == F.col("of"))
-            .select("doc_id", (F.col("before") + F.col("part_start")).alias("start"),
-                    "n_tokens", "ids"))
+    return (rows.join(before, F.col("part") == F.col("of"))
+            .withColumn("start", F.col("before") + F.col("part_start"))
+            .drop("of", "before", "part", "part_start"))
+
+
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, start) of written files."""
+    return starts(raw(spark, folder), spark, folder)
 
 
 def checksums(rows: DataFrame, ids: str = "ids") -> DataFrame:
@@ -103,4 +112,5 @@ def query(spark, folder):
 
     files = session.work_folder(spark, "token-files")
     write(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), files)
-    return checksums(read(spark, files))
+    return starts(checksums(raw(spark, files)), spark, files).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")

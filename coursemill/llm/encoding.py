@@ -15,7 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 END_ID = 1
-KEPT_PIECES = 600_000  # distinct pieces that a worker keeps, about 150 MB
+KEPT_PIECES = 900_000  # distinct pieces that a worker keeps, about 200 MB
+WORDS_A_CALL = 32  # words that are encoded as one text
 CHUNK_CHARS = 4_000_000  # characters that are encoded together
 
 # Cuts before a space that has no white space on either side.
@@ -38,21 +39,41 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kept: dict[str, bytes] = {}
+        # Vocabularies mark the last token of a word, or the first one after a space.
+        size = self.tokenizer.get_vocab_size()
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        last = np.array([name.endswith("</w>") for name in names])
+        first = np.array([name.startswith("\u0120") for name in names])
+        self.marks, self.mark_is_last = (last, True) if last.any() else (first, False)
 
     @staticmethod
     def pieces(text: str) -> list[str]:
-        words = text.split()
-        if sum(map(len, words)) + len(words) - 1 == len(text):  # lone white space, all inside
-            cut = text.split(" ")
-            cut[0] = " " + cut[0]
-            return cut
+        """Pieces of any text."""
         cut = _CUT.split(text)
         return [" " + cut[0], *[piece[1:] for piece in cut[1:]]]
 
     def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
+        """Words are encoded some at a time, and cut apart at the marks of the vocabulary."""
         found = {}
-        for start in range(0, len(pieces), 20_000):
-            some = pieces[start:start + 20_000]
+        words = [piece for piece in pieces if piece.isalpha()]
+        others = [piece for piece in pieces if not piece.isalpha()]
+        for start in range(0, len(words), 640 * WORDS_A_CALL):
+            groups = [words[at:at + WORDS_A_CALL] for at in range(
+                start, min(start + 640 * WORDS_A_CALL, len(words)), WORDS_A_CALL)]
+            encoded = self.tokenizer.encode_batch_fast(
+                [" " + " ".join(group) for group in groups], add_special_tokens=False)
+            for group, x in zip(groups, encoded, strict=True):
+                ids = np.array(x.ids, "<u4")
+                marked = np.flatnonzero(self.marks[ids])
+                if len(marked) != len(group):  # a letter whose lower case is more than letters
+                    others += group
+                    continue
+                ids, cuts = ids.tobytes(), (4 * marked).tolist()
+                cuts = [0, *[x + 4 for x in cuts]] if self.mark_is_last else [*cuts, len(ids)]
+                for word, i, j in zip(group, cuts, cuts[1:], strict=False):
+                    found[word] = ids[i:j]
+        for start in range(0, len(others), 20_000):
+            some = others[start:start + 20_000]
             raw = [piece[1:] if piece.startswith(" ") else " " + piece for piece in some]
             for piece, x in zip(some, self.tokenizer.encode_batch_fast(
                     raw, add_special_tokens=False), strict=True):
@@ -60,33 +81,60 @@ class Encoder:
         return found
 
     def _look_up(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not kept; as many of their words as there is room for are."""
-        kept, parts = self.kept, {}
+        """Ids of pieces that are not kept; they and their words are, as there is room."""
+        kept, parts, words = self.kept, {}, set()
         for piece in new:
+            if piece.isalpha():
+                words.add(piece)
+                continue
             cut = _PARTS.fullmatch(piece)
             if cut:
                 word, mark, line, after, last = cut.groups("")
-                parts[piece] = [word, *[" " + x for x in (mark, line, after, last) if x]]
+                cut = [word, *[" " + x for x in (mark, line, after, last) if x]]
             else:
-                parts[piece] = [piece]
-        words = {word for cut in parts.values() for word in cut if word not in kept}
-        encoded = self._encoded(list(words))
+                cut = [piece]
+            parts[piece] = cut
+            words.update(cut)
+        found = self._encoded([word for word in words if word not in kept])
+        whole = {piece: b"".join([found[w] if w in found else kept[w] for w in cut])
+                 for piece, cut in parts.items()}
+        found |= whole
         if len(kept) < KEPT_PIECES:
-            kept.update(encoded)
-        return {piece: b"".join([kept[w] if w in kept else encoded[w] for w in cut])
-                for piece, cut in parts.items()}
+            kept.update(found)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text.
+
+        A text is cut at its spaces. That is right unless a piece is empty or begins or ends
+        with white space; no such piece is kept, so only those not kept need the look.
+        """
         of = self.kept.get
-        cut = [self.pieces(text) for text in texts]
-        found = [list(map(of, pieces)) for pieces in cut]
-        new = {piece for pieces, ids in zip(cut, found, strict=True) if None in ids
-               for piece, x in zip(pieces, ids, strict=True) if x is None}
+        cut, found, gaps, new = [], [], [], set()
+        for text in texts:
+            pieces = text.split(" ")
+            pieces[0] = " " + pieces[0]
+            ids = list(map(of, pieces))
+            if None in ids:
+                at = [k for k, x in enumerate(ids) if x is None]
+                missing = [pieces[k] for k in at]
+                if not all(p.strip() == p != "" for p in missing if p is not pieces[0]) or (
+                        pieces[0].strip() != pieces[0][1:] or pieces[0] == " "):
+                    pieces = self.pieces(text)
+                    ids = [None] * len(pieces)
+                    at, missing = range(len(pieces)), pieces
+                new.update(missing)
+            else:
+                at = ()
+            cut.append(pieces)
+            found.append(ids)
+            gaps.append(at)
         extra = self._look_up(new) if new else {}
-        return [b"".join([extra[p] if x is None else x
-                          for p, x in zip(pieces, ids, strict=True)])
-                if None in ids else b"".join(ids)
-                for pieces, ids in zip(cut, found, strict=True)]
+        for pieces, ids, at in zip(cut, found, gaps, strict=True):
+            for k in at:
+                x = extra.get(pieces[k])
+                ids[k] = of(pieces[k]) if x is None else x
+        return [b"".join(ids) for ids in found]
 
 
 def encoder(path: str) -> Encoder:

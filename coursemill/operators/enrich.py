@@ -50,3 +50,20 @@ def enrich_chain(df: DataFrame, *steps: tuple[DataFrame, str, dict[str, str]]) -
     for dim, key, columns in steps:
         df = enrich(df, dim, key, columns)
     return df
+
+
+def enrich_chain_or_mark(df: DataFrame, *steps: tuple[DataFrame, str, dict[str, str]],
+                         mark: str = "missing") -> DataFrame:
+    """The snowflake in one pass for both kinds of rows: ``mark`` names the first key without a
+    dimension row, and is NULL where all were found."""
+    rows = df.withColumn(mark, F.lit(None).cast("string"))
+    for number, (dim, key, columns) in enumerate(steps):
+        found = f"_found_{number}"
+        rows = enrich_or_mark(rows, dim, key, columns, mark=found).withColumn(
+            mark, F.coalesce(mark, F.when(~F.col(found), F.lit(key)))).drop(found)
+    return rows
+
+
+def parted(marked: DataFrame, mark: str = "missing") -> tuple[DataFrame, DataFrame]:
+    """Rows with all their dimension rows, and those to set aside with what they lack."""
+    return marked.where(F.col(mark).isNull()).drop(mark), marked.where(F.col(mark).isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from coursemill import schemas
 from coursemill.functions.scalars import day_text
 from coursemill.operators import changelog
-from coursemill.operators.enrich import enrich
+from coursemill.operators.enrich import enrich, enrich_chain_or_mark
 from coursemill.operators.joins import interval_join, spread_join
 from coursemill.operators.upsert import latest_per_key
 
@@ -30,6 +30,18 @@ def exam_paper(changes: DataFrame, test_paper: DataFrame) -> DataFrame:
         schemas.EXAM_PAPER)
 
 
+def exam_paper_marked(changes: DataFrame, test_paper: DataFrame) -> DataFrame:
+    """Exams of all papers; ``missing`` names the key of those whose paper is not known."""
+    return enrich_chain_or_mark(
+        changelog.exams(changes), (test_paper, "paper_id", {"course_id": "course_id"}))
+
+
+def review_marked(changes: DataFrame, course_info: DataFrame) -> DataFrame:
+    """Reviews of all courses, marked the same way."""
+    return enrich_chain_or_mark(
+        changelog.reviews(changes), (course_info, "course_id", {"course_name": "course_name"}))
+
+
 def exam_question(changes: DataFrame) -> DataFrame:
     return _declared(changelog.exam_questions(changes), schemas.EXAM_QUESTION)
 

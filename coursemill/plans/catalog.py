@@ -21,6 +21,7 @@ from coursemill.plans import oracle as o
 from coursemill.plans import standins as s
 from coursemill.session import stored, use_result_conf, work_folder
 from coursemill.sources.records import change_log_records
+from coursemill.sources.tables import report_day_partition
 from coursemill.sources.topics import read_folder
 from coursemill.streaming import jobs as streams
 from coursemill.streaming import sinks
@@ -299,6 +300,63 @@ def lookup_found_and_missing(spark, folder):
         F.count("*").alias("n"), F.count("name").alias("named"))
 
 
+# --- quarantine: rows with and without their dimension rows, from one pass ----------------------
+
+def _balance(marked: DataFrame) -> DataFrame:
+    missing = F.col("missing")
+    return marked.agg(
+        F.count("*").alias("rows_in"), F.count_if(missing.isNull()).alias("found"),
+        F.count_if(missing.isNotNull()).alias("set_aside"))
+
+
+@query(f"""WITH all_exams AS (
+  SELECT CAST(o_custkey AS BIGINT) AS k FROM orders WHERE o_orderstatus <> 'P')
+SELECT count(*) AS rows_in, count(s_suppkey) AS found,
+       count(*) - count(s_suppkey) AS set_aside
+FROM all_exams LEFT JOIN supplier ON s_suppkey = k""")
+def quarantine_exam_paper(spark, folder):
+    papers = _suppliers(spark, folder).withColumnRenamed("name", "course_id")
+    return _balance(facts.exam_paper_marked(s.change_log(spark, folder, "test_exam"), papers))
+
+
+@query("""SELECT count(*) AS rows_in, count(p_partkey) AS found,
+       count(*) - count(p_partkey) AS set_aside
+FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_partkey % 3 <> 0) p ON p_partkey = l_partkey
+WHERE l_returnflag <> 'A'""")
+def quarantine_review(spark, folder):
+    courses = s.course_info(spark, folder).where("CAST(id AS BIGINT) % 3 <> 0")
+    return _balance(facts.review_marked(s.change_log(spark, folder, "review_info"), courses))
+
+
+@query(f"""WITH {o.VIEWS}, {o.flags('views')}, {o.TRAFFIC}
+SELECT count(*) AS rows_in, count_if(sc <> '3') AS found, count_if(sc = '3') AS set_aside
+FROM traffic""")
+def quarantine_traffic_windows(spark, folder):
+    return _balance(jobs.traffic_marked(
+        s.page_views(spark, folder), s.base_source(spark, folder).where("id <> '3'"),
+        state.chunk_of("arrival")))
+
+
+@query(f"""WITH {o.TRADE}
+SELECT count(*) AS rows_in, count_if(sc <> '3' AND province_id <> '7') AS found,
+       count_if(sc = '3' OR province_id = '7') AS set_aside FROM trade""")
+def quarantine_trade_windows(spark, folder):
+    return _balance(jobs.trade_marked(
+        _stored_details(spark, folder), s.base_source(spark, folder).where("id <> '3'"),
+        s.base_province(spark, folder).where("id <> '7'"), s.arrival_chunk()))
+
+
+@query(f"""WITH {o.TRADE_FLAGS}, summed AS (
+  SELECT {o.stamps('t')}, course_id FROM trade_flags GROUP BY ALL)
+SELECT count(*) AS rows_in, count_if(CAST(course_id AS BIGINT) % 3 <> 0) AS found,
+       count_if(CAST(course_id AS BIGINT) % 3 = 0) AS set_aside FROM summed""")
+def quarantine_course_windows(spark, folder):
+    courses = s.course_info(spark, folder).where("CAST(id AS BIGINT) % 3 <> 0")
+    return _balance(jobs.course_marked(
+        _stored_details(spark, folder), courses, s.subject_info(spark, folder),
+        s.category_info(spark, folder), s.arrival_chunk()))
+
+
 # --- state ------------------------------------------------------------------------------------
 
 @query(f"WITH {o.VIEWS}, {o.REPAIRED} SELECT arrival, mid, is_new FROM repaired")
@@ -434,36 +492,51 @@ def trade_by_province(spark, folder):
     return _amounts_as_double(reports.trade_by_province(_trade(spark, folder)), "order_amount")
 
 
+# The reports of one day read that day's partition of the stored window table. A session
+# stores a table once.
+_stored_reports: dict[tuple[str, str, str], str] = {}
+
+
+def _day_of(spark, folder, name: str, build: Query, day: int) -> DataFrame:
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _stored_reports:
+        path = work_folder(spark, f"report-{name}")
+        sinks.write_batch(build(spark, folder), path, 0, ["cur_date"])
+        _stored_reports[key] = path
+    return report_day_partition(
+        spark, _stored_reports[key], day, "run=*/batch_id=*").drop(*sinks.PLACE)
+
+
 @query(f"{_TRAFFIC} {o.top(_BOUNCE, 'traffic', 'source_name', 'jump_out', where=_TRAFFIC_WHERE)}")
 def day_bounce_rate_by_source(spark, folder):
-    day = reports.one_day(_traffic(spark, folder), TRAFFIC_DAY)
+    day = _day_of(spark, folder, "traffic", _traffic, TRAFFIC_DAY)
     return _amounts_as_double(reports.bounce_rate_by_source(day), "jump_out")
 
 
 @query(f"{_TRAFFIC} {o.top(_VISITORS, 'traffic', 'source_name', 'uv', 3, _TRAFFIC_WHERE)}")
 def day_visitors_by_source_top_3(spark, folder):
-    return reports.visitors_by_source(reports.one_day(_traffic(spark, folder), TRAFFIC_DAY), 3)
+    return reports.visitors_by_source(_day_of(spark, folder, "traffic", _traffic, TRAFFIC_DAY), 3)
 
 
 @query(f"WITH {_TRADE_EXACT} {o.top(_AMOUNT, 'trade', 'source_name', 'amount', 2, _TRADE_WHERE)}")
 def day_amount_by_source_top_2(spark, folder):
-    day = reports.one_day(_trade(spark, folder), TRADE_DAY)
+    day = _day_of(spark, folder, "trade", _trade, TRADE_DAY)
     return _amounts_as_double(reports.amount_by_source(day, 2), "amount")
 
 
 @query(f"WITH {_TRADE_EXACT} {o.top(_ORDERED, 'trade', 'source_name', 'ordered', where=_TRADE_WHERE)}")
 def day_orders_by_source(spark, folder):
-    return reports.orders_by_source(reports.one_day(_trade(spark, folder), TRADE_DAY))
+    return reports.orders_by_source(_day_of(spark, folder, "trade", _trade, TRADE_DAY))
 
 
 @query(f"WITH {_TRADE_EXACT} {o.top(_ORDERED, 'trade', 'source_name', 'ordered', where=_TRADE_WHERE)}")
 def day_conversion_by_source(spark, folder):
-    return reports.conversion_by_source(reports.one_day(_trade(spark, folder), TRADE_DAY))
+    return reports.conversion_by_source(_day_of(spark, folder, "trade", _trade, TRADE_DAY))
 
 
 @query(f"WITH {_TRADE_EXACT} {_PROVINCE.format(_TRADE_WHERE)}")
 def day_trade_by_province(spark, folder):
-    day = reports.one_day(_trade(spark, folder), TRADE_DAY)
+    day = _day_of(spark, folder, "trade", _trade, TRADE_DAY)
     return _amounts_as_double(reports.trade_by_province(day), "order_amount")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from coursemill.functions.scalars import seconds_to_time
 from coursemill.operators import logsplit, state, windows
-from coursemill.operators.enrich import enrich, enrich_chain
+from coursemill.operators.enrich import enrich, enrich_chain, enrich_chain_or_mark
 
 TRAFFIC_COLUMNS = ("mid", "sc", "is_new", "last_page_id", "during_time", "visit_date",
                    "row_time", "arrival")
@@ -58,11 +58,13 @@ def trade_windows(details: DataFrame, base_source: DataFrame, base_province: Dat
                       base_source, base_province)
 
 
+def trade_steps(base_source: DataFrame, base_province: DataFrame) -> tuple:
+    return ((base_source, "sc", {"source_site": "source_name"}),
+            (base_province, "province_id", {"name": "province_name"}))
+
+
 def name_trade(summed: DataFrame, base_source: DataFrame, base_province: DataFrame) -> DataFrame:
-    return enrich_chain(
-        summed,
-        (base_source, "sc", {"source_site": "source_name"}),
-        (base_province, "province_id", {"name": "province_name"}))
+    return enrich_chain(summed, *trade_steps(base_source, base_province))
 
 
 def course_windows(details: DataFrame, course_info: DataFrame, subject_info: DataFrame,
@@ -73,11 +75,36 @@ def course_windows(details: DataFrame, course_info: DataFrame, subject_info: Dat
         course_info, subject_info, category_info)
 
 
-def name_courses(summed: DataFrame, course_info: DataFrame, subject_info: DataFrame,
-                 category_info: DataFrame) -> DataFrame:
-    return enrich_chain(
-        summed,
+def course_steps(course_info: DataFrame, subject_info: DataFrame, category_info: DataFrame
+                 ) -> tuple:
+    return (
         (course_info, "course_id", {"subject_id": "subject_id"}),
         (subject_info, "subject_id",
          {"subject_name": "subject_name", "category_id": "category_id"}),
         (category_info, "category_id", {"category_name": "category_name"}))
+
+
+def name_courses(summed: DataFrame, course_info: DataFrame, subject_info: DataFrame,
+                 category_info: DataFrame) -> DataFrame:
+    return enrich_chain(summed, *course_steps(course_info, subject_info, category_info))
+
+
+def traffic_marked(page_views: DataFrame, base_source: DataFrame, chunk: Column) -> DataFrame:
+    """The traffic window table with the rows to set aside, marked; see :func:`parted`."""
+    return enrich_chain_or_mark(
+        windows.traffic_by_source_and_visitor(traffic_flags(page_views, chunk)),
+        (base_source, "sc", {"source_site": "source_name"}))
+
+
+def trade_marked(details: DataFrame, base_source: DataFrame, base_province: DataFrame,
+                 chunk: Column) -> DataFrame:
+    return enrich_chain_or_mark(
+        windows.trade_by_source_and_province(trade_flags(details, chunk)),
+        *trade_steps(base_source, base_province))
+
+
+def course_marked(details: DataFrame, course_info: DataFrame, subject_info: DataFrame,
+                  category_info: DataFrame, chunk: Column) -> DataFrame:
+    return enrich_chain_or_mark(
+        windows.trade_by_course(trade_flags(details, chunk, COURSE_COLUMNS)),
+        *course_steps(course_info, subject_info, category_info))

@@ -83,3 +83,14 @@ def test_chapter_windows(spark, folder):
     query.awaitTermination()
     out = spark.read.parquet(f"{folder}/out")
     assert {(r.chapter_id, r.play_count, r.play_sec, r.play_user) for r in out.collect()} <= want
+
+
+def test_a_day_is_read_alone(spark, folder):
+    from coursemill.sources import tables
+
+    df = spark.createDataFrame([(f"2024-01-{d:02d}", d) for d in range(1, 20)], "cur_date string, n int")
+    sinks.write_batch(df, folder, 0, ["cur_date"], "a")
+    sinks.write_batch(df.where("n = 3"), folder, 1, ["cur_date"], "a")
+    day = tables.report_day_partition(spark, folder, 20240103, "run=*/batch_id=*")
+    assert [r.n for r in day.collect()] == [3, 3] and len(day.inputFiles()) == 2
+    assert tables.report_day_partition(spark, folder, 20230103, "run=*/batch_id=*").count() == 0

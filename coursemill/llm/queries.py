@@ -31,6 +31,7 @@ QUERIES = {
 ORACLE = {
     "op3_personal_data": pii.SQL,
     "op4_mixing": mixing.SQL,
+    "op5_substrings": substrings.SQL,
     "op8_quality_rules": quality.SQL,
     "op10_warc_fixity": fixity.SQL,
 }

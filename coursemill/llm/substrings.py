@@ -377,3 +377,25 @@ def _lists(rows: DataFrame, name: str) -> DataFrame:
 def query(spark, folder):
     return remove_repeats(table(spark, folder, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS sequence
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs)),
+least AS (SELECT sequence, min(doc_id) AS first FROM windows GROUP BY sequence),
+gone AS (
+  SELECT DISTINCT doc_id, i + k AS place
+  FROM windows JOIN least USING (sequence), range(13) AS r(k) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM docs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text
+  FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -99,7 +99,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
 def query(spark, folder):
     return measure(table(spark, folder, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "n_lost_words", "base_failed", "kept")
+        "base_failed", "kept", "n_lost_words")
 
 
 SQL = rf"""

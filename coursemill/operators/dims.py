@@ -6,7 +6,7 @@ which column is the key. Everything goes by arrival order, not by the records' o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coursemill.schemas import DIM_CONFIG
@@ -87,6 +87,17 @@ def apply_changes(routed: DataFrame) -> DataFrame:
     deletion, found by aggregates that combine on the map side; the second one sees at most
     one row per kept column of a dimension row.
     """
+    rows = _rows_of_cells(routed)
+    alive = _alive()
+    return (
+        rows.withColumn("cells", alive).where(F.size("cells") > 0)
+        .select("sink_table", "row_key", F.map_from_entries(F.transform(
+            F.array_sort("cells"), lambda c: F.struct(c["name"], c["value"]))).alias("cols"))
+    )
+
+
+def _rows_of_cells(routed: DataFrame) -> DataFrame:
+    """Dimension rows as the newest value of each column, and when the row was last deleted."""
     keyed = routed.where("row_key IS NOT NULL")
     is_delete = F.coalesce(F.col("op") == "delete", F.lit(False))
     nothing = F.lit(None).cast("string")
@@ -98,17 +109,32 @@ def apply_changes(routed: DataFrame) -> DataFrame:
         .agg(F.max_by("cell.value", "arrival").alias("value"),
              F.max("arrival").alias("set_at"))
     )
-    rows = cells.groupBy("sink_table", "row_key").agg(
+    return cells.groupBy("sink_table", "row_key").agg(
         F.max(F.when(F.col("name").isNull(), F.col("set_at"))).alias("deleted_at"),
         F.collect_list(F.when(F.col("name").isNotNull(), F.struct("name", "value", "set_at"))
                        ).alias("cells"))
-    alive = F.filter("cells", lambda c: F.col("deleted_at").isNull()
-                     | (c["set_at"] > F.col("deleted_at")))
-    return (
-        rows.withColumn("cells", alive).where(F.size("cells") > 0)
-        .select("sink_table", "row_key", F.map_from_entries(F.transform(
-            F.array_sort("cells"), lambda c: F.struct(c["name"], c["value"]))).alias("cols"))
-    )
+
+
+def _alive() -> Column:
+    return F.filter("cells", lambda c: F.col("deleted_at").isNull()
+                    | (c["set_at"] > F.col("deleted_at")))
+
+
+def compacted(routed: DataFrame) -> DataFrame:
+    """The fewest change rows that say the same: one per column still set, and the last deletion.
+
+    They have the columns of routed rows, so they stand for all rows they were made from, before
+    newer ones as well.
+    """
+    rows = _rows_of_cells(routed).withColumn("cells", _alive())
+    sets = rows.select("sink_table", "row_key", F.explode("cells").alias("c")).select(
+        "sink_table", "row_key", F.lit("update").alias("op"),
+        F.create_map("c.name", "c.value").alias("cols"), F.col("c.set_at").alias("arrival"))
+    deletions = rows.where("deleted_at IS NOT NULL").select(
+        "sink_table", "row_key", F.lit("delete").alias("op"),
+        F.lit(None).cast("map<string,string>").alias("cols"),
+        F.col("deleted_at").alias("arrival"))
+    return sets.unionByName(deletions)
 
 
 def as_table(dimensions: DataFrame, sink_table: str, *columns: str) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -143,9 +144,53 @@ def dimension_writer(path: str, config: Callable[[], DataFrame], quarantine: str
     return write
 
 
-def read_dimensions(spark: SparkSession, path: str, resets: DataFrame | None = None) -> DataFrame:
+def _snapshot(spark: SparkSession, snapshots: str) -> tuple[int, dict[str, int]]:
+    """Number of the newest snapshot, 0 for none, and the last batch of each run within it."""
+    try:
+        covered = spark.read.parquet(f"{snapshots}/covered")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 0, {}
+    number = covered.agg(F.max("number")).first()[0]
+    return number, {r.run: r.last_batch for r in covered.where(
+        F.col("number") == number).collect()}  # a row per run
+
+
+def dimension_log(spark: SparkSession, path: str, snapshots: str | None = None) -> DataFrame:
+    """Change rows of the newest snapshot and of the batches since; all batches without one."""
+    log = spark.read.parquet(path).withColumn("run", F.col("run").cast("string"))
+    number, covered = _snapshot(spark, snapshots) if snapshots else (0, {})
+    columns = ["sink_table", "row_key", "op", "cols", "arrival"]
+    if not number:
+        return log.select(*columns)
+    old = F.lit(False)
+    for run, last in covered.items():
+        old = old | ((F.col("run") == run) & (F.col("batch_id") <= last))
+    return spark.read.parquet(f"{snapshots}/rows/number={number}").select(*columns).unionByName(
+        log.where(~old).select(*columns))
+
+
+def compact_dimensions(spark: SparkSession, path: str, snapshots: str) -> int:
+    """Write a new snapshot of the dimension log and give its number. One caller at a time.
+
+    A snapshot counts once the list of the batches within it is written, which is last; a
+    broken compaction is written anew under its number. Only batches that are complete may be
+    there: call it between batches, as after :func:`dimension_writer` in the same function.
+    """
+    number = _snapshot(spark, snapshots)[0] + 1
+    within = spark.read.parquet(path).groupBy(F.col("run").cast("string").alias("run")).agg(
+        F.max("batch_id").cast("long").alias("last_batch"))
+    rows = dims.compacted(dimension_log(spark, path, snapshots))
+    rows.write.mode("overwrite").parquet(f"{snapshots}/rows/number={number}")
+    within.write.mode("overwrite").parquet(f"{snapshots}/covered/number={number}")
+    return number
+
+
+def read_dimensions(spark: SparkSession, path: str, resets: DataFrame | None = None,
+                    snapshots: str | None = None) -> DataFrame:
     """The dimension rows that a dimension log leaves: sink_table, row_key, cols."""
-    log = spark.read.parquet(path).drop(*PLACE)
+    log = dimension_log(spark, path, snapshots)
     return dims.apply_changes(log if resets is None else dims.after_reset(log, resets))
 
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from coursemill.operators import dims
 from coursemill.schemas import DIM_CONFIG_CHANGE
@@ -116,3 +117,34 @@ def test_dimension_as_table(spark, config):
         spark, ("course", "insert", {"id": "1", "name": "a"})), config)),
         "dim_course", "id", "name", "price")
     assert rows(table) == [("1", "a", None)]
+
+
+def test_snapshot_and_newer_batches_say_what_the_log_says(spark, folder):
+    import random
+
+    rng = random.Random(1)
+    schema = "sink_table string, row_key string, op string, cols map<string,string>, arrival long"
+
+    def batch(number):
+        return spark.createDataFrame([(
+            f"d{rng.randrange(2)}", str(rng.randrange(6)), rng.choice(["insert", "update", "delete"]),
+            {c: rng.choice([None, str(rng.randrange(99))]) for c in "xy"}, 100 * number + k)
+            for k in range(40)], schema)
+
+    path, snapshots = f"{folder}/log", f"{folder}/snapshots"
+
+    def check():
+        want = dims.apply_changes(spark.read.parquet(path))
+        got = sinks.read_dimensions(spark, path, snapshots=snapshots)
+        key = lambda r: (r.sink_table, r.row_key, sorted(r.cols.items()))
+        assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+
+    for number in range(5):
+        sinks.write_batch(batch(number), path, number, ["sink_table"], "a")
+        check()
+        if number in (1, 3):
+            assert sinks.compact_dimensions(spark, path, snapshots) == (1 if number == 1 else 2)
+            check()
+    log = sinks.dimension_log(spark, path, snapshots)
+    files = {r[0] for r in log.select(F.input_file_name()).collect()}
+    assert files and all("number=2" in f or "batch_id=4" in f for f in files)

@@ -359,7 +359,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
         .mapInArrow(_shared, "doc long, key long"))
     windows = (
         texts.join(_lists(anchors, "names"), F.col("doc_id") == F.col("names_of"), "left")
-        .select("doc_id", "text", "names")
+        .select("doc_id", "text", "names", "copy")  # the columns that the last step reads
         .mapInArrow(_window_rows(window, rounds), "one long, two long, doc long, state byte")
         .repartition("one").sortWithinPartitions("one", "two", "state", "doc")
         .mapInArrow(_repeated, "doc long, key long"))

@@ -49,3 +49,21 @@ def components(links: DataFrame) -> DataFrame:
             return rows.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
                 rows.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
         state = new
+
+
+def firsts(distinct: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(of_id, least) of distinct (id, first): the least ``first`` of the id's component."""
+    linked = distinct.join(nodes, F.col("id") == F.col("node"))
+    least = linked.groupBy(F.col("component").alias("of")).agg(F.min("first").alias("least"))
+    linked = linked.join(least, F.col("component") == F.col("of")).select(
+        F.col("id").alias("of_id"), "least")
+    alone = distinct.join(nodes, F.col("id") == F.col("node"), "left_anti").select(
+        F.col("id").alias("of_id"), F.col("first").alias("least"))
+    return linked.union(alone)
+
+
+def kept_of(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The documents that have the least doc_id of their group (doc_id, component_id)."""
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")

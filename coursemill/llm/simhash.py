@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from coursemill import session
 from coursemill.llm.columns import table
-from coursemill.llm.links import components
+from coursemill.llm.links import components, firsts, kept_of
 
 SHINGLE = 3
 SEED = 42
@@ -32,18 +32,24 @@ BLOCKS = 5
 TILE = 2048  # fingerprints of a key that meet in one tile, about
 
 
-def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+def shingle_hashes(text: bytes, shingle: int = SHINGLE) -> list[int]:
+    """Hashes of a text's word shingles; a text of fewer words has one, one without words none."""
     import xxhash
 
     words = text.lower().split()  # of bytes: A-Z alone, and the six white characters
     if not words:
-        return 0
+        return []
+    of = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        hashes = [xxhash.xxh64_intdigest(b" ".join(words), SEED)]
-    else:
-        of = xxhash.xxh64_intdigest
-        parts = zip(*[words[k:] for k in range(shingle)], strict=False)
-        hashes = [of(x, SEED) for x in map(b" ".join, parts)]
+        return [of(b" ".join(words), SEED)]
+    parts = zip(*[words[k:] for k in range(shingle)], strict=False)
+    return [of(x, SEED) for x in map(b" ".join, parts)]
+
+
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    hashes = shingle_hashes(text, shingle)
+    if not hashes:
+        return 0
     total, step = np.zeros(64, np.int64), 1 << 15
     for at in range(0, len(hashes), step):
         bits = np.unpackbits(np.array(hashes[at:at + step], ">u8").view(np.uint8).reshape(-1, 8),
@@ -206,13 +212,7 @@ def groups(docs: DataFrame, text: str = "text", distance: int = DISTANCE,
         docs.select("doc_id", text), text, shingle, second).withColumn("id", node), "fingerprints")
     distinct = prints.groupBy("fingerprint", "second", "id").agg(F.min("doc_id").alias("first"))
     nodes = components(links(distinct, distance, blocks, tile, second_distance))
-    linked = distinct.join(nodes, F.col("id") == F.col("node"))
-    firsts = linked.groupBy(F.col("component").alias("of")).agg(F.min("first").alias("least"))
-    linked = linked.join(firsts, F.col("component") == F.col("of")).select(
-        F.col("id").alias("of_id"), "least")
-    alone = distinct.join(nodes, F.col("id") == F.col("node"), "left_anti").select(
-        F.col("id").alias("of_id"), F.col("first").alias("least"))
-    return (prints.join(linked.union(alone), F.col("id") == F.col("of_id"))
+    return (prints.join(firsts(distinct, nodes), F.col("id") == F.col("of_id"))
             .select("doc_id", "fingerprint", F.col("least").alias("component_id")))
 
 
@@ -222,9 +222,7 @@ def representatives(docs: DataFrame, **options: int) -> DataFrame:
     ``options`` are those of :func:`groups`. All rows of a kept doc_id stay. Rows without a
     doc_id cannot be told apart by id and stay only if no other of their group has one.
     """
-    kept = groups(docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return kept_of(docs, groups(docs, **options))
 
 
 def query(spark, folder):

@@ -7,24 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coursemill import session
+
 # A key with more rows than this is spread over SALTS tasks.
 HOT_ROWS = 1_000_000
+# A list of at most so many hot keys is broadcast.
 HOT_KEYS = 10_000
 SALTS = 64
 
 
 def hottest(counted: DataFrame, hot_rows: int) -> DataFrame:
-    """The rows of a table with ``_rows`` per key that are over ``hot_rows``, HOT_KEYS at most.
+    """The rows of a table with ``_rows`` per key that are over ``hot_rows``, as a stored table.
 
-    This bounds what is broadcast. Which keys count as hot decides how rows are dealt, and
-    nothing about the results.
+    It is stored because several places of a job ask which keys are hot, and all need one answer.
     """
-    return counted.where(F.col("_rows") > hot_rows).orderBy(F.desc("_rows")).limit(HOT_KEYS)
+    return session.stored(counted.where(F.col("_rows") > hot_rows), "hot")
+
+
+def to_join(hot: DataFrame) -> DataFrame:
+    """A stored list of hot keys, to be broadcast if it has at most HOT_KEYS rows."""
+    return F.broadcast(hot) if hot.limit(HOT_KEYS + 1).count() <= HOT_KEYS else hot
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The hottest keys with over ``hot_rows`` rows, marked ``_hot``. Counting combines on the
-    map side."""
+    """All keys with over ``hot_rows`` rows, marked ``_hot``, as a stored table. Counting combines
+    on the map side."""
     counted = df.groupBy(key).agg(F.count("*").alias("_rows"))
     return hottest(counted, hot_rows).select(key, F.lit(True).alias("_hot"))
 
@@ -36,10 +43,9 @@ def spread_join(facts: DataFrame, other: DataFrame, on: str, spread_by: str,
     AQE cannot split a skewed partition when the other side comes straight from an
     aggregation, as "the last row per session" does. So keys with over ``hot_rows`` rows are
     found by a counting aggregate, their rows are spread by a hash of ``spread_by``, and only
-    their partners are repeated. There are HOT_KEYS such keys at most, which bounds both what is
-    broadcast and what is repeated.
+    their partners are repeated. The list of them is broadcast up to HOT_KEYS keys, else shuffled.
     """
-    hot = F.broadcast(hot_keys(facts, on, hot_rows))
+    hot = to_join(hot_keys(facts, on, hot_rows))
 
     def marked(df: DataFrame) -> DataFrame:
         return df.join(hot, on, "left")

@@ -10,7 +10,8 @@ order of the keys with over ``hot_rows`` rows is cut into chunks:
 3. all rows are sorted per (key, chunk), a chunk starting from the value that enters it. A
    key that is not hot is one chunk.
 
-The result is exact for every chunk size, every ``hot_rows`` and whichever keys are taken as hot.
+The result is exact for every chunk size and every ``hot_rows``. Which keys are hot is stored
+before it is used: all places must see one list.
 NULL is a key like any other. A task holds at most a chunk
 of a hot key, or ``hot_rows`` rows of another. The data is shuffled once; the counts, and the
 last values of hot keys, read few columns. So the input should be a scan; what comes out of
@@ -22,8 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coursemill import session
 from coursemill.functions.scalars import differs, flag, is_blank
-from coursemill.operators.joins import HOT_ROWS, hot_keys, hottest
+from coursemill.operators.joins import HOT_ROWS, hot_keys, hottest, to_join
 
 CHUNK = 1 << 20
 
@@ -46,7 +48,7 @@ def with_previous(df: DataFrame, key: str, arrival: str, values: dict[str, Colum
         **{f"_v_{name}": value for name, value in values.items()},
         "_chunk": chunk,
     })
-    hot = F.broadcast(hot_keys(df, key, hot_rows).withColumnRenamed(key, "_hot_key"))
+    hot = to_join(hot_keys(df, key, hot_rows).withColumnRenamed(key, "_hot_key"))
     same = F.col(key).eqNullSafe(F.col("_hot_key"))
     tails = (rows.join(hot, same).groupBy(key, "_chunk")
              .agg(*[F.max_by(c, arrival).alias(c) for c in held]))
@@ -75,13 +77,13 @@ def with_first(df: DataFrame, key: str, arrival: str, value: Column, out: str,
                hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``out``: ``value`` as it was in the key's first row. NULL is a key like any other.
 
-    The rows of hot keys get it from a broadcast list, of HOT_KEYS keys at most, and take no
-    part in the join that serves the other rows. One aggregate gives both the first values and
+    The rows of hot keys get it from a list, broadcast up to HOT_KEYS keys, and take no part in
+    the join that serves the other rows. One aggregate, stored, gives both the first values and
     the counts.
     """
-    heads = df.withColumn(out, value).groupBy(F.col(key).alias("_head_key")).agg(
-        F.min_by(out, arrival).alias(out), F.count("*").alias("_rows"))
-    hot = F.broadcast(
+    heads = session.stored(df.withColumn(out, value).groupBy(F.col(key).alias("_head_key")).agg(
+        F.min_by(out, arrival).alias(out), F.count("*").alias("_rows")), "heads")
+    hot = to_join(
         hottest(heads, hot_rows).select(F.col("_head_key").alias("_hot_key"),
                                         F.struct(out).alias("_hot")))
     cold = heads.select("_head_key", F.struct(out).alias("_cold"))

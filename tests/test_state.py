@@ -110,3 +110,20 @@ def test_null_is_a_key_like_any_other(spark):
         assert {r.arrival: (r.uv_ct, r.sv_ct, r.so_ct) for r in flags.collect()} == {
             1: (1, 1, 1), 2: (1, 0, -1), 3: (0, 0, 0), 4: (1, 1, 1), 5: (1, 1, 1), 6: (1, 0, 0)}
     assert state.hot_keys(df, "mid", 0).where(F.col("mid").isNull()).count() == 1
+
+
+def test_no_hot_key_is_left_out_where_they_are_more_than_are_broadcast(spark, monkeypatch):
+    from coursemill.operators import joins
+
+    monkeypatch.setattr(joins, "HOT_KEYS", 3)
+    rnd = random.Random(8)
+    data = [(f"m{i % 12}", D1 + dt.timedelta(days=i // 80), rnd.choice("01"),
+             rnd.choice([None, "", "p", "q"])) for i in range(480)]  # 40 rows each
+    df = frame(spark, data, "mid string, visit_date date, is_new string, last_page_id string")
+    assert joins.hot_keys(df, "mid", 0).count() == 12
+    assert joins.hot_keys(df, "mid", 39).count() == 12
+    flagged = state.visit_flags(state.repair_new_visitor(df, hot_rows=0),
+                                state.chunk_of("arrival", 7), hot_rows=0)
+    got = [r[1:] for r in sorted(tuple(r) for r in flagged.select(
+        "arrival", "is_new", "uv_ct", "sv_ct", "so_ct").collect())]
+    assert got == replay(data)

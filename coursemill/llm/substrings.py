@@ -112,9 +112,10 @@ class Sequences:
             first, last, rank = first[fits], last[fits], _mixed(names[fits])
             for k in range(self.window):
                 at = last - self.window + k
-                own = np.flatnonzero((at <= first) & (at >= 0))
-                if not len(own):
-                    break
+                inside = at <= first
+                if not inside.any():
+                    break  # and at a later word neither
+                own = np.flatnonzero(inside & (at >= 0))
                 at = at[own]
                 better = (rank[own] < best[at]) & open_[at]
                 at, own = at[better], own[better]

@@ -74,3 +74,20 @@ def test_equal_windows_have_equal_anchors():
     for key, anchor in zip(keys.tolist(), anchors.tolist(), strict=True):
         assert of.setdefault(key, anchor) == anchor
     assert len(of) < len(at) and len(set(anchors.tolist())) < 0.5 * len(of)
+
+
+def test_anchors_do_not_depend_on_the_texts_beside():
+    rng = random.Random(12)
+    words = [rng.choice("abcdefgh").encode() for _ in range(400)]
+    whole = substrings.Sequences([b" ".join(words)]).anchors()
+    alone = [substrings.Sequences([b" ".join(words[k:k + 13])]).anchors()[0]
+             for k in range(len(words) - 12)]
+    assert alone == whole[:len(alone)].tolist()
+
+
+def test_a_short_text_alone_in_its_task_meets_a_long_one(spark):
+    words = [f"w{k}" for k in range(200)]
+    rows = [(1, " ".join(words))] + [(10 + k, " ".join(words[k:k + 13])) for k in range(0, 180, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(len(rows) * 4, "doc_id")
+    got = sorted((tuple(r) for r in substrings.remove_repeats(df).collect()), key=repr)
+    assert got == brute(rows, 13)

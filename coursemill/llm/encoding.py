@@ -1,8 +1,8 @@
-"""Token ids of whole texts, with the ids of frequent words kept between texts.
+"""Token ids of whole texts, with the ids of words kept between texts.
 
-Both vocabularies never join what lies on two sides of a lone space, so a text is cut there and
-every distinct piece is encoded once. What is kept is bounded; the ids equal those of encoding
-the text in one call (`tests/llm/test_encoding.py`).
+A batch is cut into pieces, each distinct piece is encoded once, and its ids are spread over its
+places (`pieces`). What is kept is bounded; the ids equal those of encoding the text in one
+call (`tests/llm/test_encoding.py`).
 """
 
 from __future__ import annotations
@@ -14,31 +14,31 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from coursemill.llm import pieces as cutting
+
 END_ID = 1
-KEPT_PIECES = 900_000  # distinct pieces that a worker keeps, about 200 MB
-WORDS_A_CALL = 32  # words that are encoded as one text
+KEPT_PIECES = 450_000  # pieces of either sort that a worker keeps, about 200 MB in all
+WORDS_A_CALL = 128  # words that are encoded as one text
 CHUNK_CHARS = 4_000_000  # characters that are encoded together
 
-# Cuts before a space that has no white space on either side.
-_CUT = re.compile(r"(?<=\S)(?= \S)")
 # Pieces that fall into words and marks, which no vocabulary entry joins.
 _PARTS = re.compile(r"( ?[^\W_]+)([.,]?)(?:(\n)([^\W_]+)([.,]?))?")
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit integers in bytes.
+    """Ids as little-endian unsigned 32-bit integers.
 
-    A piece stands for itself with a space ahead of it. With a space as its first character it
-    stands for the rest of itself, with nothing ahead.
+    With ``plain``, the strings of special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {}
+        self.tokenizer.encode_special_tokens = plain
+        self.runs = cutting.Kept(self._look_up, KEPT_PIECES)  # ids of each piece
         # Vocabularies mark the last token of a word, or the first one after a space.
         size = self.tokenizer.get_vocab_size()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
@@ -46,46 +46,40 @@ class Encoder:
         first = np.array([name.startswith("\u0120") for name in names])
         self.marks, self.mark_is_last = (last, True) if last.any() else (first, False)
 
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """Pieces of any text."""
-        cut = _CUT.split(text)
-        return [" " + cut[0], *[piece[1:] for piece in cut[1:]]]
-
-    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
-        """Words are encoded some at a time, and cut apart at the marks of the vocabulary."""
+    def _encoded(self, words: list[str], others: list[str]) -> dict[str, bytes]:
+        """Words, which are letters alone, are encoded some at a time, and cut apart at the marks
+        of the vocabulary; other pieces one by one."""
         found = {}
-        words = [piece for piece in pieces if piece.isalpha()]
-        others = [piece for piece in pieces if not piece.isalpha()]
-        for start in range(0, len(words), 640 * WORDS_A_CALL):
+        for start in range(0, len(words), 160 * WORDS_A_CALL):
             groups = [words[at:at + WORDS_A_CALL] for at in range(
-                start, min(start + 640 * WORDS_A_CALL, len(words)), WORDS_A_CALL)]
+                start, min(start + 160 * WORDS_A_CALL, len(words)), WORDS_A_CALL)]
             encoded = self.tokenizer.encode_batch_fast(
                 [" " + " ".join(group) for group in groups], add_special_tokens=False)
             for group, x in zip(groups, encoded, strict=True):
                 ids = np.array(x.ids, "<u4")
                 marked = np.flatnonzero(self.marks[ids])
                 if len(marked) != len(group):  # a letter whose lower case is more than letters
-                    others += group
+                    others = others + group
                     continue
                 ids, cuts = ids.tobytes(), (4 * marked).tolist()
                 cuts = [0, *[x + 4 for x in cuts]] if self.mark_is_last else [*cuts, len(ids)]
-                for word, i, j in zip(group, cuts, cuts[1:], strict=False):
-                    found[word] = ids[i:j]
+                found.update(zip(group, [ids[i:j] for i, j in zip(cuts, cuts[1:], strict=False)],
+                                 strict=False))
         for start in range(0, len(others), 20_000):
             some = others[start:start + 20_000]
-            raw = [piece[1:] if piece.startswith(" ") else " " + piece for piece in some]
-            for piece, x in zip(some, self.tokenizer.encode_batch_fast(
-                    raw, add_special_tokens=False), strict=True):
-                found[piece] = np.array(x.ids, "<u4").tobytes()
+            found.update(zip(some, [
+                np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(
+                    [cutting.raw(piece) for piece in some], add_special_tokens=False)],
+                strict=True))
         return found
 
-    def _look_up(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of pieces that are not kept; they and their words are, as there is room."""
-        kept, parts, words = self.kept, {}, set()
+    def _look_up(self, new: list[str]) -> list[bytes]:
+        """Ids of pieces, by way of the words that they are made of."""
+        peek, parts, made = self.runs.peek, [], {}
+        words = dict.fromkeys([piece for piece in new if piece.isalpha()])
+        others = {}
         for piece in new:
-            if piece.isalpha():
-                words.add(piece)
+            if piece in words:
                 continue
             cut = _PARTS.fullmatch(piece)
             if cut:
@@ -93,58 +87,41 @@ class Encoder:
                 cut = [word, *[" " + x for x in (mark, line, after, last) if x]]
             else:
                 cut = [piece]
-            parts[piece] = cut
-            words.update(cut)
-        found = self._encoded([word for word in words if word not in kept])
-        whole = {piece: b"".join([found[w] if w in found else kept[w] for w in cut])
-                 for piece, cut in parts.items()}
-        found |= whole
-        if len(kept) < KEPT_PIECES:
-            kept.update(found)
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text.
-
-        A text is cut at its spaces. That is right unless a piece is empty or begins or ends
-        with white space; no such piece is kept, so only those not kept need the look.
-        """
-        of = self.kept.get
-        cut, found, gaps, new = [], [], [], set()
-        for text in texts:
-            pieces = text.split(" ")
-            pieces[0] = " " + pieces[0]
-            ids = list(map(of, pieces))
-            if None in ids:
-                at = [k for k, x in enumerate(ids) if x is None]
-                missing = [pieces[k] for k in at]
-                if not all(p.strip() == p != "" for p in missing if p is not pieces[0]) or (
-                        pieces[0].strip() != pieces[0][1:] or pieces[0] == " "):
-                    pieces = self.pieces(text)
-                    ids = [None] * len(pieces)
-                    at, missing = range(len(pieces)), pieces
-                new.update(missing)
-            else:
-                at = ()
-            cut.append(pieces)
-            found.append(ids)
-            gaps.append(at)
-        extra = self._look_up(new) if new else {}
-        for pieces, ids, at in zip(cut, found, gaps, strict=True):
-            for k in at:
-                x = extra.get(pieces[k])
-                ids[k] = of(pieces[k]) if x is None else x
-        return [b"".join(ids) for ids in found]
-
-
-def encoder(path: str) -> Encoder:
+            parts.append((piece, cut))
+            for word in cut:
+                if word not in words and word not in others and word not in made:
+                    ids = peek(word)
+                    if ids is not None:
+                        made[word] = ids
+                    else:
+                        (words if word.isalpha() else others)[word] = None
+        encoded = self._encoded(list(words), list(others))
+        made.update(encoded)
+        for piece, cut in parts:
+            if len(cut) > 1:
+                made[piece] = b"".join([made[word] for word in cut])
+        self.runs.once.update(encoded)
+        return [made[piece] for piece in new]
+
+    def ids(self, texts: pa.Array, end: int | None = None) -> cutting.Ragged:
+        """Ids of each text, and ``end`` after them if it is given."""
+        words, of, bounds = cutting.cut(texts)
+        runs = self.runs(words)
+        if end is not None:  # one more piece at the end of each text
+            runs.append(np.array([end], "<u4").tobytes())
+            of = np.insert(of, bounds[1:], len(words))
+            bounds = bounds + np.arange(len(bounds))
+        return cutting.spread(cutting.ragged(runs, "<u4"), of, bounds)
+
+
+def encoder(path: str, plain: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file, made once."""
-    if path not in _encoders:
+    if (path, plain) not in _encoders:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+        _encoders[path, plain] = Encoder(path, plain)
+    return _encoders[path, plain]
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
@@ -161,14 +138,11 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
 
 
 def encoded(batch: pa.RecordBatch, path: str, text: str = "text",
-            end: int = END_ID) -> list[bytes]:
+            end: int = END_ID) -> cutting.Ragged:
     """Ids of each text of a batch, with the end id; a null text is empty."""
-    texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-    last = np.array([end], "<u4").tobytes()
-    return [ids + last for ids in encoder(path).encode([t or "" for t in texts])]
+    return encoder(path).ids(batch.column(batch.schema.get_field_index(text)), end)
 
 
-def id_lists(rows: list[bytes]) -> pa.ListArray:
-    offsets = np.cumsum([0, *[len(ids) // 4 for ids in rows]], dtype=np.int32)
+def id_lists(ids: cutting.Ragged) -> pa.ListArray:
     return pa.ListArray.from_arrays(
-        pa.array(offsets), pa.array(np.frombuffer(b"".join(rows), "<i4")))
+        pa.array(ids.bounds.astype(np.int32)), pa.array(ids.values.view("<i4")))

@@ -35,20 +35,22 @@ def pieces(docs: DataFrame, path: str, window: int = WINDOW, with_ids: bool = Tr
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = 4 * window
         for batch in encoding.chunks(batches):
-            ids = encoding.encoded(batch, path)
-            cut = [(row, at, doc[at:at + step])
-                   for row, doc in enumerate(ids) for at in range(0, len(doc), step)]
-            of = np.array([row for row, _, _ in cut], np.int64)
+            values, bounds = encoding.encoded(batch, path)
+            sizes = np.diff(bounds)
+            parts = -(-sizes // window)
+            of = np.repeat(np.arange(len(sizes)), parts)
+            first = np.cumsum(parts) - parts
+            start = (np.arange(len(of)) - first[of]) * window
+            length = np.minimum(window, sizes[of] - start)
+            cut = np.append(bounds[of] + start, len(values))  # pieces are gapless
             columns = [
-                batch.column(0).take(pa.array(of)),
-                pa.array(np.array([at // 4 for _, at, _ in cut], np.int64)),
-                pa.array(np.array([len(part) // 4 for _, _, part in cut], np.int64)),
-                pa.array(np.array([zlib.crc32(part) for _, _, part in cut], np.int64)),
-                pa.array(np.array([len(doc) // 4 for doc in ids], np.int64)[of])]
+                batch.column(0).take(pa.array(of)), pa.array(start), pa.array(length),
+                pa.array(np.array([zlib.crc32(values[a:b]) for a, b in zip(
+                    cut, cut[1:], strict=False)], np.int64)),
+                pa.array(sizes[of])]
             if with_ids:
-                columns.append(encoding.id_lists([part for _, _, part in cut]))
+                columns.append(encoding.id_lists(encoding.cutting.Ragged(values, cut)))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from coursemill.llm import (
+    alignment,
+    bytebpe,
+    conversations,
     fixity,
     mixing,
     packing,
@@ -26,6 +29,9 @@ QUERIES = {
     "op8_quality_rules": quality.query,
     "op9_fingerprints": sketches.query,
     "op10_warc_fixity": fixity.query,
+    "op11_alignment": alignment.query,
+    "op12_byte_bpe": bytebpe.query,
+    "op13_conversations": conversations.query,
 }
 
 ORACLE = {
@@ -34,4 +40,5 @@ ORACLE = {
     "op5_substrings": substrings.SQL,
     "op8_quality_rules": quality.SQL,
     "op10_warc_fixity": fixity.SQL,
+    "op13_conversations": conversations.SQL,
 }

@@ -50,11 +50,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         part, at = TaskContext.get().partitionId(), 0
         for batch in encoding.chunks(batches):
             ids = encoding.encoded(batch, path)
-            sizes = np.array([len(x) // 4 for x in ids], np.int64)
-            starts = at + np.cumsum(sizes) - sizes
-            at += int(sizes.sum())
+            sizes = np.diff(ids.bounds)
+            starts = at + ids.bounds[:-1]
+            at += len(ids.values)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.full(len(ids), part, np.int32)),
+                [batch.column(0), pa.array(np.full(len(sizes), part, np.int32)),
                  pa.array(starts), pa.array(sizes), encoding.id_lists(ids)],
                 names=["doc_id", "part", "part_start", "n_tokens", "ids"])
 

@@ -47,9 +47,9 @@ def test_odd_documents_match_sql(spark, folder, rows):
     db = duckdb.connect()
     db.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
     for name in sorted(queries.ORACLE):
-        if name != "op10_warc_fixity":
+        if name not in ("op10_warc_fixity", "op13_conversations"):
             compare(spark, db, name, folder)
 
 
-def test_all_ten_operators_are_registered():
-    assert {int(name[2:].split("_")[0]) for name in queries.QUERIES} == set(range(1, 11))
+def test_all_operators_are_registered():
+    assert {int(name[2:].split("_")[0]) for name in queries.QUERIES} == set(range(1, 14))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,3 +20,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def word_count(text: Column) -> Column:
     """Number of words, 0 for a null text."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def aside(docs: DataFrame, *taken: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The rows with columns of taken names renamed, and what gives them their names back."""
+    held, names = {}, {c.lower() for c in docs.columns} | set(taken)
+    for name in docs.columns:
+        if name.lower() in taken:
+            other = f"{name}_"
+            while other.lower() in names:
+                other += "_"
+            names.add(other.lower())
+            held[name] = other
+    back = {other: name for name, other in held.items()}
+    return docs.withColumnsRenamed(held), lambda rows: rows.withColumnsRenamed(back)

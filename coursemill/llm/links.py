@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from coursemill import session
+from coursemill.llm.columns import aside
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -64,6 +65,7 @@ def firsts(distinct: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def kept_of(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """The documents that have the least doc_id of their group (doc_id, component_id)."""
+    docs, back = aside(docs, "_kept")
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return back(docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi"))

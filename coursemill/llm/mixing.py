@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from coursemill.llm.columns import WORD, table, word_count
+from coursemill.llm.columns import WORD, aside, table, word_count
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -71,6 +71,7 @@ def mix(docs: DataFrame, size: Column | None = None, source: str = "source",
     they are equal. An empty table gives no rows. Keys are MD5 of ``key``, so reruns agree.
     """
     size = word_count(F.col("text")) if size is None else size
+    docs, back = aside(docs, "_source", "_key", "_range", "_of", "_in", "_start", "_before")
     rows = (
         docs
         .withColumn("size", F.coalesce(size.cast("long"), F.lit(0)))
@@ -93,7 +94,7 @@ def mix(docs: DataFrame, size: Column | None = None, source: str = "source",
     rest = budget % F.greatest(F.col("source_size"), F.lit(1))
     full = (budget - rest) / F.greatest(F.col("source_size"), F.lit(1))
     own = rows.drop("source_size", "target", "taken")
-    return (
+    return back(
         own
         .withColumn("_before", F.coalesce(F.sum("size").over(within), F.lit(0)))
         .join(starts, F.col("_source").eqNullSafe(F.col("_of"))
@@ -111,7 +112,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     Where the budget cuts a document, its first words as far as they are taken, joined by one
     space, are a row. ``n_chars`` follows. Documents of which no word is taken are left out.
     """
-    own = [F.col(f"_row.`{c}`").alias(c) for c in docs.columns]
+    row = {c: F.col(f"_row.`{c}`") for c in docs.columns}
     rows = mix(docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row")))
     whole = F.floor(F.col("taken") / F.col("size")).cast("int")
     part = (F.col("taken") % F.col("size")).cast("int")
@@ -121,13 +122,13 @@ def mixed(docs: DataFrame) -> DataFrame:
             F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>"))))
         .alias("_words"))
     cut = F.array_join(F.slice(F.regexp_extract_all(
-        F.col("_row.text"), F.lit(WORD), F.lit(0)), 1, F.greatest("_words", F.lit(1))), " ")
-    out = rows.select(*own, "_words", F.when(F.col("_words") > 0, cut).alias("_cut"))
-    out = out.withColumn("text", F.coalesce("_cut", "text"))
+        row["text"], F.lit(WORD), F.lit(0)), 1, F.greatest("_words", F.lit(1))), " ")
+    text = F.when(F.col("_words") > 0, cut).otherwise(row["text"])
+    out = row | {"text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_words") > 0, F.length("text").cast(
-            docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out["n_chars"] = F.when(F.col("_words") > 0, F.length(text).cast(
+            docs.schema["n_chars"].dataType)).otherwise(row["n_chars"])
+    return rows.select(*[value.alias(c) for c, value in out.items()])
 
 
 def query(spark, folder):

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coursemill.llm.columns import table
+from coursemill.llm.columns import aside, table
 
 THRESHOLD = 0.5
 NEAR = 40  # code points ahead of a span in which context words count
@@ -125,9 +125,10 @@ def find(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
     A span has ``start`` and ``end`` (code points, end exclusive), ``kind``, ``place`` (the
     kind's place in KINDS), ``hit`` and ``score``. Matches of one kind do not overlap, spans of
     several kinds may. A null or empty text has none. Each row stands for itself, so repeated
-    rows, ties and null columns change nothing. A column named like ``out`` is replaced; names
-    beginning with ``_pii_`` are taken.
+    rows, ties and null columns change nothing. A column named like ``out`` is replaced.
     """
+    docs, back = aside(docs, "_pii_text", "_pii_all",
+                       *[f"_pii_{kind.name}" for kind in KINDS])
     rows = docs.withColumn("_pii_text", F.coalesce(F.col(text), F.lit("")))
     whole = F.col("_pii_text")
     for kind in KINDS:
@@ -136,8 +137,8 @@ def find(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
     spans = [_spans(kind, place, whole, F.col(f"_pii_{kind.name}"))
              for place, kind in enumerate(KINDS)]
     rows = rows.withColumn("_pii_all", F.array_sort(F.concat(*spans)))
-    return rows.withColumn(out, F.col("_pii_all")).drop(
-        "_pii_text", "_pii_all", *[f"_pii_{kind.name}" for kind in KINDS])
+    return back(rows.withColumn(out, F.col("_pii_all")).drop(
+        "_pii_text", "_pii_all", *[f"_pii_{kind.name}" for kind in KINDS]))
 
 
 def masked(text: Column, spans: Column) -> Column:
@@ -161,6 +162,8 @@ def masked(text: Column, spans: Column) -> Column:
 
 def mask(docs: DataFrame) -> DataFrame:
     """Documents with their spans masked; ``n_chars`` follows. Null texts stay null."""
+    names = docs.columns
+    docs, back = aside(docs, "_pii_spans")
     rows = find(docs, out="_pii_spans")
     rows = rows.withColumn("text", masked(F.col("text"), F.col("_pii_spans")))
     if "n_chars" in docs.columns:
@@ -168,7 +171,7 @@ def mask(docs: DataFrame) -> DataFrame:
         rows = rows.withColumn("n_chars", F.when(
             changed, F.length("text").cast(docs.schema["n_chars"].dataType))
             .otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    return back(rows).select(*names)
 
 
 def _listed(spans: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from coursemill.llm.columns import WORD, table
+from coursemill.llm.columns import WORD, aside, table
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -49,8 +49,10 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lost_words,
     base_failed, kept, cleaned. ``cleaned`` has the first of equal lines that pass. A null text
     counts as empty and is not kept. Rows are judged alone, so repeated rows get equal results;
-    columns with the names of new ones are replaced, names beginning with ``_q_`` are taken.
+    columns with the names of new ones are replaced, names beginning with ``_q_`` are kept apart.
     """
+    docs, back = aside(docs, "_q_text", "_q_words", "_q_lines", "_q_firsts", "_q_good", "_q_windows",
+                       "_q_sorted", "_q_starts")
     i3 = lambda i: F.xxhash64(*[F.get("_q_words", i + k) for k in range(3)])
     hash_at = lambda k: F.get("_q_sorted", k)["h"]
     rows = (
@@ -78,7 +80,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         values, F.lit(0).cast("long"), lambda a, b: a + b.cast("long"))
     covered = F.transform("_q_starts", lambda s, k: F.least(
         F.lit(3), F.coalesce(F.get("_q_starts", k + 1) - s, F.lit(3))))
-    return (
+    return back(
         rows
         .withColumn("word_chars", F.length(
             F.regexp_replace("_q_text", r"[\x20\x09-\x0D]+", "")).cast("long"))

@@ -220,7 +220,7 @@ def representatives(docs: DataFrame, **options: int) -> DataFrame:
     """The documents less near-duplicates: of each group the one with the least doc_id stays.
 
     ``options`` are those of :func:`groups`. All rows of a kept doc_id stay. Rows without a
-    doc_id cannot be told apart by id and stay only if no other of their group has one.
+    doc_id cannot be told apart by id: all of them stay if one has no row with an id in its group.
     """
     return kept_of(docs, groups(docs, **options))
 

@@ -10,25 +10,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from coursemill import session
-from coursemill.llm import mixing, nearcopies, packing, pii, toxicity
-from coursemill.llm.columns import table
+from coursemill.llm import mixing, packing, pii, simhash, toxicity
+from coursemill.llm.columns import aside, table
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the machine trained on the labels does not reject."""
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs.select("doc_id", "text", *[
-        c for c in docs.columns if c not in ("doc_id", "text")]), model)
-    return scored.where("predicted = 0").select(*docs.columns)
+    model = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    rows, back = aside(docs, "score", "predicted")
+    return back(toxicity.score(rows, model).where("predicted = 0").drop("score", "predicted"))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the least id.
 
-    Documents are linked from a Jaccard similarity of 0.8 of their five-word shingles on, which
-    the shingle sets of every pair that minimum hashes propose are asked for.
+    Documents are linked if the SimHash fingerprints of their three-word shingles differ in at
+    most three bits.
     """
-    return nearcopies.representatives(docs)
+    return simhash.representatives(docs, shingle=3, distance=3)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -171,7 +171,7 @@ def mask(docs: DataFrame) -> DataFrame:
         rows = rows.withColumn("n_chars", F.when(
             changed, F.length("text").cast(docs.schema["n_chars"].dataType))
             .otherwise(F.col("n_chars")))
-    return back(rows).select(*names)
+    return back(rows.drop("_pii_spans")).select(*names)
 
 
 def _listed(spans: Column) -> Column:

@@ -135,7 +135,7 @@ def odd_documents(spark):
 
 
 def test_stages_handle_odd_tables(spark, folder):
-    spark.createDataFrame([(1, 0, 0), (4, 0, 1)], "doc_id long, quality int, toxic int"
+    spark.createDataFrame([(1, 0, 0), (99, 0, 1)], "doc_id long, quality int, toxic int"
                           ).write.parquet(f"{folder}/labels.parquet")
     docs = odd_documents(spark)
     for name, stage in corpus_pipeline.STAGES[:-1]:

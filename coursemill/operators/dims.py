@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coursemill.operators.asof import as_of
 from coursemill.schemas import DIM_CONFIG
 
 CONFIG_FIELDS = DIM_CONFIG.names
@@ -67,6 +68,23 @@ def route(changes: DataFrame, config: DataFrame) -> DataFrame:
                        F.col("type").alias("op"), "cols", "arrival")
 
 
+def route_as_of(changes: DataFrame, config: DataFrame, **options: int) -> DataFrame:
+    """Change rows routed by the configuration that was valid when each arrived.
+
+    ``config`` has the configuration's change rows (:func:`config_changes`, :func:`preloaded`),
+    numbered in the arrival order of the changes; a change of the configuration counts from its
+    own number on. ``options`` are those of :func:`coursemill.operators.asof.as_of`: a source table
+    that has most of the change rows is split by arrival.
+    """
+    found = as_of(changes, config, "table", "source_table",
+                  ["op", "sink_table", "sink_columns", "sink_row_key"], "_config", **options)
+    kept = found.where("_config.op <> 'd'").withColumn(
+        "cols", keep_columns(F.col("data"), F.col("_config.sink_columns")))
+    return kept.select(
+        "_config.sink_table", F.col("cols")[F.col("_config.sink_row_key")].alias("row_key"),
+        F.col("type").alias("op"), "cols", "arrival")
+
+
 def without_key(routed: DataFrame) -> DataFrame:
     """Routed rows that name no dimension row, for the quarantine."""
     return routed.where("row_key IS NULL")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coursemill import schemas
 from coursemill.functions.scalars import day_text
 from coursemill.operators import changelog
+from coursemill.operators.asof import enrich_as_of
 from coursemill.operators.enrich import enrich, enrich_chain_or_mark
 from coursemill.operators.joins import interval_join, spread_join
 from coursemill.operators.upsert import latest_per_key
@@ -30,6 +31,15 @@ def exam_paper(changes: DataFrame, test_paper: DataFrame) -> DataFrame:
         schemas.EXAM_PAPER)
 
 
+def exam_paper_as_of(changes: DataFrame, versions: DataFrame, arrival: str | Column = "arrival",
+                     **options: int) -> DataFrame:
+    """Exams with the course that their paper had when they arrived, so a replay sees what the
+    first run saw. ``versions`` has id, arrival, alive and course_id."""
+    return _declared(
+        enrich_as_of(changelog.exams(changes), versions, "paper_id", {"course_id": "course_id"},
+                     arrival, **options), schemas.EXAM_PAPER)
+
+
 def exam_paper_marked(changes: DataFrame, test_paper: DataFrame) -> DataFrame:
     """Exams of all papers; ``missing`` names the key of those whose paper is not known."""
     return enrich_chain_or_mark(
@@ -54,6 +64,14 @@ def review(changes: DataFrame, course_info: DataFrame) -> DataFrame:
         schemas.REVIEW)
 
 
+def review_as_of(changes: DataFrame, versions: DataFrame, arrival: str | Column = "arrival",
+                 **options: int) -> DataFrame:
+    """Reviews with the name that their course had when they arrived."""
+    return _declared(
+        enrich_as_of(changelog.reviews(changes), versions, "course_id",
+                     {"course_name": "course_name"}, arrival, **options), schemas.REVIEW)
+
+
 def cart_add(changes: DataFrame) -> DataFrame:
     return _declared(changelog.cart_adds(changes), schemas.CART_ADD)
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursemill.functions import scalars
-from coursemill.operators import changelog, dims, facts, logsplit, reports, state, windows
+from coursemill.operators import asof, changelog, dims, facts, logsplit, reports, state, windows
 from coursemill.operators.enrich import enrich, enrich_or_mark, without_dimension
 from coursemill.operators.joins import interval_join
 from coursemill.operators.upsert import latest_per_key
@@ -699,6 +699,95 @@ def dimension_tables_after_reset(spark, folder):
     return _two_columns(dims.apply_changes(dims.after_reset(_routed(spark, folder), resets)))
 
 
+# --- as of arrival ------------------------------------------------------------------------------
+
+_SHIFTING = f"""shifting AS (
+  SELECT CAST(o_orderkey AS BIGINT) AS at,
+         CASE WHEN o_custkey % 2 = 0 THEN 'buyer' ELSE 'user' END AS source_table,
+         CASE o_orderstatus WHEN 'P' THEN 'd' WHEN 'F' THEN 'u' ELSE 'c' END AS c_op,
+         CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'id,priority,amount,level,score'
+           WHEN '2' THEN 'id,priority,level' WHEN '3' THEN 'id,amount,score' ELSE 'id' END AS names
+  FROM orders),
+{_ROUTED},
+routed_as_of AS (
+  SELECT sink_table, row_key, op, arrival,
+         CASE WHEN contains(names, CASE sink_table WHEN 'dim_buyer' THEN 'priority' ELSE 'level' END)
+           THEN x END AS x,
+         CASE WHEN contains(names, CASE sink_table WHEN 'dim_buyer' THEN 'amount' ELSE 'score' END)
+           THEN y END AS y
+  FROM (SELECT *, CAST(arrival AS BIGINT) AS n, substr(sink_table, 5) AS source_table FROM routed) r
+  ASOF JOIN shifting s ON r.source_table = s.source_table AND r.n >= s.at
+  WHERE c_op <> 'd')"""
+
+
+def _routed_as_of(spark, folder, **options) -> DataFrame:
+    config = dims.config_changes(s.shifting_config(spark, folder))
+    return dims.route_as_of(s.dimension_changes(spark, folder), config, **options)
+
+
+@query(f"""WITH {_SHIFTING}
+SELECT sink_table, row_key, op, x, y, arrival, row_key AS id, CAST(NULL AS VARCHAR) AS note
+FROM routed_as_of""")
+def dimension_rows_as_of_config(spark, folder):
+    return _two_columns(_routed_as_of(spark, folder))
+
+
+@query(f"""WITH {_SHIFTING}
+SELECT sink_table, row_key, op, x, y, arrival, row_key AS id, CAST(NULL AS VARCHAR) AS note
+FROM routed_as_of""")
+def dimension_rows_as_of_config_in_chunks(spark, folder):
+    """The same with every source table taken as hot, cut into chunks of 512 arrivals."""
+    return _two_columns(_routed_as_of(spark, folder, span=512, hot_rows=0))
+
+
+# Both lookups see the user dimension, whose rows change and go with the events, as it was.
+_USER_VERSIONS = f"""{_ROUTED},
+lives AS (
+  SELECT row_key AS id, arrival, op = 'delete' AS gone, x, y,
+         count(*) FILTER (op = 'delete') OVER (PARTITION BY row_key ORDER BY arrival) AS life
+  FROM routed WHERE sink_table = 'dim_user'),
+versions AS (
+  SELECT id, CAST(arrival AS BIGINT) AS arrival, gone,
+         last_value(CASE WHEN NOT gone THEN x END IGNORE NULLS) OVER w AS level,
+         last_value(CASE WHEN NOT gone THEN y END IGNORE NULLS) OVER w AS score
+  FROM lives WINDOW w AS (PARTITION BY id, life ORDER BY arrival
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def _user_versions(spark, folder) -> DataFrame:
+    return asof.dimension_versions(_routed(spark, folder), "dim_user", "level", "score")
+
+
+@query(f"""WITH {_USER_VERSIONS} SELECT id, arrival, NOT gone AS alive, level, score FROM versions""")
+def dimension_versions(spark, folder):
+    return _user_versions(spark, folder)
+
+
+@query(f"""WITH {_USER_VERSIONS}, e AS (
+  {_EXAMS.format(", CAST(o_orderkey AS BIGINT) AS a", "")})
+SELECT e.id, e.paper_id, e.user_id, e.score, e.duration_sec, e.create_time, v.score AS course_id
+FROM e ASOF JOIN versions v ON v.id = e.paper_id AND e.a >= v.arrival WHERE NOT v.gone""")
+def fact_exam_paper_as_of(spark, folder):
+    papers = _user_versions(spark, folder).withColumnRenamed("score", "course_id")
+    return _fact(facts.exam_paper_as_of(
+        s.change_log(spark, folder, "test_exam"), papers, F.col("arrival.a")))
+
+
+@query(f"""WITH {_USER_VERSIONS}, r AS (
+  SELECT {o.LINE_ID} AS id, CAST(l_suppkey AS VARCHAR) AS user_id,
+         CAST(l_partkey AS VARCHAR) AS course_id, CAST(l_linenumber AS VARCHAR) AS review_stars,
+         {o.EPOCH.format('l_shipdate')} AS ts, CAST(l_orderkey AS BIGINT) AS a
+  FROM lineitem WHERE l_returnflag <> 'A')
+SELECT r.* EXCLUDE (a), v.level AS course_name
+FROM r ASOF JOIN versions v ON v.id = r.course_id AND r.a >= v.arrival WHERE NOT v.gone""")
+def fact_review_as_of(spark, folder):
+    """With every course taken as hot, its history cut into many chunks."""
+    courses = _user_versions(spark, folder).withColumnRenamed("level", "course_name")
+    return _fact(facts.review_as_of(
+        s.change_log(spark, folder, "review_info"), courses, F.col("arrival.a"),
+        span=1024, hot_rows=0))
+
+
 # --- scalar functions -------------------------------------------------------------------------
 
 @query(f"""SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, {o.SECOND}) AS second,

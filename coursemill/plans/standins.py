@@ -328,6 +328,25 @@ def config_records(spark: SparkSession, folder: str) -> DataFrame:
         F.when(op != "d", row).alias("after"), F.col("o_orderkey").alias("arrival"))
 
 
+def shifting_config(spark: SparkSession, folder: str) -> DataFrame:
+    """Configuration change records of the two dimension tables, one per order, in the order of
+    all arrivals: which columns are kept changes with the priority, and some changes are deletions."""
+    orders = table(spark, folder, "orders")
+    op = (F.when(F.col("o_orderstatus") == "P", "d").when(F.col("o_orderstatus") == "F", "u")
+          .otherwise("c"))
+    name = F.when(F.col("o_custkey") % 2 == 0, "buyer").otherwise("user")
+    number = F.substring("o_orderpriority", 1, 1)
+    row = F.struct(
+        name.alias("source_table"), F.concat(F.lit("dim_"), name).alias("sink_table"),
+        F.lit("info").alias("sink_family"),
+        F.when(number == "1", "id,priority,amount,level,score").when(number == "2", "id,priority,level")
+        .when(number == "3", "id,amount,score").otherwise("id").alias("sink_columns"),
+        F.lit("id").alias("sink_row_key"))
+    return orders.select(
+        op.alias("op"), F.when(op != "c", row).alias("before"),
+        F.when(op != "d", row).alias("after"), F.col("o_orderkey").cast("bigint").alias("arrival"))
+
+
 def dimension_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Change rows of two dimension tables and one that is no dimension.
 

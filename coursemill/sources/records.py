@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from coursemill import schemas
-from coursemill.functions.jsontext import as_array
 from coursemill.functions.scalars import millis_to_whole_second, seconds_to_time
 
 _BAD = "_bad"
@@ -31,15 +30,19 @@ def bad_records(topic: DataFrame, schema: StructType) -> DataFrame:
 
 
 def _parsed(topic: DataFrame, schema: StructType) -> DataFrame:
-    # from_json gives a row of NULLs for bad text; only the kept text tells it apart. It passes
-    # over text after the object, which the second, empty parse refuses.
-    # Exploding makes the record a column of its own, so a filter on it does not parse again.
-    kept = StructType([*schema.fields, StructField("_corrupt", StringType())])
-    parsed = topic.withColumn("r", F.explode(F.array(F.from_json(
-        "value", kept, {"columnNameOfCorruptRecord": "_corrupt"}))))
-    whole = F.coalesce(F.size(as_array(F.col("value"), "struct<_none:string>")) == 1, F.lit(False))
-    return parsed.withColumn(
-        _BAD, F.col("r").isNull() | F.col("r._corrupt").isNotNull() | ~whole)
+    # One parse says both what a record holds and whether the whole text is one: it is read as the
+    # only element of an array in an object, so text behind the record breaks the object. Text
+    # that does not parse or fit the schema shows as the kept text.
+    # Exploding makes what was parsed a column of its own, so a filter on it does not parse again.
+    kept = StructType([StructField("one", ArrayType(schema)),
+                       StructField("_corrupt", StringType())])
+    text = F.concat(F.lit('{"one":['), F.col("value"), F.lit("]}"))
+    parsed = topic.withColumn("p", F.explode(F.array(F.from_json(
+        text, kept, {"columnNameOfCorruptRecord": "_corrupt"}))))
+    good = (F.col("p._corrupt").isNull() & (F.size("p.one") == 1)
+            & F.get("p.one", F.lit(0)).isNotNull() & F.rtrim("value").endswith("}"))
+    return parsed.select(*topic.columns, F.get("p.one", F.lit(0)).alias("r"),
+                         (~F.coalesce(good, F.lit(False))).alias(_BAD))
 
 
 def change_log_records(topic: DataFrame) -> DataFrame:

@@ -87,6 +87,15 @@ def with_day(joined: DataFrame) -> DataFrame:
         schemas.ORDER_DETAIL)
 
 
+def order_parts(changes: DataFrame, page_log: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Order lines, headers (``_order_id``) and order-page views (``_sid``), as streams join them."""
+    headers = changelog.order_headers(changes).select(
+        F.col("id").alias("_order_id"), "session_id", "province_id")
+    views = changelog.order_page_sources(page_log).select(
+        F.col("sid").alias("_sid"), F.col("sc").alias("source"))
+    return changelog.order_lines(changes), headers, views
+
+
 def order_detail(changes: DataFrame, page_log: DataFrame, sessions: str = "latest") -> DataFrame:
     """Order lines with the header's session and province and the session's source.
 

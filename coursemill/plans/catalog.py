@@ -23,15 +23,17 @@ from coursemill.session import stored, use_result_conf, work_folder
 from coursemill.sources.records import change_log_records
 from coursemill.sources.tables import report_day_partition
 from coursemill.sources.topics import read_folder
+from coursemill.streaming import carried, sinks
 from coursemill.streaming import jobs as streams
-from coursemill.streaming import sinks
-from coursemill.streaming import state as keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+# Buckets of the tables that the streams of this size keep.
+BUCKETS = 8
+
 # Days of the one-day reports.
 TRAFFIC_DAY = 20240115
 TRADE_DAY = 20000404
@@ -909,15 +911,112 @@ def stream_trade_windows_in_batches(spark, folder):
 @query(f"""WITH {o.VIEWS}, {o.REPAIRED}, {o.flags('views')}
 SELECT arrival, r.mid, r.is_new, uv_ct, sv_ct, so_ct FROM repaired r JOIN flags USING (arrival)""")
 def stream_visit_flags_and_repair(spark, folder):
-    views = s.page_views(spark, folder, s.events_stream(spark, folder)).select(
+    """Four micro-batches; the memory of the row before is a kept table of last rows."""
+    views = s.page_views(spark, folder, _views_in_files(spark, folder, "flags-in-files")).select(
         "arrival", "mid", "is_new", "visit_date", "last_page_id")
-    flagged = _streamed(keyed.visit_flags(views, idle_ms=None), "stream-flags")
-    again = views.select("arrival", "mid", "is_new", "visit_date")
-    fixed = _streamed(keyed.repair_new_visitor(again), "stream-repair")
+    own = work_folder(spark, "stream-flags")
+    chunk = state.chunk_of("arrival", 1 << 10)
+    sinks.start(views, carried.visit_flags_writer(
+        f"{own}/flags", f"{own}/last", chunk=chunk, hot_rows=100, buckets=BUCKETS), f"{own}/checkpoint-1",
+        every=None).awaitTermination()
+    sinks.start(views.select("arrival", "mid", "is_new", "visit_date"), carried.repair_writer(
+        f"{own}/repaired", f"{own}/first", hot_rows=100, buckets=BUCKETS), f"{own}/checkpoint-2",
+        every=None).awaitTermination()
+    flagged, fixed = (spark.read.parquet(f"{own}/{name}") for name in ("flags", "repaired"))
     return fixed.select("arrival", "mid", "is_new").join(
         flagged.select("arrival", "uv_ct", "sv_ct", "so_ct"), "arrival")
 
 
+@query(f"""WITH {o.DETAILS}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY a DESC, b DESC, c DESC,
+                               dd DESC, e DESC, f DESC) AS rn
+  FROM details) SELECT {o.DETAIL_COLUMNS} FROM ranked WHERE rn = 1""")
+def stream_fact_order_detail_keyed(spark, folder):
+    """Four micro-batches merged by key; a read opens one folder per bucket."""
+    own = work_folder(spark, "stream-keyed")
+    details = _stored_details(spark, folder).withColumn("n", F.pmod(F.xxhash64("id", "arrival"), F.lit(
+        1 << 20)))
+    rows = s.in_files(details, "n", f"{own}/in")
+    schema = details.drop("n").schema
+    sinks.start(rows, carried.keyed_merge_writer(f"{own}/out", ["id"], schema, BUCKETS),
+                f"{own}/checkpoint", every=None).awaitTermination()
+    return _fact(carried.read_merged(spark, f"{own}/out", ["id"], schema, BUCKETS))
+
+
+@query(f"""WITH {o.DETAILS_ALL}
+SELECT {o.DETAIL_COLUMNS.replace('source', 'sc AS source')}
+FROM lines JOIN order_views ON session_id = sid""")
+def stream_order_detail_per_view(spark, folder):
+    """Three inputs whose rows wait for each other, an hour of wall clock at most."""
+    own = work_folder(spark, "stream-orders")
+    rows = s.order_facts_in_files(spark, folder, f"{own}/in")
+    names = ("line", "header", "view")
+    kinds = [rows.schema[name].dataType for name in names]
+    write = carried.order_detail_writer(
+        f"{own}/out", f"{own}/waiting",
+        lambda df: [df.where(F.col(n).isNotNull()).select(f"{n}.*") for n in names],
+        facts.with_day, kinds, ttl_ms=3_600_000, buckets=BUCKETS)
+    sinks.start(rows, write, f"{own}/checkpoint", every=None).awaitTermination()
+    return _fact(spark.read.parquet(f"{own}/out").drop(*sinks.PLACE))
+
+
+@query(_EXAMS.format(""", s_name AS name,
+       CASE WHEN s_suppkey IS NULL THEN 'parked' ELSE 'found' END AS state""",
+                     "LEFT JOIN supplier ON s_suppkey = o_custkey"))
+def stream_lookup_of_late_dimension(spark, folder):
+    """A dimension whose rows come over four batches; rows wait for theirs. None is lost."""
+    own = work_folder(spark, "stream-parked")
+    exams = _exams(spark, folder).withColumn("n", F.pmod(F.xxhash64("id"), F.lit(1 << 20)))
+    rows = s.in_files(exams, "n", f"{own}/in").drop("n")
+    dim = stored(_suppliers(spark, folder), "suppliers")
+    write = carried.parked_lookup_writer(
+        f"{own}/out", f"{own}/parked", f"{own}/late",
+        lambda batch: dim.where(F.pmod(F.xxhash64("id"), F.lit(4)) <= batch), "paper_id",
+        {"name": "name"}, wait_ms=3_600_000, buckets=BUCKETS)
+    sinks.start(rows, write, f"{own}/checkpoint", every=None).awaitTermination()
+    found = spark.read.parquet(f"{own}/out").drop(*sinks.PLACE).withColumn("state", F.lit("found"))
+    kept = carried.parked(spark, f"{own}/parked", exams.drop("n").schema, "paper_id", BUCKETS)
+    late = spark.read.schema(exams.drop("n").schema).parquet(f"{own}/late").drop(*sinks.PLACE)
+    return (found.unionByName(kept.withColumn("state", F.lit("parked")), allowMissingColumns=True)
+            .unionByName(late.withColumn("state", F.lit("set aside")), allowMissingColumns=True))
+
+
+@query(f"""WITH {_SHIFTING}
+SELECT sink_table, row_key, op, x, y, arrival, row_key AS id, CAST(NULL AS VARCHAR) AS note
+FROM routed_as_of""")
+def stream_dimension_rows_as_of_config(spark, folder):
+    """Changes and configuration as two streams, cut into files of their own. Routing goes by
+    arrival when the logs are read, so it does not matter which input was ahead."""
+    own = work_folder(spark, "stream-routed")
+    changes = s.dimension_changes(spark, folder)
+    config = dims.config_changes(s.shifting_config(spark, folder))
+    for name, rows, cuts in (("changes", changes, 4), ("config", config, 3)):
+        stream = s.in_files(rows, "arrival", f"{own}/{name}-in", cuts)
+        sinks.start(stream, sinks.keyed_writer(f"{own}/{name}"), f"{own}/checkpoint-{name}",
+                    every=None).awaitTermination()
+    return _two_columns(sinks.read_routed(spark, f"{own}/changes", f"{own}/config"))
+
+
+@query(f"WITH {_ROUTED}, {_APPLIED.format('WHERE sink_table = $$dim_user$$ OR arrival > 100')}"
+       .replace("$$", "'"))
+def stream_dimension_tables_after_reset(spark, folder):
+    """The dimension log over four batches, with a snapshot between them that holds rows from
+    before the reset."""
+    own = work_folder(spark, "stream-dimensions")
+    config = stored(s.dimension_config(spark), "config")
+    log, snapshots = f"{own}/log", f"{own}/snapshots"
+    route = sinks.dimension_writer(log, lambda: dims.current_config(config))
+
+    def write(df, batch_id, run=""):
+        route(df, batch_id, run)
+        if batch_id == 1:
+            sinks.compact_dimensions(spark, log, snapshots)
+
+    stream = s.in_files(s.dimension_changes(spark, folder), "arrival", f"{own}/in")
+    sinks.start(stream, write, f"{own}/checkpoint", every=None).awaitTermination()
+    return _two_columns(sinks.read_dimensions(spark, log, dims.resets(config), snapshots))
+
+
 @query(_purchases_with_views_sql("1 DAY", "1 HOUR"))
 def stream_interval_join(spark, folder):
     events = s.events_stream(spark, folder).select(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coursemill.functions.scalars import second_text
+from coursemill.operators.facts import order_parts
 from coursemill.operators.state import chunk_of
 from coursemill.sources.topics import read_folder
 
@@ -75,16 +76,25 @@ def events_stream(spark: SparkSession, folder: str) -> DataFrame:
     return read_folder(spark, folder, schema, pathGlobFilter="events.parquet")
 
 
+# Rows of a file of a stand-in stream, about, at most.
+FILE_ROWS = 5_000_000
+
+
 def in_files(df: DataFrame, by: str, path: str, files: int = 4) -> DataFrame:
-    """The rows as a stream that reads one file per micro-batch, the files in the order ``by``."""
+    """The rows as a stream of ``files`` micro-batches, in the order ``by``.
+
+    A share of many rows is several files, which one micro-batch reads together; all shares have
+    as many files, so the limit of files per trigger keeps them apart.
+    """
     shares = [k / files for k in range(1, files)]
     cuts = df.approxQuantile(by, shares, 0.001) if shares else []
     bounds = [None, *sorted(set(cuts)), None]
+    each = max(1, -(-df.count() // (FILE_ROWS * files)))
     for low, high in zip(bounds, bounds[1:]):
         part = df if low is None else df.where(F.col(by) > low)
         part = part if high is None else part.where(F.col(by) <= high)
-        part.coalesce(1).write.mode("append").parquet(path)
-    return read_folder(df.sparkSession, path, df.schema, files_per_trigger=1)
+        part.repartition(each).write.mode("append").parquet(path)
+    return read_folder(df.sparkSession, path, df.schema, files_per_trigger=each)
 
 
 def _with_k(events: DataFrame) -> DataFrame:
@@ -129,6 +139,22 @@ def page_log(spark: SparkSession, folder: str, events: DataFrame | None = None)
         "ts", "row_time", "arrival")
 
 
+def order_facts_in_files(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """Order lines, headers and order-page views as one stream of four micro-batches. What belongs
+    together is dealt to them by hashes of its own ids, so it comes in any order."""
+    changes = change_log(spark, folder, "order_detail", "order_info")
+    lines, headers, views = order_parts(changes, order_views(spark, folder))
+
+    def tagged(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.pmod(F.xxhash64(*df.columns), F.lit(4)).cast("int").alias("share"),
+                         F.struct("*").alias(name))
+
+    rows = tagged(lines, "line").unionByName(
+        tagged(headers, "header"), allowMissingColumns=True).unionByName(
+        tagged(views, "view"), allowMissingColumns=True)
+    return in_files(rows, "share", path)
+
+
 def behaviour_log(spark: SparkSession, folder: str) -> DataFrame:
     """Raw log text from ``events``, and the texts of ``documents`` as what is no record.
 

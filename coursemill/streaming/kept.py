@@ -47,7 +47,8 @@ class KeptTable:
             lists = lists.where(F.col("of_batch") < before)
         last = lists.agg(F.max("of_batch")).first()[0]
         return {} if last is None else {
-            r.bucket: r.batch for r in lists.where(F.col("of_batch") == last).collect()}
+            r.bucket: r.batch for r in lists.where(
+                (F.col("of_batch") == last) & (F.col("bucket") >= 0)).collect()}
 
     def touched(self, *keyed: DataFrame) -> list[int]:
         """Buckets that rows with the key's columns fall into: at most as many as there are."""
@@ -74,7 +75,8 @@ class KeptTable:
         folder = f"{self.path}/rows/batch={batch_id}"
         placed = rows.select(*self.schema.names).withColumn(
             "bucket", bucket_of(self.key, self.buckets))
-        placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        # A small bucket becomes one file, a large one is split.
+        placed.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             "bucket").parquet(folder)
         newest = self._newest(batch_id)
         for bucket in touched:
@@ -86,8 +88,9 @@ class KeptTable:
                 raise
             written = []
         newest |= {r.bucket: batch_id for r in written}
+        # The row without a bucket is there when no bucket has rows.
         self.spark.createDataFrame(
-            list(newest.items()), "bucket int, batch long").coalesce(1).write.mode(
+            [(-1, batch_id), *newest.items()], "bucket int, batch long").coalesce(1).write.mode(
             "overwrite").parquet(f"{self.path}/lists/of_batch={batch_id}")
 
     def folders(self) -> int:

@@ -144,6 +144,16 @@ def dimension_writer(path: str, config: Callable[[], DataFrame], quarantine: str
     return write
 
 
+def read_routed(spark: SparkSession, changes: str, config: str, **options: int) -> DataFrame:
+    """Change rows of one log, routed by the configuration of another as of their arrival.
+
+    Both logs are what :func:`keyed_writer` appends. However their inputs were cut into batches, and
+    whichever was ahead, the result is that of all rows in order of arrival.
+    """
+    return dims.route_as_of(spark.read.parquet(changes).drop(*PLACE),
+                            spark.read.parquet(config).drop(*PLACE), **options)
+
+
 def _snapshot(spark: SparkSession, snapshots: str) -> tuple[int, dict[str, int]]:
     """Number of the newest snapshot, 0 for none, and the last batch of each run within it."""
     try:

@@ -43,6 +43,11 @@ def text_to_millis(text: Column, with_time: bool = False) -> Column:
     return F.unix_millis(F.try_to_timestamp(text, F.lit(SECOND if with_time else DAY)))
 
 
+def processing_time() -> Column:
+    """When a row is handled: the start of its query, or of its micro-batch on a stream."""
+    return F.current_timestamp()
+
+
 def is_blank(text: Column) -> Column:
     return F.coalesce(text, F.lit("")) == ""
 

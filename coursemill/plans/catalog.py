@@ -20,9 +20,14 @@ from coursemill.plans import jobs
 from coursemill.plans import oracle as o
 from coursemill.plans import standins as s
 from coursemill.session import stored, use_result_conf, work_folder
-from coursemill.sources.records import change_log_records
+from coursemill.sources.records import (
+    change_log_records,
+    config_records,
+    order_detail_records,
+    page_log_records,
+)
 from coursemill.sources.tables import report_day_partition
-from coursemill.sources.topics import read_folder
+from coursemill.sources.topics import read_folder, to_messages
 from coursemill.streaming import carried, sinks
 from coursemill.streaming import jobs as streams
 
@@ -101,6 +106,59 @@ def change_log_without_load_markers(spark, folder):
     return _change_counts(changelog.without_load_markers(s.change_log(spark, folder)))
 
 
+# --- other topics, from their JSON text -------------------------------------------------------
+
+_ROW_TIME = f"strftime(date_trunc('second', ts), {o.SECOND}) AS row_time"
+
+
+@query(f"""WITH {o.VIEWS}
+SELECT arrival, mid, sc, is_new, page_id, last_page_id, item,
+       CAST(during_time AS VARCHAR) AS during_time,
+       CAST(floor(epoch_us(ts) / 1000) AS BIGINT) AS ts, {_ROW_TIME}
+FROM views""")
+def page_log_from_json(spark, folder):
+    """The page log as maps, with event time cut to the second."""
+    topic = s.page_log(spark, folder).select(
+        F.to_json(F.struct("common", "page", "ts")).alias("value"), "arrival")
+    common, page = F.col("common"), F.col("page")
+    return page_log_records(topic).select(
+        "arrival", *[common[n].alias(n) for n in ("mid", "sc", "is_new")],
+        *[page[n].alias(n) for n in ("page_id", "last_page_id", "item", "during_time")], "ts",
+        scalars.second_text(F.col("row_time")).alias("row_time"))
+
+
+@query(f"""WITH {o.VIEWS} SELECT item AS keyword, count(*) AS keyword_count,
+         {o.stamps("date_trunc('second', ts)", '%Y%m%d')}
+FROM views WHERE event_type = 'click' GROUP BY ALL""")
+def keyword_windows_from_json(spark, folder):
+    """From page log text to the keyword windows."""
+    topic = s.page_log(spark, folder).select(
+        F.to_json(F.struct("common", "page", "ts")).alias("value"), "arrival")
+    return windows.keyword_counts(windows.searches(page_log_records(topic)))
+
+
+@query(f"""WITH {o.DETAILS} SELECT {o.DETAIL_COLUMNS},
+       strftime(t, {o.SECOND}) AS row_time FROM details""")
+def order_detail_from_json(spark, folder):
+    """Order rows sent as JSON messages and read back, with their event time."""
+    rows = _details(spark, folder)
+    back = order_detail_records(to_messages(rows, "dwd_trade_order_detail", "arrival"))
+    return back.withColumn("row_time", scalars.second_text(F.col("row_time")))
+
+
+@query(f"""WITH {o.TRADE}
+SELECT 'dws_trade_source_province_window' AS topic, stt, edt, cur_date, sc, province_id,
+       source_name, province_name, order_ct, order_user_ct, order_amount, true AS without_ts
+FROM trade""")
+def trade_windows_as_messages(spark, folder):
+    """Report rows as JSON lines, the time they were made from left out, parsed again."""
+    rows = _trade(spark, folder).withColumn("ts", F.lit(1).cast("bigint"))
+    lines = to_messages(rows, "dws_trade_source_province_window", "ts")
+    parsed = lines.select("topic", F.from_json("value", rows.schema).alias("r"))
+    back = parsed.select("topic", "r.*").withColumn("without_ts", F.col("ts").isNull()).drop("ts")
+    return _amounts_as_double(back, "order_amount")
+
+
 # --- facts ------------------------------------------------------------------------------------
 
 def _fact(df: DataFrame) -> DataFrame:
@@ -635,6 +693,36 @@ def dimension_config_now(spark, folder):
     return dims.current_config(dims.config_changes(s.config_records(spark, folder)))
 
 
+@query(f"""WITH {_CONFIG} SELECT op, 'src_' || o_custkey AS source_table,
+       'dim_' || o_custkey AS sink_table, 'info' AS sink_family,
+       'id,' || o_orderpriority AS sink_columns, 'id' AS sink_row_key, o_orderkey AS arrival
+FROM config""")
+def dimension_config_from_json(spark, folder):
+    """Captured changes of the configuration table, as their JSON text."""
+    topic = s.config_records(spark, folder).select(
+        F.to_json(F.struct("op", "before", "after")).alias("value"), "arrival")
+    return dims.config_changes(config_records(topic))
+
+
+@query(f"""WITH {_CONFIG}, last AS (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM config)
+SELECT 'src_' || c_custkey AS source_table, 'dim_' || c_custkey AS sink_table,
+       'info' AS sink_family, coalesce('id,' || o_orderpriority, 'id,first') AS sink_columns,
+       'id' AS sink_row_key
+FROM customer LEFT JOIN last ON o_custkey = c_custkey AND rn = 1
+WHERE op IS DISTINCT FROM 'd'""")
+def dimension_config_preloaded(spark, folder):
+    """A configuration read whole at start, a row per customer, and its changes since."""
+    whole = s.table(spark, folder, "customer").select(
+        F.concat(F.lit("src_"), F.col("c_custkey")).alias("source_table"),
+        F.concat(F.lit("dim_"), F.col("c_custkey")).alias("sink_table"),
+        F.lit("info").alias("sink_family"), F.lit("id,first").alias("sink_columns"),
+        F.lit("id").alias("sink_row_key"))
+    changes = dims.config_changes(s.config_records(spark, folder))
+    start = dims.preloaded(whole, F.lit(-1).cast(changes.schema["arrival"].dataType))
+    return dims.current_config(start.unionByName(changes))
+
+
 @query(f"""WITH {_CONFIG} SELECT 'dim_' || o_custkey AS sink_table, max(o_orderkey) AS reset_at
 FROM config WHERE op IN ('u', 'd') GROUP BY 1""")
 def dimension_resets(spark, folder):

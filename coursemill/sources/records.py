@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from coursemill import schemas
-from coursemill.functions.scalars import millis_to_whole_second, seconds_to_time
+from coursemill.functions.scalars import (
+    millis_to_whole_second,
+    processing_time,
+    seconds_to_time,
+)
 
 _BAD = "_bad"
 
@@ -45,10 +49,11 @@ def _parsed(topic: DataFrame, schema: StructType) -> DataFrame:
                          (~F.coalesce(good, F.lit(False))).alias(_BAD))
 
 
-def change_log_records(topic: DataFrame) -> DataFrame:
-    """Change log with event time."""
+def change_log_records(topic: DataFrame, with_proc_time: bool = False) -> DataFrame:
+    """Change log with event time, and with ``proc_time``, when it is handled, if asked for."""
     rows = records(topic, schemas.CHANGE_LOG)
-    return rows.withColumn("row_time", seconds_to_time(F.col("ts")))
+    rows = rows.withColumn("row_time", seconds_to_time(F.col("ts")))
+    return rows.withColumn("proc_time", processing_time()) if with_proc_time else rows
 
 
 def page_log_records(topic: DataFrame) -> DataFrame:

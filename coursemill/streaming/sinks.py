@@ -48,6 +48,15 @@ def start(stream: DataFrame, write: WriteBatch, checkpoint: str, every: str | No
     return writer.trigger(**trigger).start()
 
 
+def start_print(stream: DataFrame, checkpoint: str, every: str | None = EVERY, rows: int = 20
+                ) -> StreamingQuery:
+    """Show the first rows of each micro-batch on the console, for a look at a running job."""
+    writer = stream.writeStream.format("console").option("numRows", rows).option(
+        "truncate", False).option("checkpointLocation", checkpoint)
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.trigger(**trigger).start()
+
+
 def start_kafka(messages: DataFrame, servers: str, checkpoint: str, every: str = EVERY
                 ) -> StreamingQuery:
     """Send (topic, value) rows; each goes to the topic it names."""

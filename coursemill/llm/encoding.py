@@ -7,7 +7,6 @@ call (`tests/llm/test_encoding.py`).
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +21,8 @@ WORDS_A_CALL = 128  # words that are encoded as one text
 CHUNK_CHARS = 4_000_000  # characters that are encoded together
 
 # Pieces that fall into words and marks, which no vocabulary entry joins.
-_PARTS = re.compile(r"( ?[^\W_]+)([.,]?)(?:(\n)([^\W_]+)([.,]?))?")
+_PARTS = (r"^(?P<word> ?[\pL\pN]+)(?P<mark>[.,]?)"
+          r"(?:(?P<line>\n)(?P<after>[\pL\pN]+)(?P<last>[.,]?))?$")
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
@@ -33,12 +33,12 @@ class Encoder:
     With ``plain``, the strings of special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, plain: bool = False):
+    def __init__(self, path: str, plain: bool = False, kept: int = KEPT_PIECES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain
-        self.runs = cutting.Kept(self._look_up, KEPT_PIECES)  # ids of each piece
+        self.runs = cutting.Kept(self._look_up, kept)  # ids of each piece
         # Vocabularies mark the last token of a word, or the first one after a space.
         size = self.tokenizer.get_vocab_size()
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
@@ -74,44 +74,58 @@ class Encoder:
         return found
 
     def _look_up(self, new: list[str]) -> list[bytes]:
-        """Ids of pieces, by way of the words that they are made of."""
-        peek, parts, made = self.runs.peek, [], {}
-        words = dict.fromkeys([piece for piece in new if piece.isalpha()])
-        others = {}
-        for piece in new:
-            if piece in words:
-                continue
-            cut = _PARTS.fullmatch(piece)
-            if cut:
-                word, mark, line, after, last = cut.groups("")
-                cut = [word, *[" " + x for x in (mark, line, after, last) if x]]
-            else:
-                cut = [piece]
-            parts.append((piece, cut))
-            for word in cut:
-                if word not in words and word not in others and word not in made:
-                    ids = peek(word)
-                    if ids is not None:
-                        made[word] = ids
-                    else:
-                        (words if word.isalpha() else others)[word] = None
-        encoded = self._encoded(list(words), list(others))
-        made.update(encoded)
-        for piece, cut in parts:
-            if len(cut) > 1:
-                made[piece] = b"".join([made[word] for word in cut])
-        self.runs.once.update(encoded)
-        return [made[piece] for piece in new]
+        """Ids of pieces."""
+        alpha = list(map(str.isalpha, new))
+        found = self._encoded([word for word, is_word in zip(new, alpha, strict=True) if is_word],
+                              [word for word, is_word in zip(new, alpha, strict=True) if not is_word])
+        return list(map(found.__getitem__, new))
 
     def ids(self, texts: pa.Array, end: int | None = None) -> cutting.Ragged:
         """Ids of each text, and ``end`` after them if it is given."""
-        words, of, bounds = cutting.cut(texts)
-        runs = self.runs(words)
+        words, of, bounds = cutting.cut(texts, as_list=False)
+        parts, part_of, part_bounds = _parts(words)
+        pieces = cutting.spread(cutting.ragged(self.runs(parts), "<u4"), part_of, part_bounds)
         if end is not None:  # one more piece at the end of each text
-            runs.append(np.array([end], "<u4").tobytes())
+            pieces = cutting.Ragged(np.append(pieces.values, np.array([end], "<u4")),
+                                    np.append(pieces.bounds, len(pieces.values) + 1))
             of = np.insert(of, bounds[1:], len(words))
             bounds = bounds + np.arange(len(bounds))
-        return cutting.spread(cutting.ragged(runs, "<u4"), of, bounds)
+        return cutting.spread(pieces, of, bounds)
+
+
+def _parts(words: pa.Array) -> cutting.Pieces:
+    """Pieces as the words and marks that they are made of, where no vocabulary entry joins them."""
+    rows = np.flatnonzero(~np.asarray(pc.utf8_is_alnum(words)))
+    some = words.take(pa.array(rows))
+    # Most others are a word and one mark; patterns are slow, and left to the rest.
+    ahead = pc.binary_slice(some.cast(pa.binary()), 0, -1)
+    marked = np.asarray(pc.or_(pc.ends_with(some, "."), pc.ends_with(some, ",")))
+    marked &= np.asarray(pc.utf8_is_alnum(pc.if_else(pa.array(marked), ahead, b"").cast(pa.string())))
+    marks = pc.binary_slice(some.cast(pa.binary()), -1)
+    found = pc.extract_regex(some.filter(pa.array(~marked)), _PARTS)
+    left, whole = rows[~marked], np.asarray(pc.is_null(found))
+    plain = np.ones(len(words), bool)
+    plain[rows[marked]] = plain[left[~whole]] = False
+
+    def part(rows, number, strings):
+        """Parts of pieces; but for the first, they have no space ahead."""
+        own = np.asarray(pc.greater(pc.binary_length(strings), 0))
+        if number:
+            strings = pc.binary_join_element_wise(" ", strings, "")
+        return rows[own] * 5 + number, strings.filter(pa.array(own))
+
+    cut = pa.array(~whole)
+    parts = [part(np.flatnonzero(plain), 0, words.filter(pa.array(plain))),
+             part(rows[marked], 0, ahead.filter(pa.array(marked)).cast(pa.string())),
+             part(rows[marked], 1, marks.filter(pa.array(marked)).cast(pa.string())),
+             *[part(left[~whole], k, pc.struct_field(found, name).filter(cut))
+               for k, name in enumerate(("word", "mark", "line", "after", "last"))]]
+    place = np.concatenate([p for p, _ in parts])
+    order = np.argsort(place, kind="stable")
+    coded = pa.concat_arrays([strings for _, strings in parts]).dictionary_encode()
+    bounds = np.searchsorted(place[order] // 5, np.arange(len(words) + 1))
+    return cutting.Pieces(cutting.listed(coded.dictionary),
+                          coded.indices.to_numpy().astype(np.int64)[order], bounds)
 
 
 def encoder(path: str, plain: bool = False) -> Encoder:

@@ -29,7 +29,7 @@ _ODD = f" {_WHITE}|{_WHITE} | $"
 
 
 class Pieces(NamedTuple):
-    words: list[str]  # distinct pieces
+    words: list[str] | pa.Array  # distinct pieces
     of: np.ndarray  # the piece at each place
     bounds: np.ndarray  # the places at which texts begin, and the end
 
@@ -99,8 +99,9 @@ def raw(piece: str) -> str:
     return piece[1:] if piece.startswith(" ") else " " + piece
 
 
-def cut(texts: pa.Array) -> Pieces:
-    """Pieces of an array of strings; a null text is empty."""
+def cut(texts: pa.Array, as_list: bool = True) -> Pieces:
+    """Pieces of an array of strings; a null text is empty. The distinct ones are a list, or an
+    array."""
     texts = pc.fill_null(texts.cast(pa.string()), "")
     odd = np.asarray(pc.match_substring_regex(texts, _ODD).to_pandas(), dtype=bool)
     # An odd text is cut by itself; its place in the array is held by an empty text.
@@ -110,7 +111,7 @@ def cut(texts: pa.Array) -> Pieces:
     starts = starts - starts[0]
     first = pc.binary_join_element_wise("", flat.take(pa.array(starts[:-1])), " ")
     coded = pa.concat_arrays([flat, first]).dictionary_encode()
-    words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    words = listed(coded.dictionary) if as_list or odd.any() else coded.dictionary
     of = coded.indices.to_numpy().astype(np.int64)
     count = len(flat)
     of[starts[:-1]] = of[count:]
@@ -129,9 +130,14 @@ def cut(texts: pa.Array) -> Pieces:
             sizes[row] = len(part)
         of = np.concatenate([*out, of[starts[last]:]])
         starts = np.concatenate([[0], np.cumsum(sizes)])
+        words = words if as_list else pa.array(words, pa.string())
     return Pieces(words, of, starts.astype(np.int64))
 
 
+def listed(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
 def ragged(runs: list[bytes], kind: str) -> Ragged:
     """Runs of numbers, given as bytes, as one array."""
     width = np.dtype(kind).itemsize

@@ -26,8 +26,8 @@ from coursemill.llm import encoding
 from coursemill.llm import pieces as cutting
 from coursemill.llm.columns import table
 
-KEPT = 300_000  # pieces of either sort, and matches, that a worker keeps
-BATCH = 40_000  # matches that are encoded together
+KEPT = 150_000  # pieces of either sort, and matches, that a worker keeps
+BATCH = 12_000  # matches that are encoded together
 LONG = 250  # bytes of a match that is encoded by itself
 NEVER = 1 << 40
 

@@ -80,7 +80,7 @@ class Aligner:
     def __init__(self, byte_path: str, piece_path: str):
         import sentencepiece
 
-        self.one = encoding.encoder(byte_path, plain=True)
+        self.one = encoding.Encoder(byte_path, plain=True, kept=KEPT // 2)
         self.two = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         tokenizer = self.one.tokenizer
         self.one_bytes = [_bytes_of_level(tokenizer.id_to_token(k) or "") or b""

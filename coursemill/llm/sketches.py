@@ -7,6 +7,7 @@ both could have kept. The sketch of two texts together is the union of theirs.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -19,8 +20,11 @@ from pyspark.sql import functions as F
 from coursemill.llm.columns import table
 
 SHINGLE = 5
-FRACTION = 8  # one hash in so many is kept
-RANGES_A_PARTITION = 4
+# Three hashes in four are kept: fewer leave too little of short texts (see the README). They are
+# of 32 bits, so the share of all that two texts of n shingles have in common by chance is n / 2**32.
+FRACTION = 0.75
+RANGE_BYTES = 32 << 20  # text of a range of ids, about
+RANGES_A_PARTITION = 4  # at least
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -31,33 +35,33 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def sketch(text: str, shingle: int = SHINGLE, fraction: int = FRACTION) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles that are below the fraction.
+def sketch(text: str, shingle: int = SHINGLE, fraction: float = FRACTION) -> np.ndarray:
+    """Sorted distinct 32-bit hashes of a text's word shingles that are below the fraction.
 
-    A text of fewer words has one shingle, a text without words an empty sketch. If no hash is
-    below the fraction the least one is kept, so that no text with words has an empty sketch.
+    A text of fewer words has one shingle, a text without words none. The rule is the same for
+    every text, so a text's sketch may be empty, and that of two texts together is the union.
     """
     import xxhash
 
     words = text.encode("utf-8", "surrogatepass").split()
     if not words:
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint32)
     of = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
     width, count = min(shingle, len(of)), max(1, len(of) - shingle + 1)
     hashes = np.full(count, len(of) if width < shingle else shingle, np.uint64)
     for k in range(width):
         hashes = _mixed(hashes * _STEP + of[k:k + count])
-    kept = hashes[hashes < np.uint64((1 << 64) // fraction)]
-    return np.unique(kept) if len(kept) else hashes.min(keepdims=True)
+    hashes = (hashes >> np.uint64(32)).astype(np.uint32)
+    return np.unique(hashes[hashes < int(fraction * (1 << 32))])
 
 
 def as_text(hashes: np.ndarray) -> str:
-    """16 hexadecimal digits for each hash, in ascending order."""
-    return hashes.astype(">u8").tobytes().hex()
+    """The hashes in ascending order, four bytes each, as Base64 text."""
+    return base64.b64encode(hashes.astype(">u4").tobytes()).decode()
 
 
 def from_text(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(bytes.fromhex(fingerprint), ">u8").astype(np.uint64)
+    return np.frombuffer(base64.b64decode(fingerprint), ">u4").astype(np.uint32)
 
 
 def merged(one: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -77,42 +81,57 @@ def likeness(one: np.ndarray, other: np.ndarray) -> tuple[float, float]:
 
 
 def _in_ranges(docs: DataFrame) -> DataFrame:
-    """(place, ahead, doc_id, text): documents in ranges of ids, each with the one after it.
+    """(place, ahead, doc_id, tie, text): documents in ranges of ids, each with the one after it.
 
-    Ranges go by descending id, rows without an id last. ``ahead`` marks the rows a range shows
-    of the next one, which for the last range is the first. What goes through the driver is a
-    few ids per partition.
+    Ranges go by descending id, and have about RANGE_BYTES of text however many there are; rows
+    without an id come last, in ranges of their texts' hashes. ``ahead`` marks the rows a range
+    shows of the next one, which for the last range is the first. What goes through the driver
+    is two numbers per range.
     """
     spark = docs.sparkSession
-    ids = docs.select("doc_id")
-    ranges = RANGES_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = docs.select("doc_id", "tie")
+    sizes = docs.agg(F.sum(F.octet_length("text")).alias("all"),
+                     F.sum(F.when(F.col("doc_id").isNull(), F.octet_length("text"))).alias("none")
+                     ).first()
+    ranges = max(RANGES_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions")),
+                 -(-(sizes["all"] or 0) // RANGE_BYTES))
+    without = 1 + (sizes["none"] or 0) // RANGE_BYTES  # ranges of rows without an id
     bounds = ids.agg(F.percentile_approx(
         "doc_id", [k / ranges for k in range(1, ranges)], 10 * ranges)).first()[0] or []
     bounds = sorted(set(bounds))
 
+    def places(of, ties):
+        # The hash of a text, from the least to the greatest, falls into ranges of equal width.
+        return [-1 - ((tie + (1 << 63)) * without >> 64) if i is None else bisect_right(bounds, i)
+                for i, tie in zip(of, ties, strict=True)]
+
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            places = [-1 if i is None else bisect_right(bounds, i)
-                      for i in batch.column(0).to_pylist()]
+            found = places(batch.column(0).to_pylist(), batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(places, pa.int64()), batch.column(0)], names=["place", "doc_id"])
+                [pa.array(found, pa.int64()), *batch.columns], names=["place", "doc_id", "tie"])
 
-    firsts = (ids.mapInArrow(place, "place long, doc_id long").groupBy("place")
-              .agg(F.max("doc_id").alias("first")).orderBy("place").collect())
-    before = {row.first: firsts[(k + 1) % len(firsts)].place for k, row in enumerate(firsts)}
+    # The first row of a range has the greatest id, or without ids the least hash.
+    firsts = (ids.mapInArrow(place, "place long, doc_id long, tie long").groupBy("place")
+              .agg(F.max("doc_id").alias("first"), F.min("tie").alias("least"))
+              .orderBy(F.desc("place")).collect())
+    key = lambda row: (row.first, None if row.place >= 0 else row.least)
+    before = {key(row): firsts[k - 1].place for k, row in enumerate(firsts)}
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of = batch.column(0).to_pylist()
-            own = [-1 if i is None else bisect_right(bounds, i) for i in of]
-            shown = [k for k, i in enumerate(of) if i in before]
+            of, ties = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            own = places(of, ties)
+            keys = [(i, tie if i is None else None) for i, tie in zip(of, ties, strict=True)]
+            shown = [k for k, row in enumerate(keys) if row in before]
             rows = batch.take(pa.array([*range(len(of)), *shown], pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([*own, *[before[of[k]] for k in shown]], pa.int64()),
+                [pa.array([*own, *[before[keys[k]] for k in shown]], pa.int64()),
                  pa.array([0] * len(of) + [1] * len(shown), pa.int32()), *rows.columns],
-                names=["place", "ahead", "doc_id", "text"])
+                names=["place", "ahead", "doc_id", "tie", "text"])
 
-    return docs.mapInArrow(spread, "place long, ahead int, doc_id long, text string")
+    rows = docs.mapInArrow(spread, "place long, ahead int, doc_id long, tie long, text string")
+    return rows.repartition(int(ranges), "place")
 
 
 LAYOUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
@@ -121,7 +140,7 @@ LAYOUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 
 
 def compare_with_edited(docs: DataFrame, shingle: int = SHINGLE,
-                        fraction: int = FRACTION) -> DataFrame:
+                        fraction: float = FRACTION) -> DataFrame:
     """Fingerprints of every text and of an edited one, whose last third is the next text's start.
 
     The last floor(n_chars / 3) code points are replaced by the first as many, or all, of the
@@ -131,14 +150,16 @@ def compare_with_edited(docs: DataFrame, shingle: int = SHINGLE,
     single row is its own next one. Other columns are left out; an empty table gives no rows.
     """
     rows = _in_ranges(docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("tie"),
+        F.coalesce("text", F.lit("")).alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting = None
         for batch in batches:
             out = []
             for place, ahead, doc, text in zip(
-                    *[batch.column(k).to_pylist() for k in range(4)], strict=True):
+                    *[batch.column(k).to_pylist() for k in (0, 1, 2, 4)], strict=True):
                 if ahead and (waiting is None or waiting[0] != place):
                     continue  # a second row shown of the next range
                 new = sketch(text, shingle, fraction)
@@ -160,10 +181,8 @@ def compare_with_edited(docs: DataFrame, shingle: int = SHINGLE,
                     strict=True)],
                 names=[part.split()[0] for part in LAYOUT.split(", ")])
 
-    return (rows.repartition("place")
-            .withColumn("tie", F.xxhash64("text"))
-            .sortWithinPartitions("place", "ahead", F.desc_nulls_last("doc_id"), "tie")
-            .drop("tie").mapInArrow(run, LAYOUT))
+    return (rows.sortWithinPartitions("place", "ahead", F.desc_nulls_last("doc_id"), "tie")
+            .mapInArrow(run, LAYOUT))
 
 
 def query(spark, folder):

@@ -75,8 +75,9 @@ def test_stages_match_brute_force(spark, folder):
             assert rows.columns == docs.columns
         if name == "toxicity":
             known = [i for i in labels if zlib.crc32(str(i).encode()) % 5]
-            model = toxicity.fit([before[i].text for i in sorted(known) if labels[i]],
-                                 [before[i].text for i in sorted(known) if not labels[i]])
+            model = toxicity.fit(toxicity.Texts(
+                [before[i].text for i in sorted(known) if labels[i]],
+                [before[i].text for i in sorted(known) if not labels[i]]))
             values = model.probability(toxicity.text_scores(
                 [r.text for r in before.values()], model.weights()))
             kept = {i: r for (i, r), p in zip(before.items(), values, strict=True) if p < 0.5}

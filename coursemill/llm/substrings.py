@@ -13,7 +13,9 @@ windows have equal anchors, and an anchor is named with its context, several wor
 3. A word is removed if a window over it also starts in a document of a smaller id.
 
 Whole copies are settled ahead, by the name of the whole sequence. Each task first combines what
-it has of a name, so that a passage of all documents costs a row per task, not per document.
+it has of a name: one row of a passage stays open and meets those of other tasks, the others
+are settled and dealt out by their document. So a passage of all documents brings a row per task,
+not per document, to one place.
 """
 
 from __future__ import annotations
@@ -24,11 +26,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from coursemill import session
 from coursemill.llm.columns import table
+from coursemill.operators.joins import spread_join
 
 WINDOW = 13
 ROUNDS = 2
@@ -348,7 +351,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     known = names.where("doc_id IS NOT NULL AND n_words > 0")
     firsts = known.groupBy("name").agg(F.min("doc_id").alias("first"))
     # Ids that are nothing but copies of documents of smaller ids.
-    copies = session.stored(known.join(firsts, "name").groupBy(
+    copies = session.stored(spread_join(known, firsts, "name", spread_by="doc_id").groupBy(
         F.col("doc_id").alias("copy_id")).agg(
         F.min(F.col("doc_id") != F.col("first")).alias("copy")).where("copy"), "copies")
     # All that is joined to texts is joined by id, and outer, so that texts are dealt out once.
@@ -356,13 +359,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
     anchors = (
         texts.where("copy IS NULL").select("doc_id", "text")
         .mapInArrow(_anchor_rows(window, rounds), "name long, doc long, state byte")
-        .repartition("name").sortWithinPartitions("name")
+        .repartition(_dealt("name")).sortWithinPartitions("name")
         .mapInArrow(_shared, "doc long, key long"))
     windows = (
         texts.join(_lists(anchors, "names"), F.col("doc_id") == F.col("names_of"), "left")
         .select("doc_id", "text", "names", "copy")  # the columns that the last step reads
         .mapInArrow(_window_rows(window, rounds), "one long, two long, doc long, state byte")
-        .repartition("one").sortWithinPartitions("one", "two", "state", "doc")
+        .repartition(_dealt("one")).sortWithinPartitions("one", "two", "state", "doc")
         .mapInArrow(_repeated, "doc long, key long"))
     return (
         texts.join(_lists(windows, "keys"), F.col("doc_id") == F.col("keys_of"), "left")
@@ -371,6 +374,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS)
         .mapInArrow(_cleaned(window), LAYOUT))
 
 
+def _dealt(name: str) -> Column:
+    """Rows of a name meet in one task, but for the settled ones, which need nothing from others."""
+    return F.when(F.col("state") == _SETTLED, F.xxhash64(name, "doc")).otherwise(F.xxhash64(name))
+
+
 def _lists(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy(F.col("doc").alias(f"{name}_of")).agg(F.collect_list("key").alias(name))
 

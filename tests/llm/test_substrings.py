@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from coursemill.llm import substrings
 
@@ -91,3 +92,22 @@ def test_a_short_text_alone_in_its_task_meets_a_long_one(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(len(rows) * 4, "doc_id")
     got = sorted((tuple(r) for r in substrings.remove_repeats(df).collect()), key=repr)
     assert got == brute(rows, 13)
+
+
+def test_settled_rows_leave_a_common_passage(spark):
+    """A passage of all texts brings a row per task to its key, and the result is the same."""
+    rng = random.Random(12)
+    passage = " ".join(f"w{k}" for k in range(30))
+    rows = [(k, f"{rng.getrandbits(40)} {passage} {rng.getrandbits(40)}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    made = df.mapInArrow(substrings._anchor_rows(substrings.WINDOW, substrings.ROUNDS),
+                         "name long, doc long, state byte")
+    dealt = made.repartition(16, substrings._dealt("name")).withColumn(
+        "part", F.spark_partition_id())
+    hot = dealt.groupBy("name").count().orderBy(F.desc("count")).first()
+    assert hot["count"] > 300
+    most = dealt.where(F.col("name") == hot["name"]).groupBy("part").count().agg(
+        F.max("count")).first()[0]
+    assert most < 0.25 * hot["count"]
+    got = {r.doc_id: r.n_removed for r in substrings.remove_repeats(df).collect()}
+    assert got == {k: 30 if k else 0 for k in range(400)}

@@ -914,11 +914,19 @@ def _streamed(stream: DataFrame, name: str) -> DataFrame:
 
 
 def _summed_per_batch(stream: DataFrame, parts, sums, name: str) -> DataFrame:
-    """Window rows of a stream that is cut into micro-batches, added up over the batches."""
-    folder = work_folder(stream.sparkSession, name)
-    sinks.start(stream, sinks.window_parts_writer(f"{folder}/out", parts),
-                f"{folder}/checkpoint", every=None).awaitTermination()
-    return sinks.read_windows(stream.sparkSession, f"{folder}/out", sums)
+    """Window rows of a stream that is cut into micro-batches, added up over the batches. The
+    first two are folded when the second is there; the others stand beside that."""
+    spark, folder = stream.sparkSession, work_folder(stream.sparkSession, name)
+    out, folded = f"{folder}/out", f"{folder}/folded"
+    write_parts = sinks.window_parts_writer(out, parts)
+
+    def write(df, batch_id, run=""):
+        write_parts(df, batch_id, run)
+        if batch_id == 1:
+            sinks.fold_windows(spark, out, sums, folded)
+
+    sinks.start(stream, write, f"{folder}/checkpoint", every=None).awaitTermination()
+    return sinks.read_windows(spark, out, sums, folded)
 
 
 _CLOSED = "WHERE strptime(edt, '%Y-%m-%d %H:%M:%S') <= (SELECT max({}) - INTERVAL {} FROM {})"
@@ -984,6 +992,32 @@ def stream_keyword_windows_in_batches(spark, folder):
                              ["keyword_count"], "stream-keyword-batches")
 
 
+@query(f"""WITH {o.VIEWS}, clicks AS (
+  SELECT item AS keyword, ts, arrival % 4 AS batch, {o.stamps("date_trunc('second', ts)", '%Y%m%d')},
+         time_bucket(INTERVAL 10 SECONDS, date_trunc('second', ts)) + INTERVAL 10 SECONDS AS ends
+  FROM views WHERE event_type = 'click'),
+reached AS (SELECT batch, max(date_trunc('second', ts)) AS newest FROM clicks GROUP BY batch),
+marks AS (
+  SELECT b.batch, (SELECT max(newest) FROM reached r WHERE r.batch < b.batch) AS reached
+  FROM reached b)
+SELECT keyword, stt, edt, cur_date, coalesce(ends <= reached, false) AS late, count(*) AS n
+FROM clicks JOIN marks USING (batch) GROUP BY ALL""")
+def stream_keyword_windows_and_late_rows(spark, folder):
+    """Four micro-batches that each hold rows of all times, so most of the later ones come behind
+    the watermark. Windows and late rows together are all searches."""
+    own = work_folder(spark, "stream-late")
+    events = s.table(spark, folder, "events").withColumn("share", F.col("event_id") % 4)
+    log = s.page_log(spark, folder, s.in_files(events, "share", f"{own}/in")).withColumn(
+        "row_time", scalars.millis_to_whole_second(F.col("ts")))
+    sinks.start(windows.searches(log), sinks.windows_and_late_writer(
+        f"{own}/out", f"{own}/late", f"{own}/marks", "row_time", windows.keyword_counts,
+        disorder_seconds=0), f"{own}/checkpoint", every=None).awaitTermination()
+    counted = sinks.read_windows(spark, f"{own}/out", ["keyword_count"])
+    late = windows.keyword_counts(spark.read.parquet(f"{own}/late"))
+    both = counted.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+    return both.withColumnRenamed("keyword_count", "n")
+
+
 @query(f"WITH {o.TRADE} SELECT * FROM trade")
 def stream_trade_windows_in_batches(spark, folder):
     details = _stored_details(spark, folder).select("*", "arrival.*").drop("arrival")

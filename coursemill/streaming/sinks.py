@@ -13,6 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from coursemill.operators import dims
 from coursemill.operators.enrich import enrich, without_dimension
@@ -132,15 +133,116 @@ def window_parts_writer(path: str, windows: Callable[[DataFrame], DataFrame]) ->
         windows(df), path, batch_id, ["cur_date"], run)
 
 
-def read_windows(spark: SparkSession, path: str, sums: Sequence[str]) -> DataFrame:
-    """Window rows from their parts: all columns but ``sums`` are the key."""
-    parts = spark.read.parquet(path).drop(*PLACE).withColumn(
-        "cur_date", F.col("cur_date").cast("string"))
+def read_windows(spark: SparkSession, path: str, sums: Sequence[str], folded: str | None = None
+                 ) -> DataFrame:
+    """Window rows from their parts: all columns but ``sums`` are the key.
+
+    With ``folded``, what :func:`fold_windows` wrote stands for the parts that it covers.
+    """
+    day = F.col("cur_date").cast("string")
+    log = spark.read.parquet(path).withColumn("run", F.col("run").cast("string"))
+    number, covered = _snapshot(spark, folded) if folded else (0, {})
+    parts = _since(log, covered).drop(*PLACE).withColumn("cur_date", day)
+    if number:
+        parts = parts.unionByName(
+            spark.read.parquet(f"{folded}/rows/number={number}").withColumn("cur_date", day))
     keys = [c for c in parts.columns if c not in sums]
     kinds = dict(parts.dtypes)
     return parts.groupBy(*keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in sums])
 
 
+def _since(log: DataFrame, covered: dict[str, int]) -> DataFrame:
+    """Rows of the batches that a snapshot does not cover."""
+    old = F.lit(False)
+    for run, last in covered.items():
+        old = old | ((F.col("run") == run) & (F.col("batch_id") <= last))
+    return log.where(~old)
+
+
+def fold_windows(spark: SparkSession, path: str, sums: Sequence[str], folded: str) -> int:
+    """Add up the parts of all batches so far into a snapshot by day, and give its number.
+
+    A part that comes later stands beside the snapshot until the next one, so a late row reopens its
+    window. One caller at a time, between batches, as for :func:`compact_dimensions`.
+    """
+    number = _snapshot(spark, folded)[0] + 1
+    within = spark.read.parquet(path).groupBy(F.col("run").cast("string").alias("run")).agg(
+        F.max("batch_id").cast("long").alias("last_batch"))
+    rows = read_windows(spark, path, sums, folded)
+    rows.hint("rebalance", "cur_date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").partitionBy("cur_date").parquet(
+        f"{folded}/rows/number={number}")
+    within.write.mode("overwrite").parquet(f"{folded}/covered/number={number}")
+    return number
+
+
+def windows_and_late_writer(path: str, late: str, marks: str, time: str,
+                            windows: Callable[[DataFrame], DataFrame], seconds: int = 10,
+                            disorder_seconds: int = 2) -> WriteBatch:
+    """Window rows of each batch, and the rows that came too late for theirs as an output.
+
+    A row is late if its window ended by the watermark that the batches before had reached: the
+    greatest time so far less the disorder. The watermark is kept per batch, so a replay
+    splits alike. Windows and late rows together are all rows with a time; rows without one are
+    late. Windows that end by the last watermark (:func:`watermark_seconds`) are closed.
+    """
+    def write(df: DataFrame, batch_id: int, run: str = "") -> None:
+        reached = watermark_seconds(df.sparkSession, marks, batch_id)
+        end = (F.floor(F.unix_seconds(F.col(time)) / seconds) + 1) * seconds
+        in_time = F.lit(True) if reached is None else end > F.lit(reached)
+        in_time = F.coalesce(in_time & F.col(time).isNotNull(), F.lit(False))
+        write_batch(windows(df.where(in_time)), path, batch_id, ["cur_date"], run)
+        write_batch(df.where(~in_time), late, batch_id, run=run)
+        newest = df.agg(F.max(F.unix_micros(F.col(time)))).first()[0]
+        new = [v for v in (reached, None if newest is None else newest / 1e6 - disorder_seconds)
+               if v is not None]
+        df.sparkSession.createDataFrame(
+            [(max(new) if new else None,)], "watermark double").coalesce(1).write.mode(
+            "overwrite").parquet(f"{marks}/batch={batch_id}")
+
+    return write
+
+
+def watermark_seconds(spark: SparkSession, marks: str, before: int | None = None) -> float | None:
+    """The watermark after all batches, or ahead of one, in seconds since the epoch."""
+    try:
+        rows = spark.read.schema("watermark double, batch long").parquet(marks)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows.where(F.lit(True) if before is None else F.col("batch") < before).agg(
+        F.max("watermark")).first()[0]
+
+
+def marked(write: WriteBatch, marks: str) -> WriteBatch:
+    """One commit for all that a batch writes: a marker, put down when everything is there.
+
+    :func:`read_marked` shows a batch's rows of any output once its marker is there, so a reader
+    never sees half a batch, whichever outputs a broken one has written.
+    """
+    def run_and_mark(df: DataFrame, batch_id: int, run: str = "") -> None:
+        write(df, batch_id, run)
+        df.sparkSession.createDataFrame([(run or "none", batch_id)], "run string, batch_id long"
+                                        ).coalesce(1).write.mode("overwrite").parquet(
+            f"{marks}/of={run or 'none'}-{batch_id}")
+
+    return run_and_mark
+
+
+def read_marked(spark: SparkSession, path: str, marks: str, schema: StructType) -> DataFrame:
+    """Rows of one output of the batches that are marked; none before the first marker."""
+    try:
+        done = spark.read.parquet(marks).select("run", "batch_id").distinct()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    rows = spark.read.parquet(path).withColumns({
+        "run": F.col("run").cast("string"), "batch_id": F.col("batch_id").cast("long")})
+    return rows.join(done, ["run", "batch_id"], "left_semi").select(*schema.names)
+
+
 def dimension_writer(path: str, config: Callable[[], DataFrame], quarantine: str | None = None
                      ) -> WriteBatch:
     """Change rows, routed by the configuration as it is now, appended to the dimension log."""
@@ -183,11 +285,8 @@ def dimension_log(spark: SparkSession, path: str, snapshots: str | None = None)
     columns = ["sink_table", "row_key", "op", "cols", "arrival"]
     if not number:
         return log.select(*columns)
-    old = F.lit(False)
-    for run, last in covered.items():
-        old = old | ((F.col("run") == run) & (F.col("batch_id") <= last))
     return spark.read.parquet(f"{snapshots}/rows/number={number}").select(*columns).unionByName(
-        log.where(~old).select(*columns))
+        _since(log, covered).select(*columns))
 
 
 def compact_dimensions(spark: SparkSession, path: str, snapshots: str) -> int:

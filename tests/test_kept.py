@@ -182,3 +182,72 @@ def test_routing_does_not_depend_on_which_log_is_ahead(spark, folder):
         got = sinks.read_routed(spark, f"{folder}/changes", f"{folder}/config", **options)
         assert sorted((r.arrival, sorted(r.cols)) for r in got.collect()) == [
             *[(k, ["a", "id"]) for k in (2, 3, 4)], *[(k, ["b", "id"]) for k in (5, 6, 7)]]
+
+
+def test_a_reader_sees_whole_batches_only(spark, folder):
+    """A batch that breaks between its outputs shows in none of them until it has run again."""
+    broken = [True]
+    schema = "v long"
+
+    def write(df, batch_id, run=""):
+        sinks.write_batch(df, f"{folder}/one", batch_id, run=run)
+        if batch_id == 1 and broken[0]:
+            raise RuntimeError("between the outputs")
+        sinks.write_batch(df, f"{folder}/two", batch_id, run=run)
+
+    whole = sinks.marked(write, f"{folder}/marks")
+    kind = spark.createDataFrame([], schema).schema
+
+    def shown():
+        return [rows(sinks.read_marked(spark, f"{folder}/{name}", f"{folder}/marks", kind))
+                for name in ("one", "two")]
+
+    assert shown() == [[], []]
+    whole(spark.createDataFrame([(0,)], schema), 0, "a")
+    with pytest.raises(RuntimeError):
+        whole(spark.createDataFrame([(1,)], schema), 1, "a")
+    assert shown() == [[(0,)], [(0,)]]
+    broken[0] = False
+    whole(spark.createDataFrame([(1,)], schema), 1, "a")
+    assert shown() == [[(0,), (1,)], [(0,), (1,)]]
+
+
+def test_folded_windows_are_reopened_by_late_parts(spark, folder):
+    def part(batch, *data):
+        sinks.write_batch(spark.createDataFrame(data, "cur_date string, k string, n long"),
+                          f"{folder}/out", batch, ["cur_date"], "a")
+
+    def now(**folded):
+        return rows(sinks.read_windows(spark, f"{folder}/out", ["n"], **folded), "cur_date", "k", "n")
+
+    part(0, ("20240101", "x", 1), ("20240102", "x", 5))
+    part(1, ("20240101", "x", 2), ("20240101", "y", 7))
+    assert sinks.fold_windows(spark, f"{folder}/out", ["n"], f"{folder}/folded") == 1
+    part(2, ("20240101", "x", 10))
+    want = [("20240101", "x", 13), ("20240101", "y", 7), ("20240102", "x", 5)]
+    assert now() == now(folded=f"{folder}/folded") == want
+    assert sinks.fold_windows(spark, f"{folder}/out", ["n"], f"{folder}/folded") == 2
+    assert now(folded=f"{folder}/folded") == want
+    # A day is one row per window, however many parts it came in.
+    assert spark.read.parquet(f"{folder}/folded/rows/number=2").count() == 3
+
+
+def test_late_rows_are_an_output(spark, folder):
+    write = sinks.windows_and_late_writer(
+        f"{folder}/out", f"{folder}/late", f"{folder}/marks", "t",
+        lambda df: df.groupBy((F.floor(F.unix_seconds("t") / 10) * 10).alias("start")).agg(
+            F.count("*").alias("n")).withColumn("cur_date", F.lit("20240101")))
+
+    def batch(number, *seconds):
+        write(spark.createDataFrame([(k,) for k in seconds], "s long").select(
+            F.timestamp_seconds("s").alias("t")), number)
+
+    for _ in range(2):  # a replay changes nothing
+        batch(0, 5, 21, None)
+    batch(1, 9, 12, 31)  # the watermark is 19: only the window up to 10 has ended
+    batch(2, 19, 28, 60)
+    assert sinks.watermark_seconds(spark, f"{folder}/marks") == 58
+    got = sinks.read_windows(spark, f"{folder}/out", ["n"])
+    assert rows(got, "start", "n") == [(0, 1), (10, 1), (20, 2), (30, 1), (60, 1)]
+    late = spark.read.parquet(f"{folder}/late").select(F.unix_seconds("t").alias("s"))
+    assert sorted(r.s for r in late.collect() if r.s is not None) == [9, 19] and late.count() == 3

@@ -76,7 +76,6 @@ def test_each_kind_of_damage_is_located(spark, folder, one, kind, fanout):
     got = {(r.record_id, r.is_record, r.offset, r.state): r for r in fixity.audit(
         fixity.read(spark, folder + "/r"), fanout).collect()}
     starts = [sum(map(len, one[:k])) for k in range(7)]
-    after = [sum(map(len, damaged[:k])) for k in range(len(damaged) + 1)]
 
     def unlike(k, state):
         return (k, True, starts[k], state)
@@ -96,7 +95,7 @@ def test_each_kind_of_damage_is_located(spark, folder, one, kind, fanout):
              "length": [(None, False, starts[2], "extra")],
              "no length": [(None, False, starts[2], "extra")],
              "cut off": [(None, False, starts[5], "extra")],
-             "twice": [(2, True, after[3], "extra")]}.get(kind, [])
+             "twice": [(2, True, sum(map(len, damaged[:3])), "extra")]}.get(kind, [])
     assert set(got) == want | set(extra)
     files = {0: b"".join(one), 1: b"".join(damaged)}
     for (_, _, offset, state), row in got.items():

@@ -37,18 +37,29 @@ class KeptTable:
 
     def _newest(self, before: int | None) -> dict[int, int]:
         """The batch that last wrote each bucket, as of the batch before ``before``."""
+        if before:  # the list of the batch before is there, but at a start or after a gap
+            rows = self._lists(f"{self.path}/lists/of_batch={before - 1}")
+            if rows is not None:
+                return self._buckets(rows)
+        rows = self._lists(f"{self.path}/lists")
+        if rows is None:
+            return {}
+        if before is not None:
+            rows = rows.where(F.col("of_batch") < before)
+        last = rows.agg(F.max("of_batch")).first()[0]
+        return {} if last is None else self._buckets(rows.where(F.col("of_batch") == last))
+
+    def _lists(self, path: str) -> DataFrame | None:
         try:
-            lists = self.spark.read.parquet(f"{self.path}/lists")
+            return self.spark.read.parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return {}
-        if before is not None:
-            lists = lists.where(F.col("of_batch") < before)
-        last = lists.agg(F.max("of_batch")).first()[0]
-        return {} if last is None else {
-            r.bucket: r.batch for r in lists.where(
-                (F.col("of_batch") == last) & (F.col("bucket") >= 0)).collect()}
+            return None
+
+    @staticmethod
+    def _buckets(rows: DataFrame) -> dict[int, int]:
+        return {r.bucket: r.batch for r in rows.where("bucket >= 0").collect()}
 
     def touched(self, *keyed: DataFrame) -> list[int]:
         """Buckets that rows with the key's columns fall into: at most as many as there are."""

@@ -1,3 +1,4 @@
+import functools
 import hashlib
 import random
 from collections import Counter, defaultdict
@@ -12,23 +13,27 @@ sentencepiece = pytest.importorskip("sentencepiece")
 BYTE, PIECE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
-def tokens(text):
-    """Both tokenizations of a text as (id, bytes), or None."""
+@functools.cache
+def libraries():
+    """Both tokenizers, and the byte that each letter of the first one stands for."""
     from tokenizers import Tokenizer, pre_tokenizers
 
-    one = tokens.__dict__.setdefault("one", Tokenizer.from_file(public.path(BYTE)))
+    one = Tokenizer.from_file(public.path(BYTE))
     one.encode_special_tokens = True
-    two = tokens.__dict__.setdefault(
-        "two", sentencepiece.SentencePieceProcessor(model_file=public.path(PIECE)))
-    if "letters" not in tokens.__dict__:
-        # What the library itself shows for bytes: of characters with every lead and tail byte.
-        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        codes = [*range(0x800), *range(0x800, 0xD800, 0x800), 0xE000, 0xF000,
-                 *range(0x10000, 0x110000, 0x10000)]
-        tokens.letters = {
-            name: byte for code in codes for shown in [level.pre_tokenize_str(chr(code))[0][0]]
-            for name, byte in zip(shown, chr(code).encode(), strict=True)}
-    a = [(i, bytes(tokens.letters[c] for c in one.id_to_token(i)))
+    # What the library itself shows for bytes: of characters with every lead and tail byte.
+    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    codes = [*range(0x800), *range(0x800, 0xD800, 0x800), 0xE000, 0xF000,
+             *range(0x10000, 0x110000, 0x10000)]
+    letters = {
+        name: byte for code in codes for shown in [level.pre_tokenize_str(chr(code))[0][0]]
+        for name, byte in zip(shown, chr(code).encode(), strict=True)}
+    return one, sentencepiece.SentencePieceProcessor(model_file=public.path(PIECE)), letters
+
+
+def tokens(text):
+    """Both tokenizations of a text as (id, bytes), or None."""
+    one, two, letters = libraries()
+    a = [(i, bytes(letters[c] for c in one.id_to_token(i)))
          for i in one.encode(" " + text, add_special_tokens=False).ids]
     b = [(i, bytes([int(two.id_to_piece(i)[3:5], 16)]) if two.is_byte(i)
           else two.id_to_piece(i).replace("▁", " ").encode()) for i in two.encode(text)]

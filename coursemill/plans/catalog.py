@@ -1007,7 +1007,10 @@ def stream_keyword_windows_and_late_rows(spark, folder):
     the watermark. Windows and late rows together are all searches."""
     own = work_folder(spark, "stream-late")
     events = s.table(spark, folder, "events").withColumn("share", F.col("event_id") % 4)
-    log = s.page_log(spark, folder, s.in_files(events, "share", f"{own}/in")).withColumn(
+    values = sorted(r.share for r in events.select("share").distinct().collect()
+                    if r.share is not None)  # at most seven
+    log = s.page_log(spark, folder, s.in_files(
+        events, "share", f"{own}/in", cuts=values[:-1])).withColumn(
         "row_time", scalars.millis_to_whole_second(F.col("ts")))
     sinks.start(windows.searches(log), sinks.windows_and_late_writer(
         f"{own}/out", f"{own}/late", f"{own}/marks", "row_time", windows.keyword_counts,

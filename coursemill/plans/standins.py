@@ -6,6 +6,7 @@ Record types come from status columns, which gives inserts, updates, loads and d
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -77,19 +78,24 @@ def events_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Rows of a file of a stand-in stream, about, at most.
-FILE_ROWS = 5_000_000
+FILE_ROWS = 250_000
 
 
-def in_files(df: DataFrame, by: str, path: str, files: int = 4) -> DataFrame:
+def in_files(df: DataFrame, by: str, path: str, files: int = 4,
+             cuts: Sequence[int] | None = None) -> DataFrame:
     """The rows as a stream of ``files`` micro-batches, in the order ``by``.
 
+    Quantiles are approximate: where it counts which rows are in which micro-batch, ``cuts`` names
+    the last value of each but the last one.
+
     A share of many rows is several files, which one micro-batch reads together; all shares have
     as many files, so the limit of files per trigger keeps them apart.
     """
-    shares = [k / files for k in range(1, files)]
-    cuts = df.approxQuantile(by, shares, 0.001) if shares else []
+    if cuts is None:
+        shares = [k / files for k in range(1, files)]
+        cuts = df.approxQuantile(by, shares, 0.001) if shares else []
     bounds = [None, *sorted(set(cuts)), None]
-    each = max(1, -(-df.count() // (FILE_ROWS * files)))
+    each = max(1, -(-df.count() // (FILE_ROWS * (len(bounds) - 1))))
     for low, high in zip(bounds, bounds[1:]):
         part = df if low is None else df.where(F.col(by) > low)
         part = part if high is None else part.where(F.col(by) <= high)
@@ -152,7 +158,7 @@ def order_facts_in_files(spark: SparkSession, folder: str, path: str) -> DataFra
     rows = tagged(lines, "line").unionByName(
         tagged(headers, "header"), allowMissingColumns=True).unionByName(
         tagged(views, "view"), allowMissingColumns=True)
-    return in_files(rows, "share", path)
+    return in_files(rows, "share", path, cuts=range(3))
 
 
 def behaviour_log(spark: SparkSession, folder: str) -> DataFrame:

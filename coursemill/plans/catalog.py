@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from coursemill.functions import scalars
 from coursemill.operators import asof, changelog, dims, facts, logsplit, reports, state, windows
@@ -39,6 +40,9 @@ ORACLE: dict[str, str] = {}
 # Buckets of the tables that the streams of this size keep.
 BUCKETS = 8
 
+# Files of a stream that is to be one micro-batch: more than there are.
+ONE_BATCH = 1_000_000
+
 # Days of the one-day reports.
 TRAFFIC_DAY = 20240115
 TRADE_DAY = 20000404
@@ -913,12 +917,22 @@ def _streamed(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{folder}/out").drop(*sinks.PLACE)
 
 
-def _summed_per_batch(stream: DataFrame, parts, sums, name: str) -> DataFrame:
+def _flagged(rows: DataFrame, writer, flags, chunk, name: str) -> DataFrame:
+    """A stream of the rows with the flags that ``writer`` adds, as the job before wrote them."""
+    spark, own = rows.sparkSession, work_folder(rows.sparkSession, name)
+    sinks.start(rows, writer(f"{own}/out", f"{own}/last", chunk=chunk, idle_ms=None, buckets=BUCKETS),
+                f"{own}/checkpoint", every=None).awaitTermination()
+    schema = StructType([*rows.schema, *[StructField(f, LongType()) for f in flags]])
+    return read_folder(spark, f"{own}/out/run=*/batch_id=*", schema, ONE_BATCH)
+
+
+def _summed_per_batch(stream: DataFrame, writer, sums, name: str) -> DataFrame:
     """Window rows of a stream that is cut into micro-batches, added up over the batches. The
-    first two are folded when the second is there; the others stand beside that."""
+    first two are folded when the second is there; the others stand beside that. ``writer`` gives
+    the writer of the parts below one folder, what it keeps between batches below another."""
     spark, folder = stream.sparkSession, work_folder(stream.sparkSession, name)
     out, folded = f"{folder}/out", f"{folder}/folded"
-    write_parts = sinks.window_parts_writer(out, parts)
+    write_parts = writer(out, f"{folder}/kept")
 
     def write(df, batch_id, run=""):
         write_parts(df, batch_id, run)
@@ -935,7 +949,9 @@ _CLOSED = "WHERE strptime(edt, '%Y-%m-%d %H:%M:%S') <= (SELECT max({}) - INTERVA
 @query(f"{_TRAFFIC} SELECT * FROM traffic {_CLOSED.format('ts', '2 SECONDS', 'views')}")
 def stream_traffic_windows(spark, folder):
     views = s.page_views(spark, folder, s.events_stream(spark, folder))
-    summed = _streamed(streams.traffic_windows(views, idle_ms=None), "stream-traffic")
+    flagged = _flagged(views.select(*jobs.TRAFFIC_COLUMNS), carried.visit_flags_writer,
+                       ["uv_ct", "sv_ct", "so_ct"], state.chunk_of("arrival"), "stream-visits")
+    summed = _streamed(streams.traffic_windows_of_flags(flagged), "stream-traffic")
     return enrich(summed, s.base_source(spark, folder), "sc", {"source_site": "source_name"})
 
 
@@ -960,8 +976,11 @@ def stream_trade_windows(spark, folder):
     path = work_folder(spark, "stream-order-detail")
     details = _details(spark, folder)
     details.write.parquet(path)
-    rows = read_folder(spark, path, details.schema).select("*", "arrival.*")
-    summed = streams.trade_windows(rows, s.ARRIVAL, idle_ms=None)
+    rows = jobs.order_rows(read_folder(spark, path, details.schema, ONE_BATCH)).select(
+        *jobs.TRADE_COLUMNS, "order_date")
+    flagged = _flagged(rows, carried.first_order_writer, ["order_user_ct"], s.arrival_chunk(),
+                       "stream-first-orders")
+    summed = streams.trade_windows_of_flags(flagged)
     return _amounts_as_double(_streamed(summed, "stream-trade"), "order_amount")
 
 
@@ -977,7 +996,9 @@ def _views_in_files(spark, folder, name: str) -> DataFrame:
 def stream_traffic_windows_in_batches(spark, folder):
     views = s.page_views(spark, folder, _views_in_files(spark, folder, "views-in-files"))
     summed = _summed_per_batch(
-        streams.traffic_rows(views, idle_ms=None), windows.traffic_by_source_and_visitor,
+        views.select(*jobs.TRAFFIC_COLUMNS), lambda out, kept: carried.visit_flags_writer(
+            out, kept, chunk=state.chunk_of("arrival"), idle_ms=None, buckets=BUCKETS,
+            finish=lambda rows: windows.traffic_by_source_and_visitor(windows.traffic_measures(rows))),
         windows.TRAFFIC_SUMS, "stream-traffic-batches")
     return enrich(summed, s.base_source(spark, folder), "sc", {"source_site": "source_name"})
 
@@ -988,8 +1009,8 @@ FROM views WHERE event_type = 'click' GROUP BY ALL""")
 def stream_keyword_windows_in_batches(spark, folder):
     log = s.page_log(spark, folder, _views_in_files(spark, folder, "log-in-files")).withColumn(
         "row_time", scalars.millis_to_whole_second(F.col("ts")))
-    return _summed_per_batch(windows.searches(log), windows.keyword_counts,
-                             ["keyword_count"], "stream-keyword-batches")
+    return _summed_per_batch(windows.searches(log), lambda out, _: sinks.window_parts_writer(
+        out, windows.keyword_counts), ["keyword_count"], "stream-keyword-batches")
 
 
 @query(f"""WITH {o.VIEWS}, clicks AS (
@@ -1023,10 +1044,14 @@ def stream_keyword_windows_and_late_rows(spark, folder):
 
 @query(f"WITH {o.TRADE} SELECT * FROM trade")
 def stream_trade_windows_in_batches(spark, folder):
-    details = _stored_details(spark, folder).select("*", "arrival.*").drop("arrival")
-    rows = s.in_files(details, "a", work_folder(spark, "details-in-files"))
+    details = jobs.order_rows(_stored_details(spark, folder)).select(
+        *jobs.TRADE_COLUMNS, "order_date", "arrival.a")
+    rows = s.in_files(details, "a", work_folder(spark, "details-in-files")).drop("a")
     summed = _summed_per_batch(
-        streams.trade_rows(rows, s.ARRIVAL, idle_ms=None), windows.trade_by_source_and_province,
+        rows, lambda out, kept: carried.first_order_writer(
+            out, kept, chunk=s.arrival_chunk(), idle_ms=None, buckets=BUCKETS,
+            finish=lambda flagged: windows.trade_by_source_and_province(
+                windows.trade_measures(flagged))),
         ["order_ct", "order_user_ct", "order_amount"], "stream-trade-batches")
     return _amounts_as_double(
         jobs.name_trade(summed, s.base_source(spark, folder), s.base_province(spark, folder)),

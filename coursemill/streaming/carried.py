@@ -22,6 +22,7 @@ from coursemill.streaming.sinks import WriteBatch, write_batch
 from coursemill.streaming.state import ONE_DAY_MS
 
 Clock = Callable[[], int]
+Finish = Callable[[DataFrame], DataFrame]
 
 
 def now_ms() -> int:
@@ -45,9 +46,11 @@ def once_computed(write: WriteBatch) -> WriteBatch:
 
 def _flags_writer(path: str, table: str, key: str, held: Sequence[str],
                   job: Callable[[DataFrame], DataFrame], lasting: Column, idle_ms: int | None,
-                  clock: Clock, buckets: int) -> WriteBatch:
+                  clock: Clock, buckets: int, finish: Finish | None) -> WriteBatch:
     """Rows of ``job`` over the new rows and, ahead of them, the last row of each of their keys.
 
+    ``finish`` is what to write of the new rows with their flags, such as window parts.
+
     A key's last row is kept as its ``held`` columns; in front of the new rows it stands for the
     history before them. A key's rows have to come in order of arrival. A key without rows for
     ``idle_ms`` is forgotten, unless its last row is ``lasting``.
@@ -63,7 +66,8 @@ def _flags_writer(path: str, table: str, key: str, held: Sequence[str],
             before = before.where((F.col("_seen") >= now - idle_ms) | lasting)
         both = df.withColumn("_new", F.lit(True)).unionByName(
             before.drop("_seen").withColumn("_new", F.lit(False)), allowMissingColumns=True)
-        write_batch(job(both).where("_new").drop("_new"), path, batch_id, run=run)
+        flagged = job(both).where("_new").drop("_new")
+        write_batch(finish(flagged) if finish else flagged, path, batch_id, run=run)
         last = df.groupBy(key).agg(
             F.max_by(F.struct(*held, "arrival"), "arrival").alias("row")).select(
             key, "row.*", F.lit(now).alias("_seen"))
@@ -76,7 +80,8 @@ def _flags_writer(path: str, table: str, key: str, held: Sequence[str],
 
 def visit_flags_writer(path: str, table: str, key: str = "mid", chunk: Column | None = None,
                        hot_rows: int = state.HOT_ROWS, idle_ms: int | None = ONE_DAY_MS,
-                       clock: Clock = now_ms, buckets: int = BUCKETS) -> WriteBatch:
+                       clock: Clock = now_ms, buckets: int = BUCKETS,
+                       finish: Finish | None = None) -> WriteBatch:
     """Rows with visit flags, as :func:`coursemill.operators.state.visit_flags` makes them.
 
     After an idle day the last day is of no more use, but a session start still is.
@@ -85,18 +90,19 @@ def visit_flags_writer(path: str, table: str, key: str = "mid", chunk: Column |
         path, table, key, ("visit_date", "last_page_id"),
         lambda rows: state.visit_flags(
             rows, state.chunk_of("arrival") if chunk is None else chunk, key, hot_rows=hot_rows),
-        state.starts_session(F.col("last_page_id")), idle_ms, clock, buckets)
+        state.starts_session(F.col("last_page_id")), idle_ms, clock, buckets, finish)
 
 
 def first_order_writer(path: str, table: str, key: str = "user_id", chunk: Column | None = None,
                        hot_rows: int = state.HOT_ROWS, idle_ms: int | None = ONE_DAY_MS,
-                       clock: Clock = now_ms, buckets: int = BUCKETS) -> WriteBatch:
+                       clock: Clock = now_ms, buckets: int = BUCKETS,
+                       finish: Finish | None = None) -> WriteBatch:
     """Order rows with :func:`coursemill.operators.state.daily_first_order_flag`."""
     return _flags_writer(
         path, table, key, ("order_date",),
         lambda rows: state.daily_first_order_flag(
             rows, state.chunk_of("arrival") if chunk is None else chunk, key, hot_rows=hot_rows),
-        F.lit(False), idle_ms, clock, buckets)
+        F.lit(False), idle_ms, clock, buckets, finish)
 
 
 def repair_writer(path: str, table: str, key: str = "mid", hot_rows: int = state.HOT_ROWS,

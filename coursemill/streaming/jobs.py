@@ -43,6 +43,18 @@ def traffic_windows(page_views: DataFrame, disorder: str = windows.DISORDER,
         traffic_rows(page_views, idle_ms).withWatermark("row_time", disorder))
 
 
+def traffic_windows_of_flags(flagged: DataFrame, disorder: str = windows.DISORDER) -> DataFrame:
+    """The same over rows that a job before has flagged (:func:`carried.visit_flags_writer`)."""
+    return windows.traffic_by_source_and_visitor(
+        windows.traffic_measures(flagged).withWatermark("row_time", disorder))
+
+
+def trade_windows_of_flags(flagged: DataFrame, disorder: str = windows.DISORDER) -> DataFrame:
+    """Trade windows of rows that :func:`carried.first_order_writer` has flagged."""
+    return windows.trade_by_source_and_province(
+        windows.trade_measures(flagged).withWatermark("row_time", disorder))
+
+
 def keyword_windows(page_log: DataFrame, disorder: str = NO_DISORDER) -> DataFrame:
     return windows.keyword_counts(
         windows.searches(page_log).withWatermark("row_time", disorder))

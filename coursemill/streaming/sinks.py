@@ -160,7 +160,10 @@ def _since(log: DataFrame, covered: dict[str, int]) -> DataFrame:
 
 
 def fold_windows(spark: SparkSession, path: str, sums: Sequence[str], folded: str) -> int:
-    """Add up the parts of all batches so far into a snapshot by day, and give its number.
+    """Add up the parts of all batches so far into a snapshot in order of days, and give its number.
+
+    It is not partitioned by day: trade has thousands of days, and a file for each takes a task
+    longer than the sums do.
 
     A part that comes later stands beside the snapshot until the next one, so a late row reopens its
     window. One caller at a time, between batches, as for :func:`compact_dimensions`.
@@ -169,9 +172,8 @@ def fold_windows(spark: SparkSession, path: str, sums: Sequence[str], folded: st
     within = spark.read.parquet(path).groupBy(F.col("run").cast("string").alias("run")).agg(
         F.max("batch_id").cast("long").alias("last_batch"))
     rows = read_windows(spark, path, sums, folded)
-    rows.hint("rebalance", "cur_date").write.mode("overwrite").option(
-        "partitionOverwriteMode", "static").partitionBy("cur_date").parquet(
-        f"{folded}/rows/number={number}")
+    rows.repartitionByRange("cur_date").sortWithinPartitions("cur_date").write.mode(
+        "overwrite").parquet(f"{folded}/rows/number={number}")
     within.write.mode("overwrite").parquet(f"{folded}/covered/number={number}")
     return number
 

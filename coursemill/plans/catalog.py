@@ -607,7 +607,7 @@ def day_trade_by_province(spark, folder):
 # --- behaviour log ----------------------------------------------------------------------------
 
 def _split(spark, folder) -> DataFrame:
-    return jobs.split_log(s.behaviour_log(spark, folder))
+    return jobs.split_log(s.behaviour_log(spark, folder), s.log_tasks(spark, folder))
 
 
 @query("""SELECT text AS value FROM documents
@@ -665,7 +665,7 @@ def log_rows_conserved(spark, folder):
         log = log.unionByName(texts.withColumn("arrival", F.lit(-1 - number).cast("bigint")))
     kinds = {"dirty": logsplit.DIRTY, "video": logsplit.APP_VIDEO, "started": logsplit.START,
              "page": logsplit.PAGE}
-    out = jobs.split_log(log).agg(*[
+    out = jobs.split_log(log, s.log_tasks(spark, folder)).agg(*[
         F.count_if(F.col("topic") == topic).alias(name) for name, topic in kinds.items()])
     return log.agg(F.count("*").alias("records_in")).join(out)
 

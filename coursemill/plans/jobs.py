@@ -15,10 +15,16 @@ TRADE_COLUMNS = ("user_id", "sc", "province_id", "final_amount", "row_time", "ar
 COURSE_COLUMNS = ("user_id", "course_id", "course_name", "final_amount", "row_time", "arrival")
 
 
-def split_log(log: DataFrame) -> DataFrame:
-    """Behaviour log (value, arrival) to (topic, value) rows, dirty rows included."""
+def split_log(log: DataFrame, tasks: int = 0) -> DataFrame:
+    """Behaviour log (value, arrival) to (topic, value) rows, dirty rows included.
+
+    Splitting a record takes long for its bytes, and Spark sizes tasks by bytes. With ``tasks``,
+    repaired records are dealt to so many, if these are more than there are cores.
+    """
     parsed = logsplit.parse_log(log)
     repaired = state.repair_new_visitor(logsplit.usable(parsed))
+    if tasks > log.sparkSession.sparkContext.defaultParallelism:
+        repaired = repaired.repartition(tasks, *[c for c in ("arrival",) if c in log.columns] or ["value"])
     return logsplit.split(repaired).unionByName(logsplit.dirty(parsed))
 
 

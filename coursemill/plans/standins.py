@@ -161,13 +161,27 @@ def order_facts_in_files(spark: SparkSession, folder: str, path: str) -> DataFra
     return in_files(rows, "share", path, cuts=range(3))
 
 
+# Records of the behaviour log that one task parses or splits, about: each takes much more time than
+# the bytes that it is read from say.
+LOG_ROWS = 100_000
+
+
+def log_tasks(spark: SparkSession, folder: str) -> int:
+    """Tasks for the records of the behaviour log; the count is in the files' footers."""
+    return spark.read.parquet(f"{folder}/events.parquet").count() // LOG_ROWS + 1
+
+
 def behaviour_log(spark: SparkSession, folder: str) -> DataFrame:
     """Raw log text from ``events``, and the texts of ``documents`` as what is no record.
 
     Errors carry ``err``, purchases ``appVideo``, views ``start``; every row has displays and
     actions by its k.
     """
-    v = page_views(spark, folder)
+    events = table(spark, folder, "events")
+    tasks = log_tasks(spark, folder)
+    if tasks > events.rdd.getNumPartitions():
+        events = spark.read.parquet(f"{folder}/events.parquet").repartition(tasks, "event_id")
+    v = page_views(spark, folder, events)
     kind = F.col("last_page_id")
     k = F.col("item").cast("int")
 

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check import canonical
-from coursemill.plans import catalog
+from coursemill.plans import catalog, standins
 from coursemill.streaming import sinks, state
 
 from .conftest import rows
@@ -46,3 +46,14 @@ def test_micro_batches_of_late_rows_are_those_of_the_sql(spark, folder):
     db.execute(f"CREATE VIEW events AS SELECT * FROM '{folder}/events.parquet/*.parquet'")
     expected = db.sql(f"SELECT {', '.join(columns)} FROM ({catalog.ORACLE[name]})").fetchall()
     assert canonical(got.select(*columns).collect()) == canonical(expected)
+
+
+def test_log_records_are_dealt_to_tasks_by_their_number(spark, folder, monkeypatch):
+    want = canonical(catalog.QUERIES["log_split"](spark, SF).collect())
+    monkeypatch.setattr(standins, "LOG_ROWS", 20)  # 1,000 events
+    log = standins.behaviour_log(spark, SF)
+    assert log.rdd.getNumPartitions() >= 50
+    tasks = standins.log_tasks(spark, SF)
+    split = catalog.QUERIES["log_split"](spark, SF)
+    assert "REPARTITION_BY_NUM, [plan_id" in split._jdf.queryExecution().toString() and tasks >= 50
+    assert canonical(split.collect()) == want

@@ -163,28 +163,28 @@ class WaitingJoin:
     def __init__(self, spark: SparkSession, path: str, left: StructType, right: StructType,
                  left_key: str, right_key: str, ttl_ms: int, buckets: int = BUCKETS):
         self.keys, self.ttl_ms = (left_key, right_key), ttl_ms
+        waits = [StructField("_since", LongType()), StructField("_batch", LongType())]
         self.tables = tuple(
-            KeptTable(spark, f"{path}/{name}", StructType([*schema, StructField("_since", LongType())]),
-                      [key], buckets)
+            KeptTable(spark, f"{path}/{name}", StructType([*schema, *waits]), [key], buckets)
             for name, schema, key in (("left", left, left_key), ("right", right, right_key)))
 
     def advance(self, left: DataFrame, right: DataFrame, batch_id: int, now: int) -> DataFrame:
         """Pairs in which at least one row is new; the new rows wait from now on."""
-        new = tuple(rows.withColumn("_since", F.lit(now)) for rows in (left, right))
-        # A key is in the bucket of the same number on both sides.
-        buckets = sorted(set(self.tables[0].touched(left)) | set(self.tables[1].touched(right)))
-        old = tuple(t.read(buckets, before=batch_id).where(F.col("_since") >= now - self.ttl_ms)
-                    for t in self.tables)
-        pairs = [(new[0], new[1]), (new[0], old[1]), (old[0], new[1])]
-        on = F.col(self.keys[0]) == F.col(self.keys[1])
-        joined = None
-        for one, other in pairs:
-            found = one.drop("_since").join(other.drop("_since"), on)
-            joined = found if joined is None else joined.unionByName(found)
-        for table, o, n, key in zip(self.tables, old, new, self.keys, strict=True):
+        waiting = F.col("_since") >= now - self.ttl_ms
+        for table, rows, key in zip(self.tables, (left, right), self.keys, strict=True):
             # A NULL key never meets another row.
-            table.write(o.unionByName(n).where(F.col(key).isNotNull()), batch_id, buckets)
-        return joined
+            table.append(rows.where(F.col(key).isNotNull()).withColumns({
+                "_since": F.lit(now).cast("bigint"), "_batch": F.lit(batch_id).cast("bigint")}),
+                batch_id, waiting)
+        # The new rows are read back with the old ones, so each side is shuffled once, and what made
+        # the new rows is not run again. A key is in the bucket of the same number on both sides.
+        touched = sorted({b for table in self.tables for b in table.written(batch_id)})
+        one, other = (
+            table.read(touched, before=batch_id + 1).where(waiting).withColumn(
+                f"_new_{n}", F.col("_batch") == batch_id).drop("_since", "_batch")
+            for n, table in enumerate(self.tables))
+        on = F.col(self.keys[0]) == F.col(self.keys[1])
+        return one.join(other, on & (F.col("_new_0") | F.col("_new_1"))).drop("_new_0", "_new_1")
 
     def expire(self, batch_id: int, now: int) -> None:
         """Drop all rows that have waited too long, in every bucket."""
@@ -216,10 +216,7 @@ def order_detail_writer(path: str, tables: str, split: Callable[[DataFrame], Seq
         second = WaitingJoin(spark, f"{tables}/sessions", met, views, "session_id", "_sid", ttl_ms,
                              buckets)
         own = split(df)
-        # Stored, for it is joined, and kept, and counted into buckets.
-        found = f"{tables}/met/batch={batch_id}"
-        first.advance(own[0], own[1], batch_id, now).write.mode("overwrite").parquet(found)
-        rows = second.advance(spark.read.schema(met).parquet(found), own[2], batch_id, now)
+        rows = second.advance(first.advance(own[0], own[1], batch_id, now), own[2], batch_id, now)
         write_batch(finish(rows), path, batch_id, run=run)
 
     return once_computed(write)

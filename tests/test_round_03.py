@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from check import canonical
 from coursemill.plans import catalog, standins
-from coursemill.streaming import sinks, state
+from coursemill.streaming import carried, kept, sinks, state
 
 from .conftest import rows
 
@@ -57,3 +57,20 @@ def test_log_records_are_dealt_to_tasks_by_their_number(spark, folder, monkeypat
     split = catalog.QUERIES["log_split"](spark, SF)
     assert "REPARTITION_BY_NUM, [plan_id" in split._jdf.queryExecution().toString() and tasks >= 50
     assert canonical(split.collect()) == want
+
+
+def test_waiting_rows_are_written_once(spark, folder, monkeypatch):
+    monkeypatch.setattr(kept, "FOLD", 3)
+    left, right = (spark.createDataFrame([], kind) for kind in ("k long, a long", "_k long, b long"))
+    join = carried.WaitingJoin(spark, folder, left.schema, right.schema, "k", "_k", 1000, 2)
+    found, written = [], []
+    for batch in range(7):
+        lines = spark.range(batch * 10, batch * 10 + 10).select("id", "id").toDF("k", "a")
+        heads = spark.range(60 - batch * 10, 70 - batch * 10).select("id", "id").toDF("_k", "b")
+        for _ in range(2):  # a replay changes nothing
+            met = rows(join.advance(lines, heads, batch, batch), "a", "b")
+        found += met
+        written.append(spark.read.parquet(f"{folder}/left/rows/batch={batch}").count())
+        assert join.tables[0].folders() <= 2 * 3
+    assert sorted(found) == [(k, k) for k in range(70)]
+    assert written[:3] == [10, 10, 10] and join.waiting() == (70, 70)

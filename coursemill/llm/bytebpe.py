@@ -352,6 +352,12 @@ class Coder:
         words, of, bounds = cutting.cut(texts)
         return cutting.spread(cutting.ragged(self.runs(words), "<u4"), of, bounds)
 
+    def decode(self, ids: pa.Array) -> pa.Array:
+        """The bytes that binary ids stand for; null ids give none."""
+        of = self.vocabulary.bytes.__getitem__
+        return pa.array([b"".join(map(of, np.frombuffer(x.as_buffer(), "<u4").tolist()))
+                         if x.is_valid else b"" for x in ids], pa.binary())
+
 
 _coders: dict[tuple[str, str], Coder] = {}
 
@@ -370,24 +376,30 @@ def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     ).cast(pa.binary())
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False
+           ) -> DataFrame:
     """The rows, less their text, with ``ids``: little-endian unsigned 32-bit integers as binary.
 
     A null text is an empty one and has no ids. Repeated rows give repeated results. Other
-    columns are kept; one named ``ids`` is replaced. An empty table gives no rows.
+    columns are kept; one named ``ids`` is replaced. An empty table gives no rows. With ``decoded``
+    the ids are decoded as well, as by :func:`decode`, by the same worker: two steps of one stage
+    are two workers a core, each with a coder and what it keeps.
     """
-    rows = docs.select(*[c for c in docs.columns if c not in (text, "ids")], text)
+    new = ["ids", "decoded"] if decoded else ["ids"]
+    rows = docs.select(*[c for c in docs.columns if c not in (text, *new)], text)
     kept = rows.schema[:-1]
+    names = [*[f.name for f in kept], *new]
     layout = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = coder(path, pattern)
         for batch in encoding.chunks(batches, text):
-            values, bounds = coder(path, pattern).encode(batch.column(len(kept)))
+            values, bounds = made.encode(batch.column(len(kept)))
+            ids = _binary(values.view(np.uint8), 4 * bounds)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], _binary(values.view(np.uint8), 4 * bounds)],
-                names=[*[f.name for f in kept], "ids"])
+                [*batch.columns[:-1], ids, *[made.decode(ids)] * decoded], names=names)
 
-    return rows.mapInArrow(run, f"{layout}ids binary")
+    return rows.mapInArrow(run, layout + ", ".join(f"{name} binary" for name in new))
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -399,12 +411,10 @@ def decode(rows: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFr
     at = names.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = coder(path, pattern).vocabulary.bytes.__getitem__
+        made = coder(path, pattern)
         for batch in batches:
-            texts = [b"".join(map(of, np.frombuffer(x.as_buffer(), "<u4").tolist()))
-                     if x.is_valid else b"" for x in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.binary())], names=[*names, "decoded"])
+                [*batch.columns, made.decode(batch.column(at))], names=[*names, "decoded"])
 
     return rows.mapInArrow(run, f"{layout}, decoded binary")
 
@@ -463,7 +473,7 @@ def query(spark, folder):
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = encode(table(spark, folder, "documents").select("doc_id", "text"), path, pattern)
-    return decode(ids, path, pattern).select(
+    return encode(table(spark, folder, "documents").select("doc_id", "text"), path, pattern,
+                  decoded=True).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -124,3 +124,17 @@ def test_stored_tables_are_revised(spark, folder):
     assert {k: r.text for k, r in got.items()} == texts
     assert all(r.ids == made.encode_ordinary(r.text) for r in got.values())
     assert {k for k, r in got.items() if r.encoded} == {3, 10}
+
+
+def test_one_worker_a_core_encodes_and_decodes(spark):
+    """Two Python steps in a stage would be two workers a core, each with its own coder."""
+    plan = bytebpe.query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("MapInArrow") == 1
+    path = public.path(NAMES[0])
+    docs = spark.createDataFrame([(1, "a  b é", b"x"), (2, None, b"y"), (None, "it's", b"z")],
+                                 "doc_id long, text string, decoded binary")
+    both = bytebpe.encode(docs, path, public.PATTERN, decoded=True)
+    two = bytebpe.decode(bytebpe.encode(docs.drop("decoded"), path, public.PATTERN), path,
+                         public.PATTERN)
+    assert both.columns == two.columns and sorted(map(str, both.collect())) == sorted(
+        map(str, two.collect()))

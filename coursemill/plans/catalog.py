@@ -248,9 +248,12 @@ def _details(spark, folder, sessions="latest") -> DataFrame:
                               s.order_views(spark, folder), sessions)
 
 
-def _stored_details(spark, folder) -> DataFrame:
-    """The order-detail table as the window jobs find it: written by the job before."""
-    return stored(_details(spark, folder), "order-detail")
+def _stored_details(spark, folder, columns=()) -> DataFrame:
+    """The order-detail table as the window jobs find it: written by the job before. With the
+    ``columns`` of one window job, of all rows only what that job reads is joined and written."""
+    details = _details(spark, folder)
+    return stored(details.select(*jobs.detail_columns(columns)) if columns else details,
+                  "order-detail")
 
 
 @query(f"WITH {o.DETAILS} SELECT {o.DETAIL_COLUMNS} FROM details")
@@ -406,7 +409,8 @@ SELECT count(*) AS rows_in, count_if(sc <> '3' AND province_id <> '7') AS found,
        count_if(sc = '3' OR province_id = '7') AS set_aside FROM trade""")
 def quarantine_trade_windows(spark, folder):
     return _balance(jobs.trade_marked(
-        _stored_details(spark, folder), s.base_source(spark, folder).where("id <> '3'"),
+        _stored_details(spark, folder, jobs.TRADE_COLUMNS),
+        s.base_source(spark, folder).where("id <> '3'"),
         s.base_province(spark, folder).where("id <> '7'"), s.arrival_chunk()))
 
 
@@ -417,7 +421,7 @@ SELECT count(*) AS rows_in, count_if(CAST(course_id AS BIGINT) % 3 <> 0) AS foun
 def quarantine_course_windows(spark, folder):
     courses = s.course_info(spark, folder).where("CAST(id AS BIGINT) % 3 <> 0")
     return _balance(jobs.course_marked(
-        _stored_details(spark, folder), courses, s.subject_info(spark, folder),
+        _stored_details(spark, folder, jobs.COURSE_COLUMNS), courses, s.subject_info(spark, folder),
         s.category_info(spark, folder), s.arrival_chunk()))
 
 
@@ -488,8 +492,8 @@ def searches(spark, folder):
 
 
 def _trade(spark, folder) -> DataFrame:
-    return jobs.trade_windows(_stored_details(spark, folder), s.base_source(spark, folder),
-                              s.base_province(spark, folder), s.arrival_chunk())
+    return jobs.trade_windows(_stored_details(spark, folder, jobs.TRADE_COLUMNS),
+                              s.base_source(spark, folder), s.base_province(spark, folder), s.arrival_chunk())
 
 
 @query(f"WITH {o.TRADE} SELECT * FROM trade")
@@ -507,7 +511,8 @@ JOIN subjects ON part.p_brand = subjects.p_brand
 GROUP BY ALL""")
 def course_windows(spark, folder):
     return _amounts_as_double(
-        jobs.course_windows(_stored_details(spark, folder), s.course_info(spark, folder),
+        jobs.course_windows(_stored_details(spark, folder, jobs.COURSE_COLUMNS),
+                            s.course_info(spark, folder),
                             s.subject_info(spark, folder), s.category_info(spark, folder),
                             s.arrival_chunk()),
         "order_amount")
@@ -974,7 +979,7 @@ SELECT * FROM summed {_CLOSED.format('t', '2 SECONDS', 'trade_flags')}""")
 def stream_trade_windows(spark, folder):
     """The second of two jobs: it reads the stored order-detail table as a stream."""
     path = work_folder(spark, "stream-order-detail")
-    details = _details(spark, folder)
+    details = _details(spark, folder).select(*jobs.detail_columns(jobs.TRADE_COLUMNS))
     details.write.parquet(path)
     rows = jobs.order_rows(read_folder(spark, path, details.schema, ONE_BATCH)).select(
         *jobs.TRADE_COLUMNS, "order_date")
@@ -1044,7 +1049,7 @@ def stream_keyword_windows_and_late_rows(spark, folder):
 
 @query(f"WITH {o.TRADE} SELECT * FROM trade")
 def stream_trade_windows_in_batches(spark, folder):
-    details = jobs.order_rows(_stored_details(spark, folder)).select(
+    details = jobs.order_rows(_stored_details(spark, folder, jobs.TRADE_COLUMNS)).select(
         *jobs.TRADE_COLUMNS, "order_date", "arrival.a")
     rows = s.in_files(details, "a", work_folder(spark, "details-in-files")).drop("a")
     summed = _summed_per_batch(

@@ -14,6 +14,14 @@ TRAFFIC_COLUMNS = ("mid", "sc", "is_new", "last_page_id", "during_time", "visit_
 TRADE_COLUMNS = ("user_id", "sc", "province_id", "final_amount", "row_time", "arrival")
 COURSE_COLUMNS = ("user_id", "course_id", "course_name", "final_amount", "row_time", "arrival")
 
+# Names of the window jobs' columns in the order-detail table, where they are others.
+_STORED_AS = {"sc": "source", "row_time": "ts"}
+
+
+def detail_columns(columns: tuple[str, ...]) -> list[str]:
+    """What of the order-detail table gives a window job its columns; see :func:`order_rows`."""
+    return [_STORED_AS.get(c, c) for c in columns]
+
 
 def split_log(log: DataFrame, tasks: int = 0) -> DataFrame:
     """Behaviour log (value, arrival) to (topic, value) rows, dirty rows included.

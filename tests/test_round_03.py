@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check import canonical
-from coursemill.plans import catalog, standins
+from coursemill.plans import catalog, jobs, standins
 from coursemill.streaming import carried, kept, sinks, state
 
 from .conftest import rows
@@ -74,3 +74,14 @@ def test_waiting_rows_are_written_once(spark, folder, monkeypatch):
         assert join.tables[0].folders() <= 2 * 3
     assert sorted(found) == [(k, k) for k in range(70)]
     assert written[:3] == [10, 10, 10] and join.waiting() == (70, 70)
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("trade_windows", jobs.TRADE_COLUMNS), ("course_windows", jobs.COURSE_COLUMNS)])
+def test_window_jobs_join_and_store_what_they_read(spark, monkeypatch, name, columns):
+    seen = []
+    store = catalog.stored
+    monkeypatch.setattr(catalog, "stored", lambda df, as_: store(seen.append(df) or df, as_))
+    catalog.QUERIES[name](spark, SF).count()
+    assert sorted(seen[0].columns) == sorted(
+        {"sc": "source", "row_time": "ts"}.get(c, c) for c in columns)

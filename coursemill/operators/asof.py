@@ -4,7 +4,8 @@ A version holds from its arrival until the next version of its key arrives. ``as
 row the version that holds at its arrival, by one sort of rows and versions together rather than a
 join on a range, so neither a key with many versions nor one with many rows makes
 pairs. Keys with over ``hot_rows`` rows are cut into chunks of the arrival order, and the version
-that holds at the start of a chunk enters it as a row of its own, as in :mod:`.state`.
+that holds at the start of a chunk enters it as a row of its own, as in :mod:`.state`. Only the last
+version of a chunk can enter a later one, so of a hot key one row per chunk comes together.
 """
 
 from __future__ import annotations
@@ -46,25 +47,27 @@ def as_of(rows: DataFrame, versions: DataFrame, key: str, version_key: str, valu
         return df.join(hot, "_key", "left").withColumn(
             "_chunk", F.when(F.col("_hot"), F.col("_chunk"))).drop("_hot")
 
-    # Versions and the starts of chunks that have rows, in order: what holds at each start. The
-    # versions of a start's own number come behind it and are in the chunk themselves.
-    starts = placed.join(hot, "_key").select("_key", "_chunk").distinct().select(
-        "_key", F.col("_chunk").alias("_at"), "_chunk", F.lit(True).alias("_start"))
-    order = Window.partitionBy("_key").orderBy("_at", F.col("_start").isNull())
+    # The last version of each chunk, and the starts of chunks that have rows, in order: what holds
+    # at each start. The versions of a start's own chunk come behind it.
+    starts = placed.join(hot, "_key").select("_key", "_chunk").distinct().withColumn(
+        "_start", F.lit(True))
+    tails = held.join(hot, "_key").groupBy("_key", "_chunk").agg(
+        F.max_by("_held", "_at").alias("_held"))
+    order = Window.partitionBy("_key").orderBy("_chunk", F.col("_start").isNull())
     entering = (
-        starts.unionByName(held.join(hot, "_key").select("_key", "_at", "_held"),
-                           allowMissingColumns=True)
+        starts.unionByName(tails, allowMissingColumns=True)
         .withColumn("_held", F.last("_held", ignorenulls=True).over(order))
         .where("_start AND _held IS NOT NULL")
         .select("_key", "_chunk", "_held"))
+    # Columns of their own, not a struct: those that nobody reads are not shuffled.
     both = (
-        marked(placed).withColumn("_row", F.struct(*kept)).select("_key", "_chunk", "_at", "_row")
+        marked(placed).withColumn("_is_row", F.lit(True))
         .unionByName(marked(held), allowMissingColumns=True)
         .unionByName(entering, allowMissingColumns=True))
     # The entering version has no number and comes first; of one number the version does.
-    in_chunk = Window.partitionBy("_key", "_chunk").orderBy("_at", F.col("_row").isNotNull())
+    in_chunk = Window.partitionBy("_key", "_chunk").orderBy("_at", F.col("_is_row").isNotNull())
     found = (both.withColumn(out, F.last("_held", ignorenulls=True).over(in_chunk))
-             .where("_row IS NOT NULL").select("_row.*", out))
+             .where("_is_row").select(*kept, out))
     none = F.lit(None).cast(found.schema[out].dataType)
     return found.unionByName(rows.where("_key IS NULL OR _at IS NULL").select(*kept, none.alias(out)))
 

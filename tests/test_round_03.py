@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check import canonical
+from coursemill.operators import asof
 from coursemill.plans import catalog, jobs, standins
 from coursemill.streaming import carried, kept, sinks, state
 
@@ -85,3 +86,17 @@ def test_window_jobs_join_and_store_what_they_read(spark, monkeypatch, name, col
     catalog.QUERIES[name](spark, SF).count()
     assert sorted(seen[0].columns) == sorted(
         {"sc": "source", "row_time": "ts"}.get(c, c) for c in columns)
+
+
+def test_one_version_per_chunk_of_a_hot_key_comes_together(spark, monkeypatch):
+    """The window over a key's whole history has a row per chunk, and columns that nobody reads are
+    not shuffled."""
+    versions = spark.range(1000).select(
+        F.lit("k").alias("of"), F.col("id").alias("arrival"), F.col("id").cast("string").alias("v"))
+    asked = spark.range(0, 1000, 7).select(
+        F.lit("k").alias("key"), F.col("id").alias("arrival"), F.col("id").alias("unread"))
+    found = asof.as_of(asked, versions, "key", "of", ["v"], span=100, hot_rows=0).select(
+        "arrival", "version.v")
+    assert sorted(rows(found)) == [(n, str(n)) for n in range(0, 1000, 7)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "max_by(_held" in plan and "unread" not in plan

@@ -1087,7 +1087,7 @@ def stream_visit_flags_and_repair(spark, folder):
                                dd DESC, e DESC, f DESC) AS rn
   FROM details) SELECT {o.DETAIL_COLUMNS} FROM ranked WHERE rn = 1""")
 def stream_fact_order_detail_keyed(spark, folder):
-    """Four micro-batches merged by key; a read opens one folder per bucket."""
+    """Four micro-batches merged by key; a read opens a bounded number of folders per bucket."""
     own = work_folder(spark, "stream-keyed")
     details = _stored_details(spark, folder).withColumn("n", F.pmod(F.xxhash64("id", "arrival"), F.lit(
         1 << 20)))

@@ -133,20 +133,23 @@ def repair_writer(path: str, table: str, key: str = "mid", hot_rows: int = state
 
 def keyed_merge_writer(table: str, key: Sequence[str], schema: StructType,
                        buckets: int = BUCKETS) -> WriteBatch:
-    """The last row of each key, merged into the buckets that a batch touches."""
+    """Rows of a table of which :func:`read_merged` shows the last one of each key.
+
+    A batch adds its rows to their buckets and reads none; a bucket with FOLD folders becomes one,
+    with the last row of each key. So a batch costs its own rows, not those of the table.
+    """
     def write(df: DataFrame, batch_id: int, run: str = "") -> None:
-        kept = KeptTable(df.sparkSession, table, schema, key, buckets)
-        touched = kept.touched(df)
-        rows = kept.read(touched, before=batch_id).unionByName(df.select(*schema.names))
-        kept.write(latest_per_key(rows, list(key), "arrival"), batch_id, touched)
+        KeptTable(df.sparkSession, table, schema, key, buckets).append(
+            df.select(*schema.names), batch_id,
+            merge=lambda rows: latest_per_key(rows, list(key), "arrival"))
 
-    return once_computed(write)
+    return write
 
 
 def read_merged(spark: SparkSession, table: str, key: Sequence[str], schema: StructType,
                 buckets: int = BUCKETS) -> DataFrame:
-    """Rows of a merged table: one folder per bucket, however many batches there were."""
-    return KeptTable(spark, table, schema, key, buckets).read()
+    """The last row of each key: at most FOLD folders per bucket, however many batches there were."""
+    return latest_per_key(KeptTable(spark, table, schema, key, buckets).read(), list(key), "arrival")
 
 
 # --- joins with an idle time to live --------------------------------------------------------------

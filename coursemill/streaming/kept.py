@@ -12,7 +12,7 @@ many tasks as hold them, so a key that has most of the rows is not one task's.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,14 +87,18 @@ class KeptTable:
         """Put ``rows`` in the place of all rows of the touched buckets."""
         self._place(rows, batch_id, {p for p in self._newest(batch_id) if p[0] not in touched})
 
-    def append(self, rows: DataFrame, batch_id: int, keep: Column) -> None:
+    def append(self, rows: DataFrame, batch_id: int, keep: Column | None = None,
+               merge: Callable[[DataFrame], DataFrame] | None = None) -> None:
         """Add ``rows``, and write nothing else anew but buckets that have FOLD folders: of their
-        rows those stay for which ``keep`` holds."""
+        rows those stay for which ``keep`` holds, and ``merge`` says what they and the new rows
+        leave."""
         newest = self._newest(batch_id)
         folders = [bucket for bucket, _ in newest]
         full = {bucket for bucket in folders if folders.count(bucket) >= FOLD}
         if full:
-            rows = rows.unionByName(self.read(sorted(full), before=batch_id).where(keep))
+            old = self.read(sorted(full), before=batch_id)
+            rows = rows.unionByName(old if keep is None else old.where(keep))
+            rows = merge(rows) if merge else rows
         self._place(rows, batch_id, {p for p in newest if p[0] not in full})
 
     def _place(self, rows: DataFrame, batch_id: int, newest: set[tuple[int, int]]) -> None:

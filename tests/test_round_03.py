@@ -100,3 +100,19 @@ def test_one_version_per_chunk_of_a_hot_key_comes_together(spark, monkeypatch):
     assert sorted(rows(found)) == [(n, str(n)) for n in range(0, 1000, 7)]
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "max_by(_held" in plan and "unread" not in plan
+
+
+def test_a_batch_of_a_merged_table_writes_its_own_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(kept, "FOLD", 3)
+    kind = "id long, v long, arrival long"
+    schema = spark.createDataFrame([], kind).schema
+    write, written, last = carried.keyed_merge_writer(folder, ["id"], schema, 1), [], {}
+    for batch in range(7):
+        new = [(k, batch, batch * 100 + k) for k in range(batch, batch + 10)]
+        for _ in range(2):  # a replay changes nothing
+            write(spark.createDataFrame(new, kind), batch)
+        last |= {r[0]: r for r in new}
+        written.append(spark.read.parquet(f"{folder}/rows/batch={batch}").count())
+        assert sorted(rows(carried.read_merged(spark, folder, ["id"], schema, 1))) == sorted(
+            last.values())
+    assert written == [10, 10, 10, 13, 10, 10, 16]

@@ -144,15 +144,19 @@ def compacted(routed: DataFrame) -> DataFrame:
     They have the columns of routed rows, so they stand for all rows they were made from, before
     newer ones as well.
     """
-    rows = _rows_of_cells(routed).withColumn("cells", _alive())
-    sets = rows.select("sink_table", "row_key", F.explode("cells").alias("c")).select(
-        "sink_table", "row_key", F.lit("update").alias("op"),
-        F.create_map("c.name", "c.value").alias("cols"), F.col("c.set_at").alias("arrival"))
-    deletions = rows.where("deleted_at IS NOT NULL").select(
-        "sink_table", "row_key", F.lit("delete").alias("op"),
-        F.lit(None).cast("map<string,string>").alias("cols"),
-        F.col("deleted_at").alias("arrival"))
-    return sets.unionByName(deletions)
+    nothing = F.lit(None).cast("map<string,string>")
+
+    def change(op: str, cols: Column, arrival: Column) -> Column:
+        return F.struct(F.lit(op).alias("op"), cols.alias("cols"), arrival.alias("arrival"))
+
+    # One pass gives both kinds of rows.
+    sets = F.transform(_alive(), lambda c: change(
+        "update", F.create_map(c["name"], c["value"]), c["set_at"]))
+    deletions = F.when(F.col("deleted_at").isNotNull(), F.array(
+        change("delete", nothing, F.col("deleted_at")))).otherwise(F.array())
+    return _rows_of_cells(routed).select(
+        "sink_table", "row_key", F.explode(F.concat(sets, deletions)).alias("_change")).select(
+        "sink_table", "row_key", "_change.*")
 
 
 def as_table(dimensions: DataFrame, sink_table: str, *columns: str) -> DataFrame:

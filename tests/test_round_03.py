@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from check import canonical
-from coursemill.operators import asof
+from coursemill.operators import asof, dims
 from coursemill.plans import catalog, jobs, standins
 from coursemill.streaming import carried, kept, sinks, state
 
@@ -116,3 +116,15 @@ def test_a_batch_of_a_merged_table_writes_its_own_rows(spark, folder, monkeypatc
         assert sorted(rows(carried.read_merged(spark, folder, ["id"], schema, 1))) == sorted(
             last.values())
     assert written == [10, 10, 10, 13, 10, 10, 16]
+
+
+def test_compacting_runs_its_input_once(spark):
+    kind = "sink_table string, row_key string, op string, cols map<string,string>, arrival long"
+    routed = spark.createDataFrame([
+        ("d", "1", "insert", {"a": "x", "b": "y"}, 1), ("d", "1", "delete", None, 2),
+        ("d", "1", "update", {"a": "z", "b": None}, 3), ("d", "2", "insert", {"a": "q"}, 4)], kind)
+    found = dims.compacted(routed)
+    assert sorted(rows(found)) == [
+        ("d", "1", "delete", None, 2), ("d", "1", "update", {"a": "z"}, 3),
+        ("d", "2", "update", {"a": "q"}, 4)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("max_by") <= 2

@@ -1066,17 +1066,20 @@ def stream_trade_windows_in_batches(spark, folder):
 @query(f"""WITH {o.VIEWS}, {o.REPAIRED}, {o.flags('views')}
 SELECT arrival, r.mid, r.is_new, uv_ct, sv_ct, so_ct FROM repaired r JOIN flags USING (arrival)""")
 def stream_visit_flags_and_repair(spark, folder):
-    """Four micro-batches; the memory of the row before is a kept table of last rows."""
+    """Four micro-batches; the memory of the row before is a kept table of last rows. Both jobs
+    write from one stream, which reads a micro-batch once."""
     views = s.page_views(spark, folder, _views_in_files(spark, folder, "flags-in-files")).select(
         "arrival", "mid", "is_new", "visit_date", "last_page_id")
     own = work_folder(spark, "stream-flags")
     chunk = state.chunk_of("arrival", 1 << 10)
-    sinks.start(views, carried.visit_flags_writer(
-        f"{own}/flags", f"{own}/last", chunk=chunk, hot_rows=100, buckets=BUCKETS), f"{own}/checkpoint-1",
-        every=None).awaitTermination()
-    sinks.start(views.select("arrival", "mid", "is_new", "visit_date"), carried.repair_writer(
-        f"{own}/repaired", f"{own}/first", hot_rows=100, buckets=BUCKETS), f"{own}/checkpoint-2",
-        every=None).awaitTermination()
+    sinks.start(views, carried.together(
+        carried.visit_flags_writer(
+            f"{own}/flags", f"{own}/last", chunk=chunk, hot_rows=100, buckets=BUCKETS,
+            finish=lambda rows: rows.select("arrival", "uv_ct", "sv_ct", "so_ct")),
+        carried.repair_writer(
+            f"{own}/repaired", f"{own}/first", hot_rows=100, buckets=BUCKETS,
+            finish=lambda rows: rows.select("arrival", "mid", "is_new"))),
+        f"{own}/checkpoint", every=None).awaitTermination()
     flagged, fixed = (spark.read.parquet(f"{own}/{name}") for name in ("flags", "repaired"))
     return fixed.select("arrival", "mid", "is_new").join(
         flagged.select("arrival", "uv_ct", "sv_ct", "so_ct"), "arrival")

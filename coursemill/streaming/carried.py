@@ -32,6 +32,8 @@ def now_ms() -> int:
 def once_computed(write: WriteBatch) -> WriteBatch:
     """Compute a micro-batch's rows once, though several outputs and kept tables come from them."""
     def run(df: DataFrame, batch_id: int, run: str = "") -> None:
+        if df.is_cached:  # by the caller, which may need them after this
+            return write(df, batch_id, run)
         df = df.persist()
         try:
             write(df, batch_id, run)
@@ -41,6 +43,15 @@ def once_computed(write: WriteBatch) -> WriteBatch:
     return run
 
 
+def together(*writers: WriteBatch) -> WriteBatch:
+    """Several writers as one: a micro-batch is read and computed once for all of them."""
+    def write(df: DataFrame, batch_id: int, run: str = "") -> None:
+        for writer in writers:
+            writer(df, batch_id, run)
+
+    return once_computed(write)
+
+
 # --- memory of the row before ----------------------------------------------------------------
 
 
@@ -106,7 +117,7 @@ def first_order_writer(path: str, table: str, key: str = "user_id", chunk: Colum
 
 
 def repair_writer(path: str, table: str, key: str = "mid", hot_rows: int = state.HOT_ROWS,
-                  buckets: int = BUCKETS) -> WriteBatch:
+                  buckets: int = BUCKETS, finish: Finish | None = None) -> WriteBatch:
     """Rows with the new-visitor flag repaired: a key's first row is kept for good."""
     def write(df: DataFrame, batch_id: int, run: str = "") -> None:
         spark, kinds = df.sparkSession, df.schema
@@ -117,7 +128,7 @@ def repair_writer(path: str, table: str, key: str = "mid", hot_rows: int = state
         both = df.withColumn("_new", F.lit(True)).unionByName(
             before.withColumn("_new", F.lit(False)), allowMissingColumns=True)
         fixed = state.repair_new_visitor(both, key, hot_rows=hot_rows).where("_new").drop("_new")
-        write_batch(fixed, path, batch_id, run=run)
+        write_batch(finish(fixed) if finish else fixed, path, batch_id, run=run)
         first = df.groupBy(key).agg(F.min_by(
             F.struct("visit_date", "is_new", "arrival"), "arrival").alias("row")).select(
             key, "row.*")

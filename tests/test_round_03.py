@@ -128,3 +128,21 @@ def test_compacting_runs_its_input_once(spark):
         ("d", "1", "delete", None, 2), ("d", "1", "update", {"a": "z"}, 3),
         ("d", "2", "update", {"a": "q"}, 4)]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("max_by") <= 2
+
+
+def test_flags_and_repair_read_a_micro_batch_once(spark, monkeypatch):
+    started, start = [], sinks.start
+    monkeypatch.setattr(sinks, "start", lambda *a, **k: started.append(a) or start(*a, **k))
+    assert catalog.QUERIES["stream_visit_flags_and_repair"](spark, SF).count() == 1000
+    assert len(started) == 1
+
+
+def test_writers_together_share_a_computed_batch(spark):
+    kept_in_memory = []
+
+    def writer(df, batch_id, run=""):
+        kept_in_memory.append(df.storageLevel.useMemory)
+
+    df = spark.range(3)
+    carried.together(carried.once_computed(writer), carried.once_computed(writer))(df, 0)
+    assert kept_in_memory == [True, True] and not df.storageLevel.useMemory

@@ -40,9 +40,6 @@ ORACLE: dict[str, str] = {}
 # Buckets of the tables that the streams of this size keep.
 BUCKETS = 8
 
-# Files of a stream that is to be one micro-batch: more than there are.
-ONE_BATCH = 1_000_000
-
 # Days of the one-day reports.
 TRAFFIC_DAY = 20240115
 TRADE_DAY = 20000404
@@ -928,7 +925,7 @@ def _flagged(rows: DataFrame, writer, flags, chunk, name: str) -> DataFrame:
     sinks.start(rows, writer(f"{own}/out", f"{own}/last", chunk=chunk, idle_ms=None, buckets=BUCKETS),
                 f"{own}/checkpoint", every=None).awaitTermination()
     schema = StructType([*rows.schema, *[StructField(f, LongType()) for f in flags]])
-    return read_folder(spark, f"{own}/out/run=*/batch_id=*", schema, ONE_BATCH)
+    return read_folder(spark, f"{own}/out/run=*/batch_id=*", schema, s.ONE_BATCH)
 
 
 def _summed_per_batch(stream: DataFrame, writer, sums, name: str) -> DataFrame:
@@ -981,7 +978,7 @@ def stream_trade_windows(spark, folder):
     path = work_folder(spark, "stream-order-detail")
     details = _details(spark, folder).select(*jobs.detail_columns(jobs.TRADE_COLUMNS))
     details.write.parquet(path)
-    rows = jobs.order_rows(read_folder(spark, path, details.schema, ONE_BATCH)).select(
+    rows = jobs.order_rows(read_folder(spark, path, details.schema, s.ONE_BATCH)).select(
         *jobs.TRADE_COLUMNS, "order_date")
     flagged = _flagged(rows, carried.first_order_writer, ["order_user_ct"], s.arrival_chunk(),
                        "stream-first-orders")
@@ -1105,16 +1102,19 @@ def stream_fact_order_detail_keyed(spark, folder):
 SELECT {o.DETAIL_COLUMNS.replace('source', 'sc AS source')}
 FROM lines JOIN order_views ON session_id = sid""")
 def stream_order_detail_per_view(spark, folder):
-    """Three inputs whose rows wait for each other, an hour of wall clock at most."""
+    """Three inputs whose rows wait for each other, an hour of wall clock at most. Lines wait without
+    their place in the log, which the rows of the result do not have."""
     own = work_folder(spark, "stream-orders")
-    rows = s.order_facts_in_files(spark, folder, f"{own}/in")
     names = ("line", "header", "view")
-    kinds = [rows.schema[name].dataType for name in names]
-    write = carried.order_detail_writer(
-        f"{own}/out", f"{own}/waiting",
-        lambda df: [df.where(F.col(n).isNotNull()).select(f"{n}.*") for n in names],
-        facts.with_day, kinds, ttl_ms=3_600_000, buckets=BUCKETS)
-    sinks.start(rows, write, f"{own}/checkpoint", every=None).awaitTermination()
+
+    def split(df):
+        return [df.where(F.col(n).isNotNull()).select(f"{n}.*").drop("arrival") for n in names]
+
+    for rows in s.order_facts_in_files(spark, folder, f"{own}/in"):
+        write = carried.order_detail_writer(
+            f"{own}/out", f"{own}/waiting", split, facts.with_day,
+            [part.schema for part in split(rows)], ttl_ms=3_600_000, buckets=BUCKETS, reread=True)
+        sinks.start(rows, write, f"{own}/checkpoint", every=None).awaitTermination()
     return _fact(spark.read.parquet(f"{own}/out").drop(*sinks.PLACE))
 
 

@@ -6,7 +6,7 @@ Record types come from status columns, which gives inserts, updates, loads and d
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,6 +80,9 @@ def events_stream(spark: SparkSession, folder: str) -> DataFrame:
 # Rows of a file of a stand-in stream, about, at most.
 FILE_ROWS = 250_000
 
+# Files of a stream that is to be one micro-batch: more than there are.
+ONE_BATCH = 1_000_000
+
 
 def in_files(df: DataFrame, by: str, path: str, files: int = 4,
              cuts: Sequence[int] | None = None) -> DataFrame:
@@ -103,6 +106,18 @@ def in_files(df: DataFrame, by: str, path: str, files: int = 4,
     return read_folder(df.sparkSession, path, df.schema, files_per_trigger=each)
 
 
+def in_turn(df: DataFrame, by: str, path: str, values: Sequence[int]) -> Iterator[DataFrame]:
+    """The rows as a stream, of which the files of the next value of ``by`` are there each time that it
+    is given. Run over what is there now each time, it has a micro-batch per value, of as many
+    files as the tasks make that read the input; so nothing is shuffled."""
+    # Exploding makes ``by`` a column of its own, so the filter does not work it out once more.
+    dealt = df.withColumn(by, F.explode(F.array(by)))
+    for value in values:
+        dealt.where(F.col(by) == value).write.mode("append").option(
+            "maxRecordsPerFile", FILE_ROWS).parquet(path)
+        yield read_folder(df.sparkSession, path, df.schema, files_per_trigger=ONE_BATCH)
+
+
 def _with_k(events: DataFrame) -> DataFrame:
     return events.withColumn("k", F.from_json("props", "k bigint")["k"])
 
@@ -145,9 +160,9 @@ def page_log(spark: SparkSession, folder: str, events: DataFrame | None = None)
         "ts", "row_time", "arrival")
 
 
-def order_facts_in_files(spark: SparkSession, folder: str, path: str) -> DataFrame:
-    """Order lines, headers and order-page views as one stream of four micro-batches. What belongs
-    together is dealt to them by hashes of its own ids, so it comes in any order."""
+def order_facts_in_files(spark: SparkSession, folder: str, path: str) -> Iterator[DataFrame]:
+    """Order lines, headers and order-page views as one stream of four micro-batches, which come in
+    turn. What belongs together is dealt to them by hashes of its own ids, so it comes in any order."""
     changes = change_log(spark, folder, "order_detail", "order_info")
     lines, headers, views = order_parts(changes, order_views(spark, folder))
 
@@ -158,7 +173,7 @@ def order_facts_in_files(spark: SparkSession, folder: str, path: str) -> DataFra
     rows = tagged(lines, "line").unionByName(
         tagged(headers, "header"), allowMissingColumns=True).unionByName(
         tagged(views, "view"), allowMissingColumns=True)
-    return in_files(rows, "share", path, cuts=range(3))
+    return in_turn(rows, "share", path, range(4))
 
 
 # Records of the behaviour log that one task parses or splits, about: each takes much more time than

@@ -166,17 +166,50 @@ def read_merged(spark: SparkSession, table: str, key: Sequence[str], schema: Str
 # --- joins with an idle time to live --------------------------------------------------------------
 
 
+# Places that the keys of one side of a join are marked at, a bit each; so the marks take at most 8 MB.
+PLACES = 1 << 26
+
+
+def may_meet(rows: DataFrame, key: str, new: str, others: DataFrame, other_key: str, other_new: str
+             ) -> DataFrame:
+    """``rows`` without most of those that make no new pair, which so stay out of the join's shuffle.
+
+    An old row makes one with a new row of ``others`` only. Their keys are marked at their hashes'
+    places; keys that share a place let a row through for nothing, and none is left out that meets
+    another. The marks are broadcast, as at most PLACES / 64 numbers.
+    """
+    def place(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(PLACES))
+
+    def bit(name: str) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                               F.pmod(place(name), F.lit(64)).cast("int"))
+
+    marks = others.select(
+        F.floor(place(other_key) / 64).alias("_word"), bit(other_key).alias("_bit"), other_new
+    ).groupBy("_word").agg(
+        F.bit_or("_bit").alias("_any"),
+        F.coalesce(F.bit_or(F.when(F.col(other_new), F.col("_bit"))), F.lit(0)).alias("_fresh"))
+    mark = F.when(F.col(new), F.col("_any")).otherwise(F.col("_fresh"))
+    return rows.withColumn("_word", F.floor(place(key) / 64)).join(
+        F.broadcast(marks), "_word").where(mark.bitwiseAND(bit(key)) != 0).select(*rows.columns)
+
+
 class WaitingJoin:
-    """Inner equi-join of two inputs whose rows wait for each other for ``ttl_ms``.
+    """Inner equi-join of two inputs whose rows wait for each other for ``ttl_ms``, or for a time
+    of each side's own.
 
     The time to live is that of the wall clock: a row waits from the batch that brought it, and
     every batch that begins later than ``ttl_ms`` after that one no longer sees it. Rows that
     have waited too long leave their bucket when it is next touched, or by :meth:`expire`.
+    The left side is the one with the wider rows: only what may meet a row is shuffled of it.
     """
 
     def __init__(self, spark: SparkSession, path: str, left: StructType, right: StructType,
-                 left_key: str, right_key: str, ttl_ms: int, buckets: int = BUCKETS):
-        self.keys, self.ttl_ms = (left_key, right_key), ttl_ms
+                 left_key: str, right_key: str, ttl_ms: int | tuple[int, int],
+                 buckets: int = BUCKETS):
+        self.keys = (left_key, right_key)
+        self.ttls = ttl_ms if isinstance(ttl_ms, tuple) else (ttl_ms, ttl_ms)
         waits = [StructField("_since", LongType()), StructField("_batch", LongType())]
         self.tables = tuple(
             KeptTable(spark, f"{path}/{name}", StructType([*schema, *waits]), [key], buckets)
@@ -184,28 +217,37 @@ class WaitingJoin:
 
     def advance(self, left: DataFrame, right: DataFrame, batch_id: int, now: int) -> DataFrame:
         """Pairs in which at least one row is new; the new rows wait from now on."""
-        waiting = F.col("_since") >= now - self.ttl_ms
-        for table, rows, key in zip(self.tables, (left, right), self.keys, strict=True):
+        return self.met(left, right, batch_id, now).drop("_since_0", "_since_1")
+
+    def met(self, left: DataFrame, right: DataFrame, batch_id: int, now: int,
+            lefts: int | None = None) -> DataFrame:
+        """The same with the times since when both rows wait. ``lefts`` is the count of the left
+        rows, if it is known."""
+        waiting = [F.col("_since") >= now - ttl for ttl in self.ttls]
+        for table, rows, key, keep, count in zip(
+                self.tables, (left, right), self.keys, waiting, (lefts, None), strict=True):
             # A NULL key never meets another row.
             table.append(rows.where(F.col(key).isNotNull()).withColumns({
                 "_since": F.lit(now).cast("bigint"), "_batch": F.lit(batch_id).cast("bigint")}),
-                batch_id, waiting)
+                batch_id, keep, count=count)
         # The new rows are read back with the old ones, so each side is shuffled once, and what made
         # the new rows is not run again. A key is in the bucket of the same number on both sides.
         touched = sorted({b for table in self.tables for b in table.written(batch_id)})
         one, other = (
-            table.read(touched, before=batch_id + 1).where(waiting).withColumn(
-                f"_new_{n}", F.col("_batch") == batch_id).drop("_since", "_batch")
-            for n, table in enumerate(self.tables))
+            table.read(touched, before=batch_id + 1).where(keep).withColumn(
+                f"_new_{n}", F.col("_batch") == batch_id).drop("_batch").withColumnRenamed(
+                "_since", f"_since_{n}")
+            for n, (table, keep) in enumerate(zip(self.tables, waiting, strict=True)))
+        one = may_meet(one, self.keys[0], "_new_0", other, self.keys[1], "_new_1")
         on = F.col(self.keys[0]) == F.col(self.keys[1])
         return one.join(other, on & (F.col("_new_0") | F.col("_new_1"))).drop("_new_0", "_new_1")
 
     def expire(self, batch_id: int, now: int) -> None:
         """Drop all rows that have waited too long, in every bucket."""
-        for table in self.tables:
+        for table, ttl_ms in zip(self.tables, self.ttls, strict=True):
             every = list(range(table.buckets))
             table.write(table.read(every, before=batch_id).where(
-                F.col("_since") >= now - self.ttl_ms), batch_id, every)
+                F.col("_since") >= now - ttl_ms), batch_id, every)
 
     def waiting(self) -> tuple[int, int]:
         return tuple(table.read().count() for table in self.tables)
@@ -213,27 +255,44 @@ class WaitingJoin:
 
 def order_detail_writer(path: str, tables: str, split: Callable[[DataFrame], Sequence[DataFrame]],
                         finish: Callable[[DataFrame], DataFrame], schemas: Sequence[StructType],
-                        ttl_ms: int, clock: Clock = now_ms, buckets: int = BUCKETS) -> WriteBatch:
+                        ttl_ms: int, clock: Clock = now_ms, buckets: int = BUCKETS,
+                        reread: bool = False) -> WriteBatch:
     """Order lines, their header and their session's views, each waiting at most ``ttl_ms``.
 
     ``split`` gives the lines (with order_id), headers (``_order_id``, session_id) and views
     (``_sid``) of a micro-batch, ``schemas`` are theirs, and ``finish`` makes rows of what met.
-    The two joins follow each other within a batch: what the first one finds is new for the second.
+    With ``reread`` a micro-batch is read for each of them, instead of kept in memory or on disk while it
+    is written; it is for streams whose rows are read as they are.
+
+    A line and its header wait for each other, and then, from when they met, the two and a view do.
+    The joins run the other way round, so that the wide rows of the lines are kept once and join last:
+    headers meet views, and lines the pairs. Until the times of all three are known, headers and
+    lines may have to wait twice as long; the times decide. The two joins follow each other within a
+    batch: what the first one finds is new for the second.
     """
     lines, headers, views = schemas
+    pairs = StructType([*headers, *views, StructField("_header_at", LongType()),
+                        StructField("_view_at", LongType())])
 
     def write(df: DataFrame, batch_id: int, run: str = "") -> None:
         spark, now = df.sparkSession, clock()
-        first = WaitingJoin(spark, f"{tables}/orders", lines, headers, "order_id", "_order_id",
-                            ttl_ms, buckets)
-        met = StructType([*lines, *headers])
-        second = WaitingJoin(spark, f"{tables}/sessions", met, views, "session_id", "_sid", ttl_ms,
-                             buckets)
+        waits = (2 * ttl_ms, ttl_ms)
+        first = WaitingJoin(spark, f"{tables}/sessions", headers, views, "session_id", "_sid",
+                            waits, buckets)
+        second = WaitingJoin(spark, f"{tables}/orders", lines, pairs, "order_id", "_order_id",
+                             waits, buckets)
         own = split(df)
-        rows = second.advance(first.advance(own[0], own[1], batch_id, now), own[2], batch_id, now)
-        write_batch(finish(rows), path, batch_id, run=run)
-
-    return once_computed(write)
+        paired = first.met(own[1], own[2], batch_id, now).withColumnsRenamed(
+            {"_since_0": "_header_at", "_since_1": "_view_at"})
+        line_at, header_at, view_at = (F.col(c) for c in ("_since_0", "_header_at", "_view_at"))
+        rows = second.met(own[0], paired, batch_id, now, own[0].count()).where(
+            (F.abs(line_at - header_at) <= ttl_ms)
+            & (F.abs(F.greatest(line_at, header_at) - view_at) <= ttl_ms)).drop(
+            "_since_0", "_since_1", "_header_at", "_view_at")
+        # The join has put its rows together in partitions of a size; they need no other shuffle.
+        write_batch(finish(rows), path, batch_id, run=run, rebalance=False)
+
+    return write if reread else once_computed(write)
 
 
 # --- lookups that wait ------------------------------------------------------------------------

@@ -22,6 +22,8 @@ from pyspark.sql.types import StructType
 BUCKETS = 64
 # Folders of a bucket that rows are only added to, until they are made one.
 FOLD = 8
+# Rows of a file, at least, if rows are written by the tasks that hold them.
+FILE_ROWS = 10_000
 
 
 def bucket_of(key: Sequence[str | Column], buckets: int = BUCKETS) -> Column:
@@ -88,10 +90,11 @@ class KeptTable:
         self._place(rows, batch_id, {p for p in self._newest(batch_id) if p[0] not in touched})
 
     def append(self, rows: DataFrame, batch_id: int, keep: Column | None = None,
-               merge: Callable[[DataFrame], DataFrame] | None = None) -> None:
+               merge: Callable[[DataFrame], DataFrame] | None = None,
+               count: int | None = None) -> None:
         """Add ``rows``, and write nothing else anew but buckets that have FOLD folders: of their
         rows those stay for which ``keep`` holds, and ``merge`` says what they and the new rows
-        leave."""
+        leave. With ``count``, how many rows there are, many are written without a shuffle."""
         newest = self._newest(batch_id)
         folders = [bucket for bucket, _ in newest]
         full = {bucket for bucket in folders if folders.count(bucket) >= FOLD}
@@ -99,15 +102,20 @@ class KeptTable:
             old = self.read(sorted(full), before=batch_id)
             rows = rows.unionByName(old if keep is None else old.where(keep))
             rows = merge(rows) if merge else rows
-        self._place(rows, batch_id, {p for p in newest if p[0] not in full})
+        self._place(rows, batch_id, {p for p in newest if p[0] not in full}, count)
 
-    def _place(self, rows: DataFrame, batch_id: int, newest: set[tuple[int, int]]) -> None:
+    def _place(self, rows: DataFrame, batch_id: int, newest: set[tuple[int, int]],
+               count: int | None = None) -> None:
         """Write a batch's folders, and the list of them and of ``newest``."""
         folder = f"{self.path}/rows/batch={batch_id}"
         placed = rows.select(*self.schema.names).withColumn(
             "bucket", bucket_of(self.key, self.buckets))
-        # A small bucket becomes one file, a large one is split.
-        placed.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        # A small bucket becomes one file, a large one is split: by the tasks that hold its rows if they
+        # have enough for a file of each bucket, else by a shuffle.
+        tasks = (count or 0) // (FILE_ROWS * self.buckets)
+        placed = (placed.coalesce(tasks) if tasks >= self.spark.sparkContext.defaultParallelism
+                  else placed.hint("rebalance", "bucket"))
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
             "bucket").parquet(folder)
         try:  # buckets that have rows now
             written = self.spark.read.parquet(folder).select("bucket").distinct().collect()

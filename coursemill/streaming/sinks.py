@@ -29,13 +29,15 @@ PLACE = ("run", "batch_id")
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (),
-                run: str = "") -> None:
+                run: str = "", rebalance: bool = True) -> None:
     """Write a batch's rows to its own part of a Parquet table, in place of what is there.
 
     Rows are rebalanced by partition: a small partition becomes one file, a large one is split.
+    Without ``rebalance`` they are written as they come.
     """
     part = f"{path}/run={run or 'none'}/batch_id={batch_id}"
-    (df.hint("rebalance", *partition_by).write.mode("overwrite")
+    df = df.hint("rebalance", *partition_by) if rebalance else df
+    (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(part))
 
 
